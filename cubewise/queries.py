@@ -219,3 +219,236 @@ ORACLE: dict[str, str] = {
     "county_fact_sum": O.with_base("SELECT * FROM county_fact_sum"),
     "centre_fact": O.with_base("SELECT * FROM centre_fact"),
 }
+
+
+# ---------------------------------------------------------------------------
+# Serving: filters, scorecards, chart series, top-k, yearly rollup
+# ---------------------------------------------------------------------------
+
+from cubewise.operators.filters import apply_filters  # noqa: E402
+from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup  # noqa: E402
+from cubewise.session import table_path  # noqa: E402
+
+DASHBOARD_FILTER = {"year": ["2019", "2020"], "category": ["BUILDING", "MACHINERY"]}
+
+
+def q_filtered_fact(spark, sf_dir):
+    return apply_filters(county_fact_df(spark, sf_dir), county=["NATION_5", "NATION_9", "Co.NATION_2"],
+                         year="2020", month=[1, 2, 3, 10], category="AUTOMOBILE")
+
+
+def q_scorecards(spark, sf_dir):
+    return scorecards(centre_fact_df(spark, sf_dir))
+
+
+def q_scorecards_filtered(spark, sf_dir):
+    return scorecards(centre_fact_df(spark, sf_dir), **DASHBOARD_FILTER)
+
+
+def q_applications_by_category(spark, sf_dir):
+    return measure_by(county_fact_df(spark, sf_dir), ["test_category"], ["applications_received"])
+
+
+def q_applications_vs_delivered_by_month(spark, sf_dir):
+    return measure_by(county_fact_df(spark, sf_dir), ["date_month"],
+                      ["applications_received", "tests_delivered"])
+
+
+def q_delivered_vs_no_shows(spark, sf_dir):
+    return measure_by(county_fact_df(spark, sf_dir), ["county"], ["tests_delivered", "no_shows"])
+
+
+def q_centre_applications_vs_delivered(spark, sf_dir):
+    return measure_by(centre_fact_df(spark, sf_dir), ["test_centre"],
+                      ["applications_received", "tests_delivered"])
+
+
+def q_centre_delivered_over_time(spark, sf_dir):
+    return measure_by(centre_fact_df(spark, sf_dir), ["date_month"], ["tests_delivered"])
+
+
+def q_top10_least_waiting(spark, sf_dir):
+    return top_centres(centre_fact_df(spark, sf_dir), "applicants_waiting", 10, ascending=True)
+
+
+def county_population(spark, sf_dir) -> DataFrame:
+    """Population per county, from the data: customers per nation."""
+    c = spark.read.parquet(table_path(sf_dir, "customer")).select("c_nationkey")
+    n = spark.read.parquet(table_path(sf_dir, "nation")).select("n_nationkey", "n_name")
+    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+            .groupBy(F.col("n_name").alias("county")).agg(F.count(F.lit(1)).alias("population")))
+
+
+def q_yearly_rollup_ratio(spark, sf_dir):
+    return yearly_rollup(county_fact_df(spark, sf_dir), "county", county_population(spark, sf_dir))
+
+
+QUERIES.update({
+    "filtered_fact": q_filtered_fact,
+    "scorecards": q_scorecards,
+    "scorecards_filtered": q_scorecards_filtered,
+    "applications_by_category": q_applications_by_category,
+    "applications_vs_delivered_by_month": q_applications_vs_delivered_by_month,
+    "delivered_vs_no_shows": q_delivered_vs_no_shows,
+    "centre_applications_vs_delivered": q_centre_applications_vs_delivered,
+    "centre_delivered_over_time": q_centre_delivered_over_time,
+    "top10_least_waiting": q_top10_least_waiting,
+    "yearly_rollup_ratio": q_yearly_rollup_ratio,
+})
+
+
+def _weighted_sql(rate: str, weight: str) -> str:
+    both = f"{rate} IS NOT NULL AND {weight} IS NOT NULL"
+    num = f"SUM(CASE WHEN {both} THEN CAST({rate} AS DOUBLE) * CAST({weight} AS DOUBLE) END)"
+    den = f"SUM(CASE WHEN {both} THEN CAST({weight} AS DOUBLE) END)"
+    return f"CASE WHEN {den} = 0 THEN NULL ELSE {num} / {den} END"
+
+
+def _scorecards_sql(where: str = "") -> str:
+    return O.with_base(f"""
+      SELECT CAST(SUM(tests_delivered) AS BIGINT) AS tests_delivered,
+             CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+             CASE WHEN COUNT(pass_rate) = 0 THEN NULL
+                  ELSE CAST(SUM(pass_rate) AS DOUBLE) / CAST(COUNT(pass_rate) AS DOUBLE) END AS avg_pass_rate,
+             {_weighted_sql('pass_rate', 'tests_delivered')} AS weighted_pass_rate
+      FROM centre_fact {where}""")
+
+
+ORACLE.update({
+    "filtered_fact": O.with_base("""
+      SELECT * FROM county_fact
+      WHERE county IN ('NATION_5', 'NATION_9', 'Co.NATION_2') AND year IN ('2020')
+        AND "month" IN (1, 2, 3, 10) AND test_category IN ('AUTOMOBILE')"""),
+    "scorecards": _scorecards_sql(),
+    "scorecards_filtered": _scorecards_sql(
+        "WHERE year IN ('2019', '2020') AND test_category IN ('BUILDING', 'MACHINERY')"),
+    "applications_by_category": O.with_base("""
+      SELECT test_category, CAST(SUM(applications_received) AS BIGINT) AS applications_received
+      FROM county_fact GROUP BY test_category"""),
+    "applications_vs_delivered_by_month": O.with_base("""
+      SELECT date_month, CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+             SUM(tests_delivered) AS tests_delivered
+      FROM county_fact GROUP BY date_month"""),
+    "delivered_vs_no_shows": O.with_base("""
+      SELECT county, SUM(tests_delivered) AS tests_delivered, SUM(no_shows) AS no_shows
+      FROM county_fact GROUP BY county"""),
+    "centre_applications_vs_delivered": O.with_base("""
+      SELECT test_centre, CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+             CAST(SUM(tests_delivered) AS BIGINT) AS tests_delivered
+      FROM centre_fact GROUP BY test_centre"""),
+    "centre_delivered_over_time": O.with_base("""
+      SELECT date_month, CAST(SUM(tests_delivered) AS BIGINT) AS tests_delivered
+      FROM centre_fact GROUP BY date_month"""),
+    "top10_least_waiting": O.with_base("""
+      SELECT test_centre, CAST(SUM(applicants_waiting) AS BIGINT) AS applicants_waiting
+      FROM centre_fact GROUP BY test_centre
+      ORDER BY applicants_waiting ASC NULLS LAST, test_centre ASC LIMIT 10"""),
+    "yearly_rollup_ratio": O.with_base(f"""
+      SELECT r.*, p.population,
+             CAST(r.tests_conducted AS DOUBLE) / CAST(p.population AS DOUBLE) AS tests_per_capita
+      FROM (SELECT county, year, SUM(tests_delivered) AS tests_conducted,
+                   CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+                   {_weighted_sql('pass_rate', 'tests_delivered')} AS pass_rate
+            FROM county_fact GROUP BY county, year) r
+      LEFT JOIN (SELECT n.n_name AS county, COUNT(*) AS population
+                 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                 GROUP BY n.n_name) p
+        ON r.county = p.county"""),
+})
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+from cubewise.operators.quality import (  # noqa: E402
+    accepted_values,
+    accepted_values_check,
+    combine_reports,
+    not_null,
+    not_null_check,
+    quality_report,
+    unique,
+    unique_check,
+)
+from cubewise.schemas import ACCEPTED_YEARS  # noqa: E402
+
+STG_NOT_NULL = ["statistic", "year", "month", "test_category", "test_centre_raw", "county", "unit"]
+COUNTY_GRAIN = ["county", "test_category", "date_month"]
+CENTRE_GRAIN = ["test_centre", "county", "test_category", "date_month"]
+
+QUALITY_SUITE = {
+    "stg_api": [*not_null_check(*STG_NOT_NULL),
+                accepted_values_check("year", ACCEPTED_YEARS, severity="warn")],
+    "county_fact": [*not_null_check("year", "county", "test_category", "date_month"),
+                    unique_check(*COUNTY_GRAIN)],
+    "centre_fact": [*not_null_check("county", "year", "pass_rate"),
+                    unique_check(*CENTRE_GRAIN)],
+}
+
+
+def q_dq_not_null(spark, sf_dir):
+    return not_null(stg_api(spark, sf_dir), STG_NOT_NULL)
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    return accepted_values(stg_api(spark, sf_dir), "year", ACCEPTED_YEARS)
+
+
+def q_dq_unique(spark, sf_dir):
+    return unique(county_fact_df(spark, sf_dir), COUNTY_GRAIN)
+
+
+def q_dq_report(spark, sf_dir):
+    tables = {"stg_api": stg_api(spark, sf_dir), "county_fact": county_fact_df(spark, sf_dir),
+              "centre_fact": centre_fact_df(spark, sf_dir)}
+    return combine_reports([quality_report(t, tables[t], checks) for t, checks in QUALITY_SUITE.items()])
+
+
+QUERIES.update({
+    "dq_not_null": q_dq_not_null,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_unique": q_dq_unique,
+    "dq_report": q_dq_report,
+})
+
+
+def _key_sql(cols) -> str:
+    return " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+
+
+def _report_sql(table: str, checks) -> list[str]:
+    out = []
+    for c in checks:
+        col = c.columns[0]
+        if c.kind == "not_null":
+            failing = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NULL)"
+        elif c.kind == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.values)
+            failing = f"(SELECT COUNT(*) FROM {table} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}))"
+        else:
+            k = _key_sql(c.columns)
+            failing = (f"(SELECT COUNT(*) FROM (SELECT {k} AS k FROM {table} WHERE {k} IS NOT NULL "
+                       f"GROUP BY k HAVING COUNT(*) > 1) d)")
+        status = (f"CASE WHEN {failing} = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' "
+                  f"ELSE 'fail' END")
+        out.append(f"SELECT '{table}' AS table_name, '{c.name}' AS check_name, "
+                   f"'{c.column_label.replace(chr(39), chr(39) * 2)}' AS column_name, "
+                   f"'{c.severity}' AS severity, "
+                   f"CAST({failing} AS BIGINT) AS failing_rows, {status} AS status")
+    return out
+
+
+ORACLE.update({
+    "dq_not_null": O.with_base(
+        "SELECT *, concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in STG_NOT_NULL)
+        + ") AS null_columns FROM stg_api WHERE " + " OR ".join(f"{c} IS NULL" for c in STG_NOT_NULL)),
+    "dq_accepted_values": O.with_base(
+        "SELECT * FROM stg_api WHERE year IS NOT NULL AND year NOT IN ("
+        + ", ".join(f"'{y}'" for y in ACCEPTED_YEARS) + ")"),
+    "dq_unique": O.with_base(
+        f"SELECT {_key_sql(COUNTY_GRAIN)} AS unique_key, COUNT(*) AS n_records FROM county_fact "
+        f"WHERE {_key_sql(COUNTY_GRAIN)} IS NOT NULL GROUP BY unique_key HAVING COUNT(*) > 1"),
+    "dq_report": O.with_base("\nUNION ALL\n".join(
+        line for t, checks in QUALITY_SUITE.items() for line in _report_sql(t, checks))),
+})
