@@ -75,7 +75,7 @@ BASE["cust"] = f"""
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
 
 _OD = "o.o_orderdate"
-BASE["raw_api"] = f"""
+BASE["apps_long"] = f"""
   SELECT
     CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'Driving Test Applications Received'
          WHEN o.o_orderpriority = '2-HIGH' THEN 'Driving Test Applicants Waiting at Month End'
@@ -94,9 +94,14 @@ BASE["raw_api"] = f"""
          ELSE c.c_mktsegment END AS driving_test_categories,
     c.centre AS driving_test_centre,
     'Number' AS unit,
-    o.o_orderkey AS value
+    o.o_orderkey AS value,
+    c.n_nationkey
   FROM orders o JOIN cust c ON o.o_custkey = c.c_custkey"""
 
+BASE["raw_api"] = """
+  SELECT statistic, "month", driving_test_categories, driving_test_centre, unit, value
+  FROM apps_long"""
+
 BASE["lines"] = """
   SELECT l.l_orderkey, l.l_quantity, l.l_returnflag, l.l_shipdate, c.*
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey

@@ -452,3 +452,119 @@ ORACLE.update({
     "dq_report": O.with_base("\nUNION ALL\n".join(
         line for t, checks in QUALITY_SUITE.items() for line in _report_sql(t, checks))),
 })
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: landing CSV, full-refresh loads, JSON-stat cubes
+# ---------------------------------------------------------------------------
+
+from cubewise.operators.project import to_snake_case  # noqa: E402
+from cubewise.plans.cube_docs import cube_documents  # noqa: E402
+from cubewise.plans.landing import land_county_file, land_cube, load_county_raw  # noqa: E402
+from cubewise.schemas import LANDING_CENTRE_SCHEMA, LANDING_COUNTY_SCHEMA, RAW_CENTRE_SCHEMA  # noqa: E402
+from cubewise.session import scratch_path  # noqa: E402
+from cubewise.sinks.files import land_csv, load_raw, preview  # noqa: E402
+from cubewise.sources.derived import applications  # noqa: E402
+from cubewise.sources.jsonstat import CENTRE_COLUMNS, read_jsonstat  # noqa: E402
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """County file written with a header line per part file -> landed
+    (header rows and NULL labels dropped, NULL values -> 0.0) -> loaded."""
+    source = scratch_path(spark, "county_source")
+    published = raw_county(spark, sf_dir).toDF(*LANDING_COUNTY_SCHEMA.fieldNames())
+    published.write.option("header", True).csv(source)
+    landing = scratch_path(spark, "landing_county")
+    land_county_file(spark, source, landing)
+    return load_county_raw(spark, landing, scratch_path(spark, "raw_county"))
+
+
+def _land_api_in_two_batches(spark, sf_dir) -> str:
+    raw = raw_api(spark, sf_dir)
+    landing = scratch_path(spark, "landing_api")
+    first = F.coalesce(F.col("driving_test_categories").isin("AUTOMOBILE", "BUILDING"), F.lit(False))
+    land_csv(raw.filter(first), landing)
+    land_csv(raw.filter(~first), landing)
+    return landing
+
+
+def q_raw_load_overwrite(spark, sf_dir):
+    """Two appended landing batches, loaded twice with full refresh: the
+    second load replaces the first, so the table equals the source once."""
+    landing = _land_api_in_two_batches(spark, sf_dir)
+    target = scratch_path(spark, "raw_api")
+    load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, target, RAW_CENTRE_SCHEMA)
+    return load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, target, RAW_CENTRE_SCHEMA)
+
+
+def q_reingest_max_idempotent(spark, sf_dir):
+    """The same extract landed twice (append) duplicates every raw row; the
+    MAX pivot at centre grain is unchanged by it."""
+    raw = raw_api(spark, sf_dir)
+    landing = scratch_path(spark, "landing_api")
+    land_csv(raw, landing)
+    land_csv(raw, landing)
+    loaded = load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "raw_api"),
+                      RAW_CENTRE_SCHEMA)
+    return pivot_measures(clean_centre_rows(stage_centre_stats(loaded), keep_centre=True), CENTRE_KEYS,
+                          "statistic", "stat_value", APPLICATION_MEASURES, "max")
+
+
+def _write_cubes(spark, sf_dir) -> str:
+    path = scratch_path(spark, "cubes")
+    cube_documents(applications(spark, sf_dir)).select("json").write.text(path)
+    return path
+
+
+def q_jsonstat_flatten(spark, sf_dir):
+    """Cubes (one per nation and year) written as JSON-stat documents, read
+    back and flattened to long rows (empty cells -> 0)."""
+    rows, _rejected = read_jsonstat(spark, _write_cubes(spark, sf_dir), CENTRE_COLUMNS, layout="lines")
+    return to_snake_case(rows.drop("doc"))
+
+
+def q_cube_land_load(spark, sf_dir):
+    """Cubes -> landing CSV (by position) -> full-refresh raw table."""
+    landing = scratch_path(spark, "landing_cube")
+    land_cube(spark, _write_cubes(spark, sf_dir), landing, CENTRE_COLUMNS, layout="lines")
+    return load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "raw_cube"),
+                    RAW_CENTRE_SCHEMA)
+
+
+def q_preview(spark, sf_dir):
+    return preview(raw_api(spark, sf_dir), 10)
+
+
+QUERIES.update({
+    "csv_round_trip": q_csv_round_trip,
+    "raw_load_overwrite": q_raw_load_overwrite,
+    "reingest_max_idempotent": q_reingest_max_idempotent,
+    "jsonstat_flatten": q_jsonstat_flatten,
+    "cube_land_load": q_cube_land_load,
+    "preview": q_preview,
+})
+
+_CUBE_SQL = """
+  WITH d AS (SELECT n_nationkey AS dn, substr("month", 1, 4) AS dy, statistic, "month",
+                    driving_test_categories AS cat, driving_test_centre AS centre FROM apps_long),
+  k AS (SELECT dn, dy, statistic, "month", cat, centre, COUNT(*) AS n FROM d
+        GROUP BY dn, dy, statistic, "month", cat, centre),
+  s AS (SELECT DISTINCT dn, dy, statistic FROM d),
+  m AS (SELECT DISTINCT dn, dy, "month" FROM d),
+  c AS (SELECT DISTINCT dn, dy, cat FROM d),
+  z AS (SELECT DISTINCT dn, dy, centre FROM d)
+  SELECT s.statistic, m."month", c.cat AS driving_test_categories, z.centre AS driving_test_centre,
+         'Number' AS unit, CAST(COALESCE(k.n, 0) AS BIGINT) AS value
+  FROM s JOIN m ON s.dn = m.dn AND s.dy = m.dy
+         JOIN c ON s.dn = c.dn AND s.dy = c.dy
+         JOIN z ON s.dn = z.dn AND s.dy = z.dy
+         LEFT JOIN k ON k.dn = s.dn AND k.dy = s.dy AND k.statistic = s.statistic
+                    AND k."month" = m."month" AND k.cat = c.cat AND k.centre = z.centre"""
+
+ORACLE.update({
+    "csv_round_trip": O.with_base("SELECT * FROM landed_county"),
+    "raw_load_overwrite": O.with_base("SELECT * FROM raw_api"),
+    "reingest_max_idempotent": O.with_base("SELECT * FROM pivot_apps_centre"),
+    "jsonstat_flatten": O.with_base("SELECT * FROM (" + _CUBE_SQL + ") x"),
+    "cube_land_load": O.with_base("SELECT * FROM (" + _CUBE_SQL + ") x"),
+})

@@ -83,6 +83,11 @@ def _period(d: Column, status: Column, priority: Column) -> Column:
 def raw_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications table (statistic, month, driving_test_categories,
     driving_test_centre, unit, value bigint)."""
+    return applications(spark, sf_dir).drop("n_nationkey")
+
+
+def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_api rows plus the nation key of their centre."""
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
               "o_orderpriority")
     c = customer_centres(spark, sf_dir)
@@ -105,6 +110,7 @@ def raw_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("centre").alias("driving_test_centre"),
         F.lit(UNIT_LABEL).alias("unit"),
         F.col("o_orderkey").alias("value"),
+        F.col("n_nationkey"),
     )
 
 
