@@ -86,7 +86,7 @@ def q_header_row_filter(spark, sf_dir):
     """County file as read headerless: its header line arrives as a row
     (value unparseable -> NULL) and must be dropped with the NULL labels."""
     raw = raw_county(spark, sf_dir)
-    header = (raw.limit(1).select(
+    header = (spark.range(1).select(
         F.lit(HEADER_LABEL).alias("statistic_label"), F.lit("Month").alias("month"),
         F.lit("County").alias("county"), F.lit("Driving Test Categories").alias("driving_test_categories"),
         F.lit("UNIT").alias("unit"), F.lit(None).cast("double").alias("value")))
@@ -228,6 +228,7 @@ ORACLE: dict[str, str] = {
 from cubewise.operators.filters import apply_filters  # noqa: E402
 from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup  # noqa: E402
 from cubewise.session import table_path  # noqa: E402
+from cubewise.sources.derived import read_table  # noqa: E402
 
 DASHBOARD_FILTER = {"year": ["2019", "2020"], "category": ["BUILDING", "MACHINERY"]}
 
@@ -273,8 +274,8 @@ def q_top10_least_waiting(spark, sf_dir):
 
 def county_population(spark, sf_dir) -> DataFrame:
     """Population per county, from the data: customers per nation."""
-    c = spark.read.parquet(table_path(sf_dir, "customer")).select("c_nationkey")
-    n = spark.read.parquet(table_path(sf_dir, "nation")).select("n_nationkey", "n_name")
+    c = read_table(spark, table_path(sf_dir, "customer")).select("c_nationkey")
+    n = read_table(spark, table_path(sf_dir, "nation")).select("n_nationkey", "n_name")
     return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
             .groupBy(F.col("n_name").alias("county")).agg(F.count(F.lit(1)).alias("population")))
 

@@ -15,7 +15,9 @@ def read_landing_csv(spark: SparkSession, path: str | list[str], schema: T.Struc
 
     ``path`` may be a file, a directory or a glob (``landing/*``), or a list
     of them. Unparseable fields become NULL (PERMISSIVE); with
-    ``corrupt_col`` the raw text of such lines is kept for counting.
+    ``corrupt_col`` the raw text of such lines is kept for counting (the
+    reader parses only the columns a query uses, so a count of corrupt lines
+    must read every column).
     The scan splits files by ``spark.sql.files.maxPartitionBytes``.
     """
     if corrupt_col:

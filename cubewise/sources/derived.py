@@ -29,8 +29,23 @@ from cubewise.session import table_path
 YEAR_SHIFT = 23  # 1995..2001 -> 2018..2024
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name)).select(*cols)
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table, read once per application (the footer/schema job runs
+    once; later reads reuse the same lazy DataFrame)."""
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str, where=None) -> DataFrame:
+    """Pruned (and filtered) scan: Catalyst pushes both into the Parquet reader."""
+    df = read_table(spark, table_path(sf_dir, name)).select(*cols)
+    return df if where is None else df.filter(where)
 
 
 def customer_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +132,8 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _finished_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished line items with their customer's centre (two shuffle joins
     on the natural keys; the status filter reaches the lineitem scan)."""
-    li = (_read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus",
-                "l_shipdate")
-          .filter(F.col("l_linestatus") == "F"))
+    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus",
+               "l_shipdate", where=F.col("l_linestatus") == "F")
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     c = customer_centres(spark, sf_dir)
     return li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
