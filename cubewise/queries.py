@@ -605,3 +605,42 @@ def q_incremental_landing(spark, sf_dir):
 
 QUERIES["incremental_landing"] = q_incremental_landing
 ORACLE["incremental_landing"] = O.with_base("SELECT * FROM pivot_apps_centre")
+
+
+# ---------------------------------------------------------------------------
+# Named sources, views and stored facts
+# ---------------------------------------------------------------------------
+
+from cubewise.sinks.files import as_view, materialize  # noqa: E402
+from cubewise.sources.catalog import Catalog  # noqa: E402
+
+
+def q_county_fact_from_sources(spark, sf_dir):
+    """The county fact with its inputs resolved by name: raw tables are
+    registered as named sources, staging models exposed as views."""
+    cat = Catalog(spark)
+    cat.register_view("staging", "driving_test_api_table", raw_api(spark, sf_dir))
+    cat.register_view("staging", "driving_test_localfile_table", landed_county(spark, sf_dir))
+    stg_a = as_view(stage_centre_stats(cat.source("staging", "driving_test_api_table")),
+                    "stg_staging__driving_test_api_table")
+    stg_l = as_view(stage_county_stats(cat.source("staging", "driving_test_localfile_table")),
+                    "stg_staging__driving_test_localfile_table")
+    return county_fact(stg_a, stg_l)
+
+
+def q_fact_year_partition_filter(spark, sf_dir):
+    """County fact stored partitioned by year; a dashboard year filter then
+    reads only that year's directory (partition pruning)."""
+    stored = materialize(county_fact_df(spark, sf_dir), scratch_path(spark, "county_fact"), ("year",))
+    return apply_filters(stored, year="2020", category=["BUILDING", "AUTOMOBILE"])
+
+
+QUERIES.update({
+    "county_fact_from_sources": q_county_fact_from_sources,
+    "fact_year_partition_filter": q_fact_year_partition_filter,
+})
+ORACLE.update({
+    "county_fact_from_sources": O.with_base("SELECT * FROM county_fact"),
+    "fact_year_partition_filter": O.with_base(
+        "SELECT * FROM county_fact WHERE year IN ('2020') AND test_category IN ('BUILDING', 'AUTOMOBILE')"),
+})
