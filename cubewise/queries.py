@@ -619,12 +619,12 @@ def q_county_fact_from_sources(spark, sf_dir):
     """The county fact with its inputs resolved by name: raw tables are
     registered as named sources, staging models exposed as views."""
     cat = Catalog(spark)
-    cat.register_view("staging", "driving_test_api_table", raw_api(spark, sf_dir))
-    cat.register_view("staging", "driving_test_localfile_table", landed_county(spark, sf_dir))
-    stg_a = as_view(stage_centre_stats(cat.source("staging", "driving_test_api_table")),
-                    "stg_staging__driving_test_api_table")
-    stg_l = as_view(stage_county_stats(cat.source("staging", "driving_test_localfile_table")),
-                    "stg_staging__driving_test_localfile_table")
+    cat.register_view("staging", "applications", raw_api(spark, sf_dir))
+    cat.register_view("staging", "county_file", landed_county(spark, sf_dir))
+    stg_a = as_view(stage_centre_stats(cat.source("staging", "applications")),
+                    "staged_applications")
+    stg_l = as_view(stage_county_stats(cat.source("staging", "county_file")),
+                    "staged_county_file")
     return county_fact(stg_a, stg_l)
 
 
