@@ -46,14 +46,17 @@ def cube_documents(long_rows: DataFrame) -> DataFrame:
     pos = F.lit(0).cast("long")
     for k, src in enumerate(src_cols):
         pos = pos * sizes[k] + (F.array_position(_labels(k), F.col(src)) - 1)
-    positioned = cells.join(labels, DOC_KEYS).select(
-        *DOC_KEYS, *[_labels(k) for k in range(len(DIMENSIONS))], pos.alias("pos"), "n")
-    docs = positioned.groupBy(*DOC_KEYS).agg(
-        *[F.any_value(_labels(k)).alias(f"labels_{k}") for k in range(len(DIMENSIONS))],
-        F.map_from_entries(F.collect_list(F.struct("pos", F.col("n").cast("double")))).alias("cells"))
     total = F.aggregate(F.array(*sizes), F.lit(1).cast("long"), lambda a, x: a * x)
-    values = F.transform(F.sequence(F.lit(0).cast("long"), total - 1),
-                         lambda p: F.try_element_at(F.col("cells"), p))
+    positioned = cells.join(labels, DOC_KEYS).select(*DOC_KEYS, pos.alias("pos"), "n")
+    # Dense value array without per-cell lookups: every position of the
+    # document's grid, left-joined to the counted cells, collected in order.
+    grid = labels.select(*DOC_KEYS, F.explode(F.sequence(F.lit(0).cast("long"), total - 1)).alias("pos"))
+    dense = grid.join(positioned, [*DOC_KEYS, "pos"], "left")
+    values = (dense.groupBy(*DOC_KEYS)
+              .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("n").cast("double").alias("v"))))
+                   .alias("cells"))
+              .select(*DOC_KEYS, F.transform("cells", lambda x: x["v"]).alias("value")))
+    docs = labels.join(values, DOC_KEYS)
     dimension = F.create_map(*[
         part for k, (dim_id, label, _) in enumerate(DIMENSIONS) for part in (
             F.lit(dim_id),
@@ -64,6 +67,6 @@ def cube_documents(long_rows: DataFrame) -> DataFrame:
         F.array(*[F.lit(d) for d, _, _ in DIMENSIONS]).alias("id"),
         F.array(*sizes).alias("size"),
         dimension.alias("dimension"),
-        values.alias("value"),
+        F.col("value").alias("value"),
     )
     return docs.select(*DOC_KEYS, F.to_json(F.struct(result.alias("result"))).alias("json"))
