@@ -26,11 +26,22 @@ def land_county_file(spark: SparkSession, source: str | list[str], landing_dir:
              single_file=single_file)
 
 
+class RejectedDocuments(ValueError):
+    pass
+
+
 def land_cube(spark: SparkSession, docs_path: str | list[str], landing_dir: str,
-              columns: Sequence[str] = tuple(CENTRE_COLUMNS), layout: str = "file") -> DataFrame:
+              columns: Sequence[str] = tuple(CENTRE_COLUMNS), layout: str = "file",
+              fail_on_reject: bool = False) -> DataFrame:
     """Landed JSON-stat documents -> landing CSV (headerless, append), in
-    the declared column order. Returns the rejected documents."""
+    the declared column order. Returns the rejected documents; with
+    ``fail_on_reject`` any rejected document raises before anything is
+    landed (an error is never just printed and swallowed)."""
     rows, rejected = read_jsonstat(spark, docs_path, columns, layout)
+    if fail_on_reject:
+        bad = rejected.limit(5).collect()
+        if bad:
+            raise RejectedDocuments("; ".join(f"{r.doc}: {r.reject_reason}" for r in bad))
     land_csv(rows.select(*columns, "UNIT", "VALUE"), landing_dir, header=False)
     return rejected
 

@@ -165,3 +165,18 @@ def test_materialize_partitions_by_year(spark):
     assert preview(out, 2).count() == 2
     assert to_snake_case(spark.createDataFrame([(1,)], "`Driving Test Centre` int")).columns == [
         "driving_test_centre"]
+
+
+def test_land_cube_raises_on_rejected_documents(spark, tmp_path):
+    import pytest
+
+    from cubewise.plans.landing import RejectedDocuments, land_cube
+
+    (tmp_path / "good.json").write_text(json.dumps(cube([1] * 8)))
+    (tmp_path / "bad.json").write_text(json.dumps({"error": "no result"}))
+    with pytest.raises(RejectedDocuments):
+        land_cube(spark, str(tmp_path), scratch_path(spark, "t_land"), fail_on_reject=True)
+    landing = scratch_path(spark, "t_land")
+    rejected = land_cube(spark, str(tmp_path), landing, ["Statistic", "Month", "Driving Test Centre"])
+    assert [r.reject_reason for r in rejected.collect()] == ["missing result"]
+    assert len(spark.read.csv(landing).collect()) == 8
