@@ -36,7 +36,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if os.environ.get("EXACT_FLOATS") else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if hasattr(v, "item"):
