@@ -180,3 +180,12 @@ def test_land_cube_raises_on_rejected_documents(spark, tmp_path):
     rejected = land_cube(spark, str(tmp_path), landing, ["Statistic", "Month", "Driving Test Centre"])
     assert [r.reject_reason for r in rejected.collect()] == ["missing result"]
     assert len(spark.read.csv(landing).collect()) == 8
+
+
+def test_single_file_landing(spark):
+    df = spark.range(100).selectExpr("cast(id as string) as a", "id as b").repartition(4)
+    landing = scratch_path(spark, "t_single")
+    land_csv(df, landing, single_file=True)
+    parts = [p for p in os.listdir(landing) if p.startswith("part-")]
+    assert len(parts) == 1
+    assert spark.read.csv(landing).count() == 100
