@@ -81,7 +81,14 @@ def main(argv):
     import __spark_entry__ as E
     from cubewise.session import get_session
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0
