@@ -32,6 +32,23 @@ def _labels(k: int) -> Column:
     return F.col(f"labels_{k}")
 
 
+def _nulls(k: Column) -> Column:
+    return F.array_repeat(F.lit(None).cast("double"), k.cast("int"))
+
+
+def dense_values(entries: str, total: Column) -> Column:
+    """Sorted non-empty cells [(pos, v)] -> dense value array of length
+    ``total`` with NULL in empty cells, in one linear pass: each value is
+    followed by as many NULLs as the gap to the next position."""
+    e = F.col(entries)
+    n = F.size(e)
+    pos_at = lambda i: F.get(e, i)["pos"]
+    next_pos = lambda i: F.when(i < n - 1, pos_at(i + 1)).otherwise(total)
+    runs = F.transform(F.sequence(F.lit(0), n - 1),
+                       lambda i: F.concat(F.array(F.get(e, i)["v"]), _nulls(next_pos(i) - pos_at(i) - 1)))
+    return F.concat(_nulls(pos_at(F.lit(0))), F.flatten(runs))
+
+
 def cube_documents(long_rows: DataFrame) -> DataFrame:
     """(n_nationkey, statistic, month, category, centre, ...) -> (doc_nation,
     doc_year, json) with one JSON-stat document per nation and year."""
@@ -48,15 +65,9 @@ def cube_documents(long_rows: DataFrame) -> DataFrame:
         pos = pos * sizes[k] + (F.array_position(_labels(k), F.col(src)) - 1)
     total = F.aggregate(F.array(*sizes), F.lit(1).cast("long"), lambda a, x: a * x)
     positioned = cells.join(labels, DOC_KEYS).select(*DOC_KEYS, pos.alias("pos"), "n")
-    # Dense value array without per-cell lookups: every position of the
-    # document's grid, left-joined to the counted cells, collected in order.
-    grid = labels.select(*DOC_KEYS, F.explode(F.sequence(F.lit(0).cast("long"), total - 1)).alias("pos"))
-    dense = grid.join(positioned, [*DOC_KEYS, "pos"], "left")
-    values = (dense.groupBy(*DOC_KEYS)
-              .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("n").cast("double").alias("v"))))
-                   .alias("cells"))
-              .select(*DOC_KEYS, F.transform("cells", lambda x: x["v"]).alias("value")))
-    docs = labels.join(values, DOC_KEYS)
+    entries = positioned.groupBy(*DOC_KEYS).agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.col("n").cast("double").alias("v")))).alias("cells"))
+    docs = labels.join(entries, DOC_KEYS).withColumn("value", dense_values("cells", total))
     dimension = F.create_map(*[
         part for k, (dim_id, label, _) in enumerate(DIMENSIONS) for part in (
             F.lit(dim_id),
