@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cubewise import oracle as O
 from cubewise.functions import month_name, month_number, month_start, strip_county_prefix
-from cubewise.operators.filters import drop_totals
 from cubewise.operators.pivot import full_outer_on, pivot_measures
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats

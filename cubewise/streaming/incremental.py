@@ -4,8 +4,9 @@ A file-source stream over the landing directory drives ``foreachBatch``:
 
 1. the batch's rows are staged and written under ``state/epoch=<id>/``
    (overwrite of that epoch only, so a replayed epoch is idempotent);
-2. the (year, month) partitions the batch touches are collected (bounded by
-   the calendar, so broadcasting them is safe);
+2. the (year, month) partitions the batch touches are collected: few for
+   valid months, but malformed labels are not bounded, so no broadcast is
+   forced; AQE broadcasts the set at run time when its measured size is small;
 3. all staged rows of those partitions are read back (partition pruning on
    year/month) and the fact is rebuilt for them;
 4. the fact table is written with dynamic partition overwrite, replacing the
@@ -26,7 +27,6 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -60,7 +60,7 @@ def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_
     history = read_partitioned(spark, state_dir, state_schema).drop("epoch")
     touched = staged.select(*cols).distinct()
     cond = reduce(lambda a, b: a & b, [history[c].eqNullSafe(touched[c]) for c in cols])
-    affected = history.join(F.broadcast(touched), cond, "left_semi")
+    affected = history.join(touched, cond, "left_semi")
 
     fact = build_fact(affected)
     (fact.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
