@@ -648,3 +648,36 @@ ORACLE.update({
     "fact_year_partition_filter": O.with_base(
         "SELECT * FROM county_fact WHERE year IN ('2020') AND test_category IN ('BUILDING', 'AUTOMOBILE')"),
 })
+
+
+# ---------------------------------------------------------------------------
+# Document validation on landed cubes
+# ---------------------------------------------------------------------------
+
+from cubewise.sources.jsonstat import parse_documents, read_documents, validate_jsonstat  # noqa: E402
+
+
+def q_jsonstat_rejected(spark, sf_dir):
+    """Cubes landed with defects, as an API may return them: nation 0's
+    documents lack the dimension order, nation 1's carry a text cell. Each
+    document is counted as valid or under its reject reason."""
+    docs = cube_documents(applications(spark, sf_dir))
+    text = F.col("json")
+    defective = (F.when(F.col("doc_nation") == 0, F.regexp_replace(text, r'"id":\[[^\]]*\]', '"id":[]'))
+                 .when(F.col("doc_nation") == 1, F.regexp_replace(text, r'"value":\[', '"value":["..",'))
+                 .otherwise(text))
+    path = scratch_path(spark, "cubes_defective")
+    docs.select(defective.alias("json")).write.text(path)
+    valid, rejected = validate_jsonstat(parse_documents(read_documents(spark, path, layout="lines")))
+    return (valid.agg(F.count(F.lit(1)).alias("documents")).select(F.lit("valid").alias("status"), "documents")
+            .unionByName(rejected.groupBy(F.col("reject_reason").alias("status"))
+                         .agg(F.count(F.lit(1)).alias("documents"))))
+
+
+QUERIES["jsonstat_rejected"] = q_jsonstat_rejected
+ORACLE["jsonstat_rejected"] = O.with_base("""
+  SELECT CASE WHEN dn = 0 THEN 'missing dimension order or size'
+              WHEN dn = 1 THEN 'invalid JSON-stat format' ELSE 'valid' END AS status,
+         COUNT(*) AS documents
+  FROM (SELECT DISTINCT n_nationkey AS dn, substr("month", 1, 4) AS dy FROM apps_long) d
+  GROUP BY 1""")
