@@ -32,12 +32,12 @@ class RejectedDocuments(ValueError):
 
 def land_cube(spark: SparkSession, docs_path: str | list[str], landing_dir: str,
               columns: Sequence[str] = tuple(CENTRE_COLUMNS), layout: str = "file",
-              fail_on_reject: bool = False) -> DataFrame:
+              fail_on_reject: bool = False, rebalance: bool = False) -> DataFrame:
     """Landed JSON-stat documents -> landing CSV (headerless, append), in
     the declared column order. Returns the rejected documents; with
     ``fail_on_reject`` any rejected document raises before anything is
     landed (an error is never just printed and swallowed)."""
-    rows, rejected = read_jsonstat(spark, docs_path, columns, layout)
+    rows, rejected = read_jsonstat(spark, docs_path, columns, layout, rebalance)
     if fail_on_reject:
         bad = rejected.limit(5).collect()
         if bad:

@@ -140,7 +140,13 @@ def flatten_cube(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_jsonstat(spark: SparkSession, path: str | list[str], columns: Sequence[str] = tuple(CENTRE_COLUMNS),
-                  layout: str = "file") -> tuple[DataFrame, DataFrame]:
-    """Landed JSON-stat documents -> (long rows, rejected documents)."""
+                  layout: str = "file", rebalance: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Landed JSON-stat documents -> (long rows, rejected documents).
+
+    With ``rebalance`` the flattened cells are redistributed (AQE picks the
+    partition count from their size) so that a few very large cubes do not
+    leave everything downstream, e.g. the landing write, to one task each.
+    """
     valid, rejected = validate_jsonstat(parse_documents(read_documents(spark, path, layout)))
-    return flatten_cube(valid, columns), rejected
+    rows = flatten_cube(valid, columns)
+    return (rows.hint("rebalance") if rebalance else rows), rejected

@@ -189,3 +189,10 @@ def test_single_file_landing(spark):
     parts = [p for p in os.listdir(landing) if p.startswith("part-")]
     assert len(parts) == 1
     assert spark.read.csv(landing).count() == 100
+
+
+def test_rebalanced_flatten_keeps_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(cube(list(range(8)))))
+    rows, _ = read_jsonstat(spark, str(tmp_path), ["Statistic", "Month", "Driving Test Centre"],
+                            rebalance=True)
+    assert sorted(r.VALUE for r in rows.collect()) == list(range(8))
