@@ -603,8 +603,9 @@ def q_incremental_landing(spark, sf_dir):
         q.awaitTermination()
     schema = T.StructType(
         [T.StructField(k, T.StringType(), True) for k in CENTRE_KEYS]
-        + [T.StructField(m, T.LongType(), True) for m in APPLICATION_MEASURES.values()])
-    return read_partitioned(spark, fact, schema)
+        + [T.StructField(m, T.LongType(), True) for m in APPLICATION_MEASURES.values()]
+        + [T.StructField("period", T.DateType(), True)])
+    return read_partitioned(spark, fact, schema).drop("period")
 
 
 QUERIES["incremental_landing"] = q_incremental_landing

@@ -2,19 +2,25 @@
 
 A file-source stream over the landing directory drives ``foreachBatch``:
 
-1. the batch's rows are staged and written under ``state/epoch=<id>/``
-   (overwrite of that epoch only, so a replayed epoch is idempotent);
-2. the (year, month) partitions the batch touches are collected: few for
-   valid months, but malformed labels are not bounded, so no broadcast is
-   forced; AQE broadcasts the set at run time when its measured size is small;
-3. all staged rows of those partitions are read back (partition pruning on
-   year/month) and the fact is rebuilt for them;
-4. the fact table is written with dynamic partition overwrite, replacing the
-   touched months only.
+1. the batch's rows are staged, tagged with their calendar ``period`` (first
+   day of the month; NULL for an unparseable month) and written under
+   ``state/epoch=<id>/period=...`` (overwrite of that epoch only, so a
+   replayed epoch is idempotent);
+2. the periods the batch touches are collected: few for valid months, but
+   malformed labels all share the NULL period, and no broadcast is forced;
+   AQE broadcasts the set at run time when its measured size is small;
+3. all staged rows of those periods are read back (partition pruning) and
+   the fact is rebuilt for them;
+4. the fact table, partitioned by period, is written with dynamic partition
+   overwrite, replacing the touched months only.
+
+Different spellings of one month ('Jan', 'January', '1') share a period
+partition while the fact rows keep their own grain.
 
 Partitioned writes are clustered with the ``rebalance`` hint: rows of one
 month land in few files, and AQE still splits a month holding a large share
-of the rows across several tasks.
+of the rows across several tasks. ``build_fact`` must keep the staged
+``year`` and ``month`` columns (the period is derived from them).
 
 A stream-stream full outer join would need watermarks and would still delay
 one-sided rows; a MAX kept as streaming state could never lower a revised
@@ -24,16 +30,20 @@ value. Recomputing touched months from the staged history avoids both.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cubewise.functions import month_number, month_start
 from cubewise.operators.project import to_snake_case
 from cubewise.plans.staging import stage_centre_stats
 
-PARTITION_COLS = ("year", "month")
+PERIOD = "period"
+
+
+def calendar_period(df: DataFrame) -> Column:
+    """First day of the row's month, from the staged year and month text."""
+    return month_start("year", month_number("month"))
 
 
 def _with_fields(schema: T.StructType, extra: Sequence[T.StructField]) -> T.StructType:
@@ -50,21 +60,21 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
 def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_dir: str, fact_dir: str,
                     build_fact: Callable[[DataFrame], DataFrame],
                     stage: Callable[[DataFrame], DataFrame] = stage_centre_stats,
-                    partition_cols: Sequence[str] = PARTITION_COLS) -> None:
+                    period: Callable[[DataFrame], Column] = calendar_period) -> None:
     staged = stage(to_snake_case(batch))
-    cols = list(partition_cols)
-    (staged.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols)
+    staged = staged.withColumn(PERIOD, period(staged))
+    (staged.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD)
      .parquet(f"{state_dir}/epoch={epoch_id}"))
 
     state_schema = _with_fields(staged.schema, [T.StructField("epoch", T.LongType(), True)])
     history = read_partitioned(spark, state_dir, state_schema).drop("epoch")
-    touched = staged.select(*cols).distinct()
-    cond = reduce(lambda a, b: a & b, [history[c].eqNullSafe(touched[c]) for c in cols])
-    affected = history.join(touched, cond, "left_semi")
+    touched = staged.select(PERIOD).distinct()
+    affected = history.join(touched, history[PERIOD].eqNullSafe(touched[PERIOD]), "left_semi")
 
-    fact = build_fact(affected)
-    (fact.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*cols).parquet(fact_dir))
+    fact = build_fact(affected.drop(PERIOD))
+    fact = fact.withColumn(PERIOD, period(fact))
+    (fact.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PERIOD).parquet(fact_dir))
 
 
 def start_incremental(spark: SparkSession, landing_dir: str, landing_schema: T.StructType, state_dir: str,

@@ -92,7 +92,7 @@ def test_incremental_refresh_equals_batch(spark):
     landing, state, out, ckpt = (scratch_path(spark, n) for n in ("l", "s", "f", "c"))
     schema = ("year string, month string, county string, test_centre string, test_category string, "
               "applications_received bigint, applicants_waiting bigint, applicants_scheduled bigint, "
-              "applicants_paused bigint, applicants_not_eligible bigint")
+              "applicants_paused bigint, applicants_not_eligible bigint, period date")
     for batch in (rows[:3], rows[3:]):
         land_csv(spark.createDataFrame(batch, LANDING_CENTRE_SCHEMA), landing)
         start_incremental(spark, landing, LANDING_CENTRE_SCHEMA, state, out, ckpt,
