@@ -196,3 +196,22 @@ def test_rebalanced_flatten_keeps_rows(spark, tmp_path):
     rows, _ = read_jsonstat(spark, str(tmp_path), ["Statistic", "Month", "Driving Test Centre"],
                             rebalance=True)
     assert sorted(r.VALUE for r in rows.collect()) == list(range(8))
+
+
+def test_cube_without_category_lands_and_stages(spark, tmp_path):
+    from cubewise.plans.landing import land_cube
+    from cubewise.plans.staging import stage_centre_stats
+    from cubewise.schemas import LANDING_CENTRE_NO_CATEGORY_SCHEMA, RAW_CENTRE_NO_CATEGORY_SCHEMA
+    from cubewise.sources.jsonstat import CENTRE_NO_CATEGORY_COLUMNS
+
+    doc = cube([1, 2, 3, 4, 5, 6, 7, 8], month_labels=("2021 January", "2021 Feb"),
+               centre_labels=("Tuam, Co. Galway", "Finglas"))
+    (tmp_path / "r.json").write_text(json.dumps(doc))
+    landing = scratch_path(spark, "t_ro34")
+    land_cube(spark, str(tmp_path), landing, CENTRE_NO_CATEGORY_COLUMNS)
+    raw = load_raw(spark, landing + "/*", LANDING_CENTRE_NO_CATEGORY_SCHEMA, scratch_path(spark, "t_ro34_raw"),
+                   RAW_CENTRE_NO_CATEGORY_SCHEMA)
+    stg = stage_centre_stats(raw, has_category=False)
+    assert stg.columns == ["statistic", "year", "month", "test_centre_raw", "county", "unit"]
+    got = {(r.statistic, r.month, r.county, r.unit) for r in stg.collect()}
+    assert ("s0", "January", "Co. Galway", 1) in got and ("s1", "Feb", None, 8) in got
