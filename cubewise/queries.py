@@ -11,21 +11,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cubewise import oracle as O
 from cubewise.functions import month_name, month_number, month_start, strip_county_prefix
+from cubewise.operators.filters import apply_filters
 from cubewise.operators.pivot import full_outer_on, pivot_measures
+from cubewise.operators.project import to_snake_case
+from cubewise.operators.quality import (
+    accepted_values,
+    accepted_values_check,
+    combine_reports,
+    not_null,
+    not_null_check,
+    quality_report,
+    unique,
+    unique_check,
+)
+from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup
+from cubewise.plans.cube_docs import cube_documents
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
+from cubewise.plans.landing import land_county_file, land_cube, load_county_raw
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
 from cubewise.schemas import (
+    ACCEPTED_YEARS,
     APPLICATION_MEASURES,
     CENTRE_KEYS,
     CENTRE_TEST_MEASURES,
     COUNTY_KEYS,
     HEADER_LABEL,
+    LANDING_CENTRE_SCHEMA,
+    LANDING_COUNTY_SCHEMA,
+    RAW_CENTRE_SCHEMA,
 )
+from cubewise.session import ensure_checkpoint_dir, scratch_path, table_path
+from cubewise.sinks.files import as_view, land_csv, load_raw, materialize, preview
+from cubewise.sources.catalog import Catalog
 from cubewise.sources.csv import clean_csv_rows
-from cubewise.sources.derived import raw_api, raw_county, raw_ro30, raw_ro34
+from cubewise.sources.derived import applications, raw_api, raw_county, raw_ro30, raw_ro34, read_table
+from cubewise.sources.jsonstat import (
+    CENTRE_COLUMNS,
+    parse_documents,
+    read_documents,
+    read_jsonstat,
+    validate_jsonstat,
+)
+from cubewise.streaming.incremental import read_partitioned, start_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,10 +255,6 @@ ORACLE: dict[str, str] = {
 # Serving: filters, scorecards, chart series, top-k, yearly rollup
 # ---------------------------------------------------------------------------
 
-from cubewise.operators.filters import apply_filters  # noqa: E402
-from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup  # noqa: E402
-from cubewise.session import table_path  # noqa: E402
-from cubewise.sources.derived import read_table  # noqa: E402
 
 DASHBOARD_FILTER = {"year": ["2019", "2020"], "category": ["BUILDING", "MACHINERY"]}
 
@@ -361,17 +388,6 @@ ORACLE.update({
 # Data quality
 # ---------------------------------------------------------------------------
 
-from cubewise.operators.quality import (  # noqa: E402
-    accepted_values,
-    accepted_values_check,
-    combine_reports,
-    not_null,
-    not_null_check,
-    quality_report,
-    unique,
-    unique_check,
-)
-from cubewise.schemas import ACCEPTED_YEARS  # noqa: E402
 
 STG_NOT_NULL = ["statistic", "year", "month", "test_category", "test_centre_raw", "county", "unit"]
 COUNTY_GRAIN = ["county", "test_category", "date_month"]
@@ -463,15 +479,6 @@ ORACLE.update({
 # Sources and sinks: landing CSV, full-refresh loads, JSON-stat cubes
 # ---------------------------------------------------------------------------
 
-from cubewise.operators.project import to_snake_case  # noqa: E402
-from cubewise.plans.cube_docs import cube_documents  # noqa: E402
-from cubewise.plans.landing import land_county_file, land_cube, load_county_raw  # noqa: E402
-from cubewise.schemas import LANDING_CENTRE_SCHEMA, LANDING_COUNTY_SCHEMA, RAW_CENTRE_SCHEMA  # noqa: E402
-from cubewise.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
-from cubewise.sinks.files import land_csv, load_raw, preview  # noqa: E402
-from cubewise.sources.derived import applications  # noqa: E402
-from cubewise.sources.jsonstat import CENTRE_COLUMNS, read_jsonstat  # noqa: E402
-
 
 def q_csv_round_trip(spark, sf_dir):
     """County file written with a header line per part file -> landed
@@ -579,10 +586,6 @@ ORACLE.update({
 # Streaming: incremental landing
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
-from cubewise.streaming.incremental import read_partitioned, start_incremental  # noqa: E402
-
 
 def centre_applications_pivot(staged: DataFrame) -> DataFrame:
     return pivot_measures(clean_centre_rows(staged, keep_centre=True), CENTRE_KEYS, "statistic",
@@ -616,9 +619,6 @@ ORACLE["incremental_landing"] = O.with_base("SELECT * FROM pivot_apps_centre")
 # Named sources, views and stored facts
 # ---------------------------------------------------------------------------
 
-from cubewise.sinks.files import as_view, materialize  # noqa: E402
-from cubewise.sources.catalog import Catalog  # noqa: E402
-
 
 def q_county_fact_from_sources(spark, sf_dir):
     """The county fact with its inputs resolved by name: raw tables are
@@ -655,8 +655,6 @@ ORACLE.update({
 # Document validation on landed cubes
 # ---------------------------------------------------------------------------
 
-from cubewise.sources.jsonstat import parse_documents, read_documents, validate_jsonstat  # noqa: E402
-
 
 def q_jsonstat_rejected(spark, sf_dir):
     """Cubes landed with defects, as an API may return them: nation 0's
