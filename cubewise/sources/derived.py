@@ -29,16 +29,15 @@ from cubewise.session import table_path
 YEAR_SHIFT = 23  # 1995..2001 -> 2018..2024
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table, read once per application (the footer/schema job runs
-    once; later reads reuse the same lazy DataFrame)."""
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
+    """Parquet table, read once per session: the footer/schema job runs once
+    and later reads reuse the same lazy DataFrame. The DataFrame keeps the
+    file listing taken at first read, so this is for immutable source
+    snapshots (the driver's tables), not for tables that gain files."""
+    cache = spark.__dict__.setdefault("_cubewise_tables", {})
+    df = cache.get(path)
     if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
+        df = cache[path] = spark.read.parquet(path)
     return df
 
 
