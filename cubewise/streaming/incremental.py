@@ -6,11 +6,13 @@ A file-source stream over the landing directory drives ``foreachBatch``:
    day of the month; NULL for an unparseable month) and written under
    ``state/epoch=<id>/period=...`` (overwrite of that epoch only, so a
    replayed epoch is idempotent);
-2. the periods the batch touches are collected: few for valid months, but
-   malformed labels all share the NULL period, and no broadcast is forced;
-   AQE broadcasts the set at run time when its measured size is small;
-3. all staged rows of those periods are read back (partition pruning) and
-   the fact is rebuilt for them;
+2. the periods the batch touches are read from that epoch's partition
+   column and brought to the driver: they are first-of-month dates (or
+   NULL for every malformed month), so their number is bounded by the
+   calendar, not by the data volume;
+3. the staged history is read with those periods as a static partition
+   filter (only the touched month directories are scanned) and the fact is
+   rebuilt for them;
 4. the fact table, partitioned by period, is written with dynamic partition
    overwrite, replacing the touched months only.
 
@@ -30,7 +32,10 @@ value. Recomputing touched months from the staged history avoids both.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,7 +47,8 @@ PERIOD = "period"
 
 
 def calendar_period(df: DataFrame) -> Column:
-    """First day of the row's month, from the staged year and month text."""
+    """First day of the row's month, from the staged year and month text
+    (columns are resolved by name on ``df``)."""
     return month_start("year", month_number("month"))
 
 
@@ -57,6 +63,17 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
+def touched_filter(periods: Sequence) -> Column:
+    """Partition predicate selecting the given periods (NULL included)."""
+    conds = []
+    dates = [p for p in periods if p is not None]
+    if dates:
+        conds.append(F.col(PERIOD).isin(dates))
+    if len(dates) < len(periods):
+        conds.append(F.col(PERIOD).isNull())
+    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+
+
 def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_dir: str, fact_dir: str,
                     build_fact: Callable[[DataFrame], DataFrame],
                     stage: Callable[[DataFrame], DataFrame] = stage_centre_stats,
@@ -67,9 +84,11 @@ def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_
      .parquet(f"{state_dir}/epoch={epoch_id}"))
 
     state_schema = _with_fields(staged.schema, [T.StructField("epoch", T.LongType(), True)])
+    epoch_schema = T.StructType([f for f in state_schema.fields if f.name != "epoch"])
+    touched = [r[0] for r in read_partitioned(spark, f"{state_dir}/epoch={epoch_id}", epoch_schema)
+               .select(PERIOD).distinct().collect()]
     history = read_partitioned(spark, state_dir, state_schema).drop("epoch")
-    touched = staged.select(PERIOD).distinct()
-    affected = history.join(touched, history[PERIOD].eqNullSafe(touched[PERIOD]), "left_semi")
+    affected = history.filter(touched_filter(touched))
 
     fact = build_fact(affected.drop(PERIOD))
     fact = fact.withColumn(PERIOD, period(fact))

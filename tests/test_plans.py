@@ -40,3 +40,23 @@ def test_fact_shuffles_once_per_side(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_incremental_history_read_is_partition_pruned(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from cubewise.session import scratch_path
+    from cubewise.streaming.incremental import read_partitioned, touched_filter
+
+    state = scratch_path(spark, "t_state")
+    df = spark.createDataFrame([("a", dt.date(2021, 1, 1)), ("b", dt.date(2021, 2, 1)), ("c", None)],
+                               "k string, period date")
+    df.write.partitionBy("period").parquet(f"{state}/epoch=0")
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("period", T.DateType()),
+                           T.StructField("epoch", T.LongType())])
+    pruned = read_partitioned(spark, state, schema).filter(touched_filter([dt.date(2021, 2, 1), None]))
+    text = plan_text(pruned)
+    assert re.search(r"PartitionFilters: \[.*period", text), text
+    assert sorted(r.k for r in pruned.collect()) == ["b", "c"]
