@@ -12,7 +12,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults applied only when the key is not set already.
+# Defaults for sessions this module creates (tests, bench); an existing
+# session is used as it is.
 DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +27,12 @@ DEFAULT_CONF: dict[str, str] = {
 def get_session(master: str | None = None, app: str = "cubewise",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
+    """Return the active session untouched if there is one (a cluster's
+    settings win); otherwise build one with the defaults above."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
