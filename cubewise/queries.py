@@ -680,3 +680,26 @@ ORACLE["jsonstat_rejected"] = O.with_base("""
          COUNT(*) AS documents
   FROM (SELECT DISTINCT n_nationkey AS dn, substr("month", 1, 4) AS dy FROM apps_long) d
   GROUP BY 1""")
+
+
+def q_reingest_latest_wins(spark, sf_dir):
+    """Full extract landed as batch 0001, then a revised re-extract of one
+    statistic (values + 1) as batch 0002; the load keeps, per key, the rows
+    of the latest batch, so revised keys take the new values and every other
+    key keeps the first extract."""
+    raw = raw_api(spark, sf_dir)
+    landing = scratch_path(spark, "landing_batches")
+    land_csv(raw, landing, batch="0001")
+    revised_stat = "Driving Test Applications Received"
+    revision = raw.filter(F.col("statistic") == revised_stat).withColumn("value", F.col("value") + 1)
+    land_csv(revision, landing, batch="0002")
+    keys = ["statistic", "month", "driving_test_categories", "driving_test_centre"]
+    return load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "raw_latest"),
+                    RAW_CENTRE_SCHEMA, latest_wins=keys)
+
+
+QUERIES["reingest_latest_wins"] = q_reingest_latest_wins
+ORACLE["reingest_latest_wins"] = O.with_base("""
+  SELECT statistic, "month", driving_test_categories, driving_test_centre, unit,
+         CASE WHEN statistic = 'Driving Test Applications Received' THEN value + 1 ELSE value END AS value
+  FROM raw_api""")

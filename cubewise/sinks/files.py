@@ -3,34 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubewise.operators.project import to_snake_case
 from cubewise.sources.csv import read_landing_csv
 
 
+BATCH_COL = "_batch"
+
+
 def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool = False,
-             mode: str = "append") -> None:
+             mode: str = "append", batch: str | None = None) -> None:
     """Write landing CSV. ``append`` adds files next to earlier loads, so a
     re-ingest duplicates rows (absorbed by MAX in the facts).
 
+    ``batch`` lands the files in their own sub-folder ``path/<batch>`` (ids
+    that sort in landing order, e.g. zero-padded timestamps), which lets a
+    load keep only the latest batch per key (``load_raw(latest_wins=...)``).
+
     ``single_file`` funnels everything through one task (``coalesce(1)``);
     it exists for parity with single-file consumers and is off by default.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", header).csv(path)
+    target = f"{path.rstrip('/')}/{batch}" if batch else path
+    out.write.mode(mode).option("header", header).csv(target)
+
+
+def latest_batch_wins(df: DataFrame, keys: Sequence[str], batch_col: str = BATCH_COL) -> DataFrame:
+    """Keep, for every key, only the rows of the latest batch holding it.
+
+    A grouped max (partial aggregation) joined back on the keys (NULL-safe)
+    rather than a window, so a key holding a large share of the rows is
+    reduced map-side and split by AQE's skew-join handling instead of being
+    sorted in one task.
+    """
+    latest = df.groupBy(*keys).agg(F.max(batch_col).alias("_latest_batch"))
+    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(latest[k]) for k in keys])
+    joined = df.join(latest, on & (df[batch_col] == latest["_latest_batch"]), "left_semi")
+    return joined.drop(batch_col)
 
 
 def load_raw(spark: SparkSession, path: str | list[str], landing_schema: T.StructType, target: str,
-             warehouse_schema: T.StructType | None = None) -> DataFrame:
+             warehouse_schema: T.StructType | None = None,
+             latest_wins: Sequence[str] | None = None) -> DataFrame:
     """Full-refresh load: read every landing file under ``path`` (glob or
     directory) by position, rename to snake_case, enforce the warehouse
-    types and overwrite ``target``. Returns the loaded table."""
+    types and overwrite ``target``. Returns the loaded table.
+
+    ``latest_wins`` (warehouse key columns): rows landed in batch
+    sub-folders are de-duplicated so that each key keeps the rows of its
+    latest batch only (a revised re-extract replaces the earlier values
+    instead of adding to them).
+    """
     df = to_snake_case(read_landing_csv(spark, path, landing_schema))
+    if latest_wins:
+        batch = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        df = df.withColumn(BATCH_COL, batch)
     if warehouse_schema is not None:
-        df = df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in warehouse_schema.fields])
+        cols = [df[f.name].try_cast(f.dataType).alias(f.name) for f in warehouse_schema.fields]
+        df = df.select(*cols, *([BATCH_COL] if latest_wins else []))
+    if latest_wins:
+        df = latest_batch_wins(df, latest_wins)
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 

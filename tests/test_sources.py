@@ -215,3 +215,21 @@ def test_cube_without_category_lands_and_stages(spark, tmp_path):
     assert stg.columns == ["statistic", "year", "month", "test_centre_raw", "county", "unit"]
     got = {(r.statistic, r.month, r.county, r.unit) for r in stg.collect()}
     assert ("s0", "January", "Co. Galway", 1) in got and ("s1", "Feb", None, 8) in got
+
+
+def test_latest_batch_wins_on_reingest(spark):
+    rows = [("S1", "2021 January", "B", "A, Co. X", "Number", 1),
+            ("S1", "2021 January", "B", "A, Co. X", "Number", 2),
+            ("S2", "2021 January", "B", "A, Co. X", "Number", 5)]
+    landing = scratch_path(spark, "t_batches")
+    land_csv(spark.createDataFrame(rows, LANDING_CENTRE_SCHEMA), landing, batch="0001")
+    revised = [("S1", "2021 January", "B", "A, Co. X", "Number", 7)]
+    land_csv(spark.createDataFrame(revised, LANDING_CENTRE_SCHEMA), landing, batch="0002")
+    out = load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "t_latest"),
+                   RAW_CENTRE_SCHEMA,
+                   latest_wins=["statistic", "month", "driving_test_categories", "driving_test_centre"])
+    assert out.columns == RAW_CENTRE_SCHEMA.fieldNames()
+    assert sorted((r.statistic, r.value) for r in out.collect()) == [("S1", 7), ("S2", 5)]
+    plain = load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "t_all"),
+                     RAW_CENTRE_SCHEMA)
+    assert plain.count() == 4
