@@ -104,3 +104,16 @@ def test_incremental_refresh_equals_batch(spark):
         "statistic", "month", "driving_test_categories", "driving_test_centre", "unit", "value")
     batch = centre_applications_pivot(stage_centre_stats(raw))
     assert batch.count() == len(got)
+
+
+def test_serving_options(spark):
+    f = fact(spark)
+    assert apply_filters(f, centre=["A", "C"]).count() == 2
+    assert apply_filters(f).count() == 4
+    top = [(r.test_centre, r.applications_received)
+           for r in top_centres(f, "applications_received", n=2, ascending=False).collect()]
+    assert top == [("B", 20), ("A", 10)]
+    pop = spark.createDataFrame([("Kerry", "2021", 100), ("Kerry", "2022", 50)],
+                                "county string, year string, population bigint")
+    rows = {(r.county, r.year): r.tests_per_capita for r in yearly_rollup(f, "county", pop).collect()}
+    assert rows[("Kerry", "2022")] == 0.2 and rows[("Kerry", "2021")] is None and rows[("Cork", "2021")] is None
