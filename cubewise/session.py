@@ -19,6 +19,10 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what the code marks as bounded (F.broadcast on a table of
+    # fixed size); size estimates are no proof. Every other join is a
+    # sort-merge join whose skewed partitions AQE splits.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
