@@ -416,13 +416,15 @@ def q_dq_unique(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    """Checks run on the built facts, as tests run after the models: each fact
-    is computed once and checkpointed to the shared checkpoint folder, then
-    its row-level checks (one pass) and unique check read the stored copy."""
+    """Checks run on the built models, as tests run after the models: the
+    staged applications (input of both facts) and each fact are computed
+    once and checkpointed to the shared checkpoint folder; each table's
+    row-level checks (one pass) and unique check then read the stored copy."""
     ensure_checkpoint_dir(spark)
-    tables = {"stg_api": stg_api(spark, sf_dir),
-              "county_fact": county_fact_df(spark, sf_dir).checkpoint(eager=True),
-              "centre_fact": centre_fact_df(spark, sf_dir).checkpoint(eager=True)}
+    stg = stg_api(spark, sf_dir).checkpoint(eager=True)
+    tables = {"stg_api": stg,
+              "county_fact": county_fact(stg, stg_local(spark, sf_dir)).checkpoint(eager=True),
+              "centre_fact": centre_fact(stg, stg_ro30(spark, sf_dir)).checkpoint(eager=True)}
     return combine_reports([quality_report(t, tables[t], checks) for t, checks in QUALITY_SUITE.items()])
 
 
