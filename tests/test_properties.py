@@ -61,3 +61,42 @@ def test_full_outer_row_count(spark, a, b):
     n = full_outer_on(left, right, ["k"]).count()
     non_null = {k for k in a if k is not None} | {k for k in b if k is not None}
     assert n == len(non_null) + a.count(None) + b.count(None)
+
+
+MONTHS = ["jan", "january", "feb", "february", "mar", "march", "apr", "april", "may", "jun", "june",
+          "jul", "july", "aug", "august", "sep", "september", "oct", "october", "nov", "november",
+          "dec", "december"]
+
+
+def _expected_month(text):
+    if text is None:
+        return None
+    low = text.lower()
+    names = {m: n for n, pair in enumerate([("jan", "january"), ("feb", "february"), ("mar", "march"),
+                                            ("apr", "april"), ("may",), ("jun", "june"), ("jul", "july"),
+                                            ("aug", "august"), ("sep", "september"), ("oct", "october"),
+                                            ("nov", "november"), ("dec", "december")], start=1) for m in pair}
+    if low in names:
+        return names[low]
+    try:
+        return int(text.strip())
+    except ValueError:
+        return None
+
+
+spellings = st.one_of(
+    st.sampled_from(MONTHS).map(lambda m: m.upper() if len(m) % 2 else m.capitalize()),
+    st.integers(-3, 15).map(str),
+    st.sampled_from(["Sept", "xyz", "", "1.5", "M01"]),
+    st.none(),
+)
+
+
+@SETTINGS
+@given(values=st.lists(spellings, min_size=1, max_size=10))
+def test_month_number_matches_rule(spark, values):
+    from cubewise.functions import month_number
+
+    df = spark.createDataFrame([(v,) for v in values], "m string")
+    got = [r[0] for r in df.select(month_number("m")).collect()]
+    assert got == [_expected_month(v) for v in values]
