@@ -33,6 +33,7 @@ from cubewise.plans.cube_docs import cube_documents
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
 from cubewise.plans.landing import land_county_file, land_cube, load_county_raw
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
+from cubewise.plans.warehouse import build_warehouse
 from cubewise.schemas import (
     ACCEPTED_YEARS,
     APPLICATION_MEASURES,
@@ -705,3 +706,19 @@ ORACLE["reingest_latest_wins"] = O.with_base("""
   SELECT statistic, "month", driving_test_categories, driving_test_centre, unit,
          CASE WHEN statistic = 'Driving Test Applications Received' THEN value + 1 ELSE value END AS value
   FROM raw_api""")
+
+
+def q_warehouse_county_fact(spark, sf_dir):
+    """Landing folders -> full warehouse build (raw loads, staging views,
+    stored facts, quality report); returns the stored county fact."""
+    landing = {name: scratch_path(spark, f"wh_landing_{name}") for name in ("apps", "tests", "county")}
+    land_csv(raw_api(spark, sf_dir), landing["apps"])
+    land_csv(raw_ro30(spark, sf_dir), landing["tests"])
+    land_csv(landed_county(spark, sf_dir), landing["county"])
+    wh = build_warehouse(spark, landing["apps"], landing["tests"], landing["county"],
+                         scratch_path(spark, "warehouse"))
+    return wh.county_fact
+
+
+QUERIES["warehouse_county_fact"] = q_warehouse_county_fact
+ORACLE["warehouse_county_fact"] = O.with_base("SELECT * FROM county_fact")

@@ -83,7 +83,9 @@ def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = ("year
     cols = list(partition_by)
     out = df.hint("rebalance", *cols) if cols else df
     (out.write.mode("overwrite").partitionBy(*cols) if cols else out.write.mode("overwrite")).parquet(target)
-    return df.sparkSession.read.parquet(target)
+    # read back with the declared schema: partition values are not re-typed
+    # by inference ('2021' stays a string year)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -117,3 +117,24 @@ def test_serving_options(spark):
                                 "county string, year string, population bigint")
     rows = {(r.county, r.year): r.tests_per_capita for r in yearly_rollup(f, "county", pop).collect()}
     assert rows[("Kerry", "2022")] == 0.2 and rows[("Kerry", "2021")] is None and rows[("Cork", "2021")] is None
+
+
+def test_build_warehouse(spark):
+    from cubewise.plans.warehouse import build_warehouse
+    from cubewise.schemas import LANDING_COUNTY_SCHEMA
+
+    apps = [("Driving Test Applications Received", "2021 January", "B", "Tuam, Co. Galway", "Number", 5)]
+    tests_ = [("Driving Tests Delivered", "2021 January", "B", "Tuam, Co. Galway", "Number", 9)]
+    county = [("Driving Tests Delivered", "2021 January", "Co. Galway", "B", "Number", 30.0)]
+    paths = {n: scratch_path(spark, f"t_wh_{n}") for n in ("a", "t", "c")}
+    land_csv(spark.createDataFrame(apps, LANDING_CENTRE_SCHEMA), paths["a"])
+    land_csv(spark.createDataFrame(tests_, LANDING_CENTRE_SCHEMA), paths["t"])
+    land_csv(spark.createDataFrame(county, LANDING_COUNTY_SCHEMA), paths["c"])
+    wh = build_warehouse(spark, paths["a"], paths["t"], paths["c"], scratch_path(spark, "t_wh"))
+    cf = wh.county_fact.collect()
+    assert len(cf) == 1 and cf[0].applications_received == 5 and cf[0].tests_delivered == 30.0
+    tf = wh.centre_fact.collect()
+    assert tf[0].tests_delivered == 9 and tf[0].test_centre == "Tuam, Co. Galway"
+    report = {(r.table_name, r.check_name): r.status for r in wh.report.collect()}
+    assert report[("county_fact", "unique_county_test_category_date_month")] == "pass"
+    assert report[("centre_fact", "not_null_pass_rate")] == "fail"   # NULL by construction

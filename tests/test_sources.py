@@ -233,3 +233,10 @@ def test_latest_batch_wins_on_reingest(spark):
     plain = load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "t_all"),
                      RAW_CENTRE_SCHEMA)
     assert plain.count() == 4
+
+
+def test_materialize_keeps_declared_partition_types(spark):
+    df = spark.createDataFrame([("2021", 1), ("2022", 2)], "year string, v int")
+    out = materialize(df, scratch_path(spark, "t_types"))
+    assert dict(out.dtypes)["year"] == "string"
+    assert out.filter("year = '2021'").count() == 1
