@@ -100,3 +100,27 @@ def test_month_number_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "m string")
     got = [r[0] for r in df.select(month_number("m")).collect()]
     assert got == [_expected_month(v) for v in values]
+
+
+def test_hot_key_results_stay_whole(spark):
+    """One key holds a third of all rows: grouped operators stay exact and
+    no row is dropped."""
+    from pyspark.sql import functions as F
+
+    from cubewise.operators.quality import unique
+    from cubewise.sinks.files import latest_batch_wins
+
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+        .alias("k"),
+        F.lit("s1").alias("s"), F.col("id").alias("v"),
+        (F.col("id") % 2).cast("string").alias("_batch"))
+    piv = {r.k: r.m for r in pivot_measures(df, ["k"], "s", "v", {"s1": "m"}, "sum").collect()}
+    assert piv["hot"] == sum(range(0, n, 3)) and len(piv) == 1 + (n - n // 3)
+    dup = {r.unique_key: r.n_records for r in unique(df, ["k"]).collect()}
+    assert dup == {"hot": n // 3}
+    kept = latest_batch_wins(df, ["k"]).collect()
+    hot_rows = [r for r in kept if r.k == "hot"]
+    assert len(hot_rows) == len([i for i in range(0, n, 3) if i % 2 == 1])   # latest batch '1' only
+    assert len(kept) == len(hot_rows) + (n - n // 3)
