@@ -2,6 +2,9 @@
 
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
 Prints one line per query: row counts, column match, value match.
+PLAIN_SESSION=1 runs the queries in a default session (as a caller's own
+session would be) instead of one built by cubewise.session; EXACT_FLOATS=1
+compares doubles bit for bit instead of to 9 significant digits.
 """
 
 from __future__ import annotations
