@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubewise.llm import byte_bpe, chat_format, packing
+from cubewise.llm import byte_bpe, chat_format, exact_dedup, packing, simhash
 from cubewise.llm.common import read_table
 
 
@@ -21,10 +21,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(read_table(spark, sf_dir, "documents"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_format": op2_chat_format,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_simhash": op5_simhash,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
 # The probe's forged markers are escaped by one code more, `<|` twice in each text.
@@ -52,6 +62,20 @@ FROM escaped
 GROUP BY conv_id
 """
 
+OP7_SQL = """
+WITH normalised AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       coalesce(doc_id = min(doc_id) OVER same AND row_number() OVER (PARTITION BY body, doc_id) = 1, false) AS kept,
+       sha256(body) AS text_sha256
+FROM normalised
+WINDOW same AS (PARTITION BY body)
+"""
+
 ORACLE = {
     "op2_chat_format": OP2_SQL,
+    "op7_exact_dedup": OP7_SQL,
 }
