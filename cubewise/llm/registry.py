@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubewise.llm import byte_bpe, chat_format, exact_dedup, packing, simhash
+from cubewise.llm import byte_bpe, chat_format, exact_dedup, packing, simhash, substring_dedup, suffix_dedup, winnowing
 from cubewise.llm.common import read_table
 
 
@@ -21,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(read_table(spark, sf_dir, "documents"))
 
@@ -29,12 +33,23 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_neighbours(read_table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_format": op2_chat_format,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_winnowing": op8_winnowing,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 # The probe's forged markers are escaped by one code more, `<|` twice in each text.
@@ -62,6 +77,33 @@ FROM escaped
 GROUP BY conv_id
 """
 
+OP4_SQL = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+windows AS (
+    SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 49), ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM words WHERE len(w) >= 50)
+),
+repeated AS (
+    SELECT doc_id, pos FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY h) AS first FROM windows)
+    WHERE doc_id > first
+),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS n FROM repeated
+),
+numbered AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS n FROM words
+),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY n) AS body, count(*) AS n_kept
+    FROM numbered ANTI JOIN gone USING (doc_id, n) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 OP7_SQL = """
 WITH normalised AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents
@@ -77,5 +119,6 @@ WINDOW same AS (PARTITION BY body)
 
 ORACLE = {
     "op2_chat_format": OP2_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
