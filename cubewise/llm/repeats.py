@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.common import id_order, partitions, text_or_empty
-from cubewise.llm.rolling import anchors, window_hashes
+from cubewise.llm.rolling import anchors, mix, window_hashes
 
 #: A run of windows: the first one's place and their number.
 RUN = np.dtype([("first", "<u4"), ("n", "<u2")])
@@ -37,7 +37,8 @@ DOC = np.dtype([("k", "<i8"), ("th", "<i8"), ("runs", "<u4")])
 CHUNK_BYTES = 16 << 20
 
 MESSAGE = "bucket int, settled boolean, docs binary, runs binary, hashes binary, known binary, body binary"
-ANSWER = "k bigint, th bigint, runs binary"
+ANSWER = "dest int, docs binary, runs binary"
+GATHERED = "k bigint, th bigint, runs binary"
 
 
 class Unit(Protocol):
@@ -95,13 +96,47 @@ def documents_of(k: np.ndarray, th: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def answers(docs: np.ndarray, runs: np.ndarray) -> pa.RecordBatch:
-    """One row a document, its runs as bytes."""
-    ends = np.concatenate(([0], np.cumsum(docs["runs"], dtype=np.int64))) * RUN.itemsize
-    values = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(docs), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(runs.tobytes())])
+def answer(given: list[tuple[np.ndarray, np.ndarray]], dests: int) -> pa.RecordBatch:
+    """What a bucket tells documents, (DOC records, their RUN records), as one
+    row for each destination that gathers some of the documents."""
+    docs = np.concatenate([d for d, _ in given] or [np.empty(0, DOC)])
+    runs = np.concatenate([r for _, r in given] or [np.empty(0, RUN)])
+    begin = np.cumsum(docs["runs"], dtype=np.int64) - docs["runs"]
+    dest = (mix(docs["k"].astype(np.uint64) ^ docs["th"].astype(np.uint64)) % np.uint64(dests)).astype(np.int64)
+    order = np.argsort(dest, kind="stable")
+    edges = np.searchsorted(dest[order], np.arange(dests + 1))
+    rows = []
+    for d in range(dests):
+        part = order[edges[d]:edges[d + 1]]
+        if len(part):
+            rows.append((d, docs[part].tobytes(),
+                         runs[repeat(begin[part], docs["runs"][part].astype(np.int64))].tobytes()))
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
     return pa.RecordBatch.from_arrays(
-        [pa.array(docs["k"]), pa.array(docs["th"]), values.cast(pa.binary())], names=["k", "th", "runs"])
+        [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)],
+        names=["dest", "docs", "runs"])
+
+
+def gather_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a document with all it was told (at most the document's own size)."""
+    given = [(np.frombuffer(d, DOC), np.frombuffer(r, RUN)) for batch in batches
+             for d, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+    if not given:
+        return
+    docs, runs = np.concatenate([d for d, _ in given]), np.concatenate([r for _, r in given])
+    begin = np.cumsum(docs["runs"], dtype=np.int64) - docs["runs"]
+    order = np.lexsort((docs["th"], docs["k"]))
+    docs, runs = docs[order], runs[repeat(begin[order], docs["runs"][order].astype(np.int64))]
+    first = np.concatenate(([0], np.flatnonzero((np.diff(docs["k"]) != 0) | (np.diff(docs["th"]) != 0)) + 1))
+    count = np.add.reduceat(docs["runs"].astype(np.int64), first)
+    for at in range(0, len(first), 10_000):
+        few = first[at:at + 10_000]
+        ends = np.cumsum(np.concatenate(([count[:at].sum()], count[at:at + 10_000])))
+        values = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(few), [None, pa.py_buffer((ends * RUN.itemsize).astype(np.int64).tobytes()),
+                                          pa.py_buffer(runs.tobytes())])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(docs["k"][few]), pa.array(docs["th"][few]), values.cast(pa.binary())], names=["k", "th", "runs"])
 
 
 def messages(rows: list[tuple]) -> pa.RecordBatch:
@@ -160,28 +195,28 @@ def send_anchors(unit: Unit, buckets: int) -> Callable:
     return run
 
 
-def answer_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def answer_anchors(dests: int) -> Callable:
     """Tell documents which of their anchors occur elsewhere."""
-    held, known = [], [np.empty(0, np.uint64)]
-    for batch in batches:
-        for _, settled, docs, runs, hashes, more, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            docs, runs = np.frombuffer(docs, DOC), np.frombuffer(runs, RUN)
-            if settled:
-                yield answers(docs, runs)
-            else:
-                held.append((docs, runs, np.frombuffer(hashes, np.uint64)))
-                known.append(np.frombuffer(more, np.uint64))
-    if not held:
-        return
-    h = np.concatenate([x[2] for x in held])
-    distinct, which, count = np.unique(h, return_inverse=True, return_counts=True)
-    elsewhere = ((count > 1) | np.isin(distinct, np.concatenate(known)))[which]
-    at = 0
-    for docs, runs, hashes in held:
-        chosen = elsewhere[at:at + len(hashes)]
-        at += len(hashes)
-        if chosen.any():
-            yield answers(*select_runs(docs, runs, chosen))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, held, known = [], [], [np.empty(0, np.uint64)]
+        for batch in batches:
+            for _, settled, docs, runs, hashes, more, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                docs, runs = np.frombuffer(docs, DOC), np.frombuffer(runs, RUN)
+                if settled:
+                    given.append((docs, runs))
+                else:
+                    held.append((docs, runs, np.frombuffer(hashes, np.uint64)))
+                    known.append(np.frombuffer(more, np.uint64))
+        h = np.concatenate([x[2] for x in held] or [np.empty(0, np.uint64)])
+        distinct, which, count = np.unique(h, return_inverse=True, return_counts=True)
+        elsewhere = ((count > 1) | np.isin(distinct, np.concatenate(known)))[which]
+        at = 0
+        for docs, runs, hashes in held:
+            given.append(select_runs(docs, runs, elsewhere[at:at + len(hashes)]))
+            at += len(hashes)
+        yield answer(given, dests)
+
+    return run
 
 
 def select_runs(docs: np.ndarray, runs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,9 +228,8 @@ def to_buckets(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.repartitionById(buckets, F.col("bucket"))
 
 
-def gathered(given: DataFrame) -> DataFrame:
-    """All runs given to a document, in one row (at most the document's own size)."""
-    return given.groupBy("k", "th").agg(F.collect_list("runs").alias("runs"))
+def gathered(told: DataFrame, dests: int) -> DataFrame:
+    return told.repartitionById(dests, F.col("dest")).mapInArrow(gather_answers, GATHERED)
 
 
 def stretches(flags: np.ndarray, run: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,17 +251,17 @@ def repeated_windows(docs: DataFrame, unit: Unit, send: Callable, settle: Callab
     mapper of step 2 for a number of buckets, ``settle`` is the reducer of step 3."""
     buckets = partitions(docs)
     candidates = gathered(to_buckets(docs.mapInArrow(send_anchors(unit, buckets), MESSAGE), buckets)
-                          .mapInArrow(answer_anchors, ANSWER))
+                          .mapInArrow(answer_anchors(buckets), ANSWER), buckets)
     sent = docs.join(candidates, ["k", "th"]).mapInArrow(send(buckets), MESSAGE)
-    found = gathered(to_buckets(sent, buckets).mapInArrow(settle, ANSWER))
+    found = gathered(to_buckets(sent, buckets).mapInArrow(settle(buckets), ANSWER), buckets)
     return docs.join(found, ["k", "th"], "left")
 
 
-def covered(runs: list[bytes] | None, size: int, length: int) -> np.ndarray:
+def covered(runs: bytes | None, size: int, length: int) -> np.ndarray:
     """Which of ``size`` words or bytes lie in one of the windows."""
     if not runs:
         return np.zeros(size, bool)
-    record = np.frombuffer(b"".join(runs), RUN)
+    record = np.frombuffer(runs, RUN)
     edge = np.zeros(size + 1, np.int32)
     first = record["first"].astype(np.int64)
     np.add.at(edge, first, 1)

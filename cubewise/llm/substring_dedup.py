@@ -30,7 +30,7 @@ from cubewise.llm.byte_bpe import lists, small_batches
 from cubewise.llm.repeats import (
     DOC,
     RUN,
-    answers,
+    answer,
     chunks,
     covered,
     documents_of,
@@ -85,7 +85,7 @@ def send_windows(unit: Words) -> Callable:
                 doc, place, anchor, window, run_of, runs_seen = [], [], [], [], [], 0
                 for d, (_, _, text, runs) in enumerate(rows):
                     values = unit.values(text)
-                    record = np.sort(np.frombuffer(b"".join(runs), RUN), order="first")
+                    record = np.sort(np.frombuffer(runs, RUN), order="first")
                     n = record["n"].astype(np.int64)
                     at = repeat(record["first"].astype(np.int64), n)
                     window.append(window_hashes(values, unit.length)[at])
@@ -143,30 +143,32 @@ def smallest_id(window: np.ndarray, anchor: np.ndarray, k: np.ndarray) -> np.nda
     return out
 
 
-def settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def settle_windows(dests: int) -> Callable:
     """Answer which windows start in a document with a smaller id."""
-    held = []
-    for batch in batches:
-        for _, settled, docs, runs, window, anchor, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            docs, runs = np.frombuffer(docs, DOC), np.frombuffer(runs, RUN)
-            if settled:
-                yield answers(docs, runs)
-            else:
-                held.append((docs, runs, np.frombuffer(window, np.uint64), np.frombuffer(anchor, "<u4")))
-    if not held:
-        return
-    k = [np.repeat(np.repeat(d["k"], d["runs"]), r["n"]) for d, r, _, _ in held]
-    smallest = smallest_id(np.concatenate([w for _, _, w, _ in held]),
-                           np.concatenate([np.repeat(a, r["n"]) for _, r, _, a in held]), np.concatenate(k))
-    at = 0
-    for (docs, runs, window, _), ids in zip(held, k, strict=True):
-        later = ids > smallest[at:at + len(window)]
-        at += len(window)
-        if later.any():
-            n = runs["n"].astype(np.int64)
-            number, found = stretches(later, np.repeat(np.arange(len(runs)), n), repeat(runs["first"].astype(np.int64), n))
-            doc = np.repeat(np.arange(len(docs)), docs["runs"])[number]
-            yield answers(documents_of(docs["k"], docs["th"], doc), found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, held = [], []
+        for batch in batches:
+            for _, settled, docs, runs, window, anchor, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                docs, runs = np.frombuffer(docs, DOC), np.frombuffer(runs, RUN)
+                if settled:
+                    given.append((docs, runs))
+                else:
+                    held.append((docs, runs, np.frombuffer(window, np.uint64), np.frombuffer(anchor, "<u4")))
+        if held:
+            k = [np.repeat(np.repeat(d["k"], d["runs"]), r["n"]) for d, r, _, _ in held]
+            smallest = smallest_id(np.concatenate([w for _, _, w, _ in held]),
+                                   np.concatenate([np.repeat(a, r["n"]) for _, r, _, a in held]), np.concatenate(k))
+            at = 0
+            for (docs, runs, window, _), ids in zip(held, k, strict=True):
+                later = ids > smallest[at:at + len(window)]
+                at += len(window)
+                n = runs["n"].astype(np.int64)
+                number, found = stretches(later, np.repeat(np.arange(len(runs)), n), repeat(runs["first"].astype(np.int64), n))
+                doc = np.repeat(np.arange(len(docs)), docs["runs"])[number]
+                given.append((documents_of(docs["k"], docs["th"], doc), found))
+        yield answer(given, dests)
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -37,7 +37,7 @@ from cubewise.llm.byte_bpe import lists, small_batches
 from cubewise.llm.repeats import (
     DOC,
     RUN,
-    answers,
+    answer,
     chunks,
     covered,
     documents_of,
@@ -168,7 +168,7 @@ def send_stretches(unit: Bytes) -> Callable:
                 seen: dict[bytes, tuple[int, int]] = {}
                 for d, (key, _, text, runs) in enumerate(rows):
                     raw = text.encode("utf-8")
-                    record = np.sort(np.frombuffer(b"".join(runs), RUN), order="first")
+                    record = np.sort(np.frombuffer(runs, RUN), order="first")
                     first = record["first"].astype(np.int64)
                     grams = window_hashes(BYTE_VALUES[np.frombuffer(raw, np.uint8)], unit.gram)
                     for at in range(0, len(first), 4096):
@@ -204,13 +204,14 @@ def send_stretches(unit: Bytes) -> Callable:
 
 
 def settle_stretches(unit: Bytes) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, number, texts, anchor_of = [], {}, [], []
+    """Answer which windows start earlier."""
+    def run(dests: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, held, number, texts, anchor_of = [], [], {}, [], []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 docs, runs = np.frombuffer(row[2], DOC), np.frombuffer(row[3], RUN)
                 if row[1]:
-                    yield answers(docs, runs)
+                    given.append((docs, runs))
                     continue
                 whole = unsqueeze(row[6], int.from_bytes(row[5], "little"))
                 anchors = np.frombuffer(row[4], "<u4")
@@ -225,6 +226,7 @@ def settle_stretches(unit: Bytes) -> Callable:
                         anchor_of.append(a)
                 held.append((docs, runs, which))
         if not held:
+            yield answer(given, dests)
             return
         number.clear()
         windows = np.array([len(t) for t in texts], np.int64) - unit.length + 1
@@ -250,12 +252,12 @@ def settle_stretches(unit: Bytes) -> Callable:
             spot = repeat(begin[which], n)
             own = np.repeat(np.repeat(docs["k"], docs["runs"]), n)
             later = (own > least_k[spot]) | ((own == least_k[spot]) & (place > least_at[spot]))
-            if later.any():
-                run_number, found = stretches(later, np.repeat(np.arange(len(runs)), n), place)
-                doc = np.repeat(np.arange(len(docs)), docs["runs"])[run_number]
-                yield answers(documents_of(docs["k"], docs["th"], doc), found)
+            run_number, found = stretches(later, np.repeat(np.arange(len(runs)), n), place)
+            doc = np.repeat(np.arange(len(docs)), docs["runs"])[run_number]
+            given.append((documents_of(docs["k"], docs["th"], doc), found))
+        yield answer(given, dests)
 
-    return run
+    return lambda dests: lambda batches: run(dests, batches)
 
 
 def merges(anchor: np.ndarray, texts: list[bytes]) -> Iterator[np.ndarray]:
