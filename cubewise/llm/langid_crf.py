@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ BATCH = 48
 EPOCHS = 2
 RATE = 0.3
 BLOCK_WORDS = 64
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 800_000
 # Longer words (no language has them) count by their first and last letters.
 LONGEST_WORD = 40
 
@@ -71,6 +72,7 @@ def feature_numbers(word: str, lexicon: dict[str, int]) -> list[int]:
     return numbers if entry is None else [*numbers, FEATURES + entry]
 
 
+@lru_cache(1 << 18)
 def stable_hash(text: str) -> int:
     """FNV-1a of the UTF-8 bytes (Python's own hash changes between processes)."""
     h = 0xCBF29CE484222325
@@ -302,17 +304,15 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return rows
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
-            carry: list[str] | None = None) -> DataFrame:
-    """The carried columns (the id if not given), lang_pred and score."""
-    carry = carry or [id_col]
-    kinds = dict(docs.dtypes)
-    fields = ", ".join(f"`_{n}` {kinds[c]}" for n, c in enumerate(carry)) + ", lang_pred string, score double"
-    names = [f"_{n}" for n in range(len(carry))] + ["lang_pred", "score"]
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """docs' columns as _0, _1, ... (so that no name clashes), lang_pred and score."""
+    names = docs.columns
+    kinds = [f"`_{n}` {t}" for n, (_, t) in enumerate(docs.dtypes)]
+    text_at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 200):
-            texts = [words_of(t) for t in batch.column(len(carry)).to_pylist()]
+            texts = [words_of(t or "") for t in batch.column(text_at).to_pylist()]
             langs, scores = [], []
             for marginals in label_words(model, texts) if model else [()] * len(texts):
                 if not len(marginals):
@@ -324,10 +324,17 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 langs.append(model.labels[best])
                 scores.append(min(1.0, float(share[best])))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(carry)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names)
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=[f"_{n}" for n in range(len(names))] + ["lang_pred", "score"])
 
-    return (docs.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(carry)], text_or_empty(F.col(text_col)).alias("_text"))
-            .mapInArrow(run, fields).toDF(*carry, "lang_pred", "score"))
+    return (docs.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(names)])
+            .mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"])))
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose language is determined with at least this score."""
+    kept = predict(docs, model, text_col).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select(*[F.col(f"_{n}").alias(c) for n, c in enumerate(docs.columns)])
 
 
 def segments(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,5 +360,5 @@ def segments(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score), one row a document."""
     model = fit(sample(docs, id_col, text_col, lang_col))
-    return predict(docs, model, id_col, text_col).select(
-        F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), "lang_pred", "score")
+    return predict(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model).select(
+        F.col("_0").alias("doc_id"), held_out(F.col("_0")).alias("held_out"), "lang_pred", "score")

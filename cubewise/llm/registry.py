@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubewise.llm import byte_bpe, chat_format, exact_dedup, packing, simhash, substring_dedup, suffix_dedup, winnowing
+from cubewise.llm import (
+    byte_bpe,
+    chat_format,
+    exact_dedup,
+    langid_crf,
+    packing,
+    pii,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    winnowing,
+)
 from cubewise.llm.common import read_table
 
 
@@ -29,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_langid_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_crf.report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
@@ -41,15 +56,21 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_format": op2_chat_format,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
+    "op6_langid_crf": op6_langid_crf,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 # The probe's forged markers are escaped by one code more, `<|` twice in each text.
