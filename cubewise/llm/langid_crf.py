@@ -1,7 +1,7 @@
 """Language identification of words by a linear-chain conditional random field.
 
 A text's words (runs of letters) are labelled jointly. A word's features are its
-prefixes and suffixes, its character n-grams and its entry in the lexicon of
+prefixes and suffixes, its character bigrams and trigrams and its entry in the lexicon of
 frequent training words, all lower-cased; neighbouring labels have learned
 transition weights. Forward-backward gives each word the probability of each
 language given the whole text, so code-switched text is labelled word by word. A
@@ -50,7 +50,7 @@ BATCH = 48
 EPOCHS = 2
 RATE = 0.3
 BLOCK_WORDS = 64
-MEMORY_WORDS = 800_000
+MEMORY_WORDS = 300_000
 # Longer words (no language has them) count by their first and last letters.
 LONGEST_WORD = 40
 
@@ -65,20 +65,24 @@ def feature_numbers(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed numbers of a word's features; the lexicon's entries come after."""
     if len(word) > LONGEST_WORD:
         word = word[:LONGEST_WORD // 2] + word[-LONGEST_WORD // 2:]
-    found = {f"<{word[:n]}" for n in (1, 2, 3)} | {f"{word[-n:]}>" for n in (1, 2, 3, 4)}
-    found |= {word[i:i + n] for n in (1, 2, 3) for i in range(len(word) - n + 1)}
-    numbers = sorted({stable_hash(f) % FEATURES for f in found})
+    found = {word[i:i + 2] for i in range(len(word) - 1)}
+    found.update([word[i:i + 3] for i in range(len(word) - 2)])
+    found.update(("<" + word[:1], "<" + word[:2], "<" + word[:3],
+                  word[-1:] + ">", word[-2:] + ">", word[-3:] + ">", word[-4:] + ">"))
+    numbers = list(map(feature_number, found))
     entry = lexicon.get(word)
-    return numbers if entry is None else [*numbers, FEATURES + entry]
+    if entry is not None:
+        numbers.append(FEATURES + entry)
+    return numbers
 
 
-@lru_cache(1 << 18)
-def stable_hash(text: str) -> int:
+@lru_cache(1 << 17)
+def feature_number(text: str) -> int:
     """FNV-1a of the UTF-8 bytes (Python's own hash changes between processes)."""
     h = 0xCBF29CE484222325
     for b in text.encode("utf-8"):
         h = (h ^ b) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return h >> 20
+    return (h >> 20) % FEATURES
 
 
 class Model:
@@ -103,17 +107,22 @@ class Model:
         memory = self.memory
         if len(memory) > MEMORY_WORDS:
             memory.clear()
-        out = [memory.get(w, -1) for w in words]
-        for i, at in enumerate(out):
-            if at < 0:
-                word = words[i]
-                at = memory.get(word, -1)
-                if at < 0:
-                    at = memory[word] = len(memory)
-                    if at >= len(self.scores):
-                        self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
-                    self.scores[at] = self.weights[feature_numbers(word, self.lexicon)].sum(0)
-                out[i] = at
+        known = len(memory)
+        new = []
+        out = [0] * len(words)
+        for i, word in enumerate(words):
+            at = memory.get(word)
+            if at is None:
+                at = memory[word] = known + len(new)
+                new.append(feature_numbers(word, self.lexicon))
+            out[i] = at
+        if new:
+            while known + len(new) > len(self.scores):
+                self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
+            sizes = np.array([len(n) for n in new])
+            flat = np.array([f for n in new for f in n])
+            self.scores[known:known + len(new)] = np.add.reduceat(
+                self.weights[flat], np.cumsum(sizes) - sizes, axis=0, dtype=np.float64)
         return np.array(out, np.int64)
 
 
