@@ -50,7 +50,7 @@ BATCH = 48
 EPOCHS = 2
 RATE = 0.3
 BLOCK_WORDS = 64
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 100_000
 # Longer words (no language has them) count by their first and last letters.
 LONGEST_WORD = 40
 

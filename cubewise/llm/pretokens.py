@@ -13,7 +13,7 @@ import struct
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 
 # Remembered chunks per Python worker, and the longest chunk worth remembering.
-MEMORY_CHUNKS = 500_000
+MEMORY_CHUNKS = 250_000
 MEMORY_CHUNK_CHARS = 64
 
 
