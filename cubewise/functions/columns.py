@@ -82,9 +82,10 @@ def month_number(c: Column | str) -> Column:
 
 def month_start(year: Column | str, month_no: Column | str) -> Column:
     """(year text, month number) -> first day of that month, NULL if invalid."""
-    text = F.concat(_c(year).cast("string"), F.lit("-"),
-                    F.lpad(_c(month_no).cast("string"), 2, "0"))
-    return F.try_to_date(text, "yyyy-MM")
+    m = _c(month_no)
+    text = F.concat(_c(year).cast("string"), F.lit("-"), F.lpad(m.cast("string"), 2, "0"))
+    # Padding would cut a longer number to its first two digits.
+    return F.when(m.between(1, 12), F.try_to_date(text, "yyyy-MM"))
 
 
 def month_name(date: Column | str) -> Column:

@@ -1,9 +1,11 @@
 """Dashboard questions over the facts: scorecards, chart series, top-k.
 
-Each is a filter (pushed to the fact scan, and to partition pruning when the
-fact is stored partitioned by year) followed by one grouped aggregate with a
+Each is a filter followed by one grouped aggregate with a
 map-side partial step; results are small by construction (one row per
-dimension value).
+dimension value). Over a stored fact the filter reaches the scan, and prunes
+years where the fact is partitioned by year. Over a fact that the query itself
+builds, pass the filters to ``county_fact`` or ``centre_fact`` instead: Spark does
+not push a filter on coalesced keys below a full outer join.
 """
 
 from __future__ import annotations

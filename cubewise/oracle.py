@@ -25,8 +25,8 @@ def month_number_sql(m: str) -> str:
 
 
 def month_start_sql(y: str, mn: str) -> str:
-    return (f"CAST(try_strptime(CAST({y} AS VARCHAR) || '-' || lpad(CAST({mn} AS VARCHAR), 2, '0'), "
-            f"'%Y-%m') AS DATE)")
+    year = f"TRY_CAST({y} AS INTEGER)"
+    return f"CASE WHEN {mn} BETWEEN 1 AND 12 AND {year} BETWEEN 1 AND 9999 THEN make_date({year}, {mn}, 1) END"
 
 
 def strip_county_sql(c: str) -> str:
@@ -86,7 +86,8 @@ BASE["apps_long"] = f"""
     CASE WHEN o.o_orderstatus <> 'P' THEN {_period_full(_OD)}
          WHEN o.o_orderpriority = '1-URGENT' THEN {_year(_OD)} || ' ' || strftime({_OD}, '%b')
          WHEN o.o_orderpriority = '2-HIGH' THEN {_year(_OD)} || ' ' || upper(strftime({_OD}, '%b'))
-         WHEN o.o_orderpriority = '3-MEDIUM' THEN {_year(_OD)} || ' ' || CAST(month({_OD}) AS VARCHAR)
+         WHEN o.o_orderpriority = '3-MEDIUM' THEN {_year(_OD)} || ' ' || CASE o.o_orderkey % 10 WHEN 0 THEN '123' WHEN 1 THEN '13' WHEN 2 THEN '0'
+              ELSE CAST(month({_OD}) AS VARCHAR) END
          WHEN o.o_orderpriority = '4-NOT SPECIFIED'
               THEN {_year(_OD)} || 'M' || lpad(CAST(month({_OD}) AS VARCHAR), 2, '0')
          ELSE {_period_full(_OD)} END AS "month",
@@ -103,14 +104,14 @@ BASE["raw_api"] = """
   FROM apps_long"""
 
 BASE["lines"] = """
-  SELECT l.l_orderkey, l.l_quantity, l.l_returnflag, l.l_shipdate, c.*
+  SELECT l.l_orderkey, l.l_quantity, l.l_returnflag, l.l_linestatus, l.l_shipdate, c.*
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN cust c ON o.o_custkey = c.c_custkey
-  WHERE l.l_linestatus = 'F'"""
+  JOIN cust c ON o.o_custkey = c.c_custkey"""
 
 BASE["raw_ro30"] = f"""
   SELECT
-    CASE WHEN l_quantity > 45 THEN 'Driving Tests Not Conducted / Abandoned'
+    CASE WHEN l_linestatus = 'O' THEN 'Driving Tests Booked'
+         WHEN l_quantity > 45 THEN 'Driving Tests Not Conducted / Abandoned'
          WHEN l_returnflag = 'R' THEN 'Driving Tests Delivered'
          WHEN l_returnflag = 'A' THEN 'Driving Test Pass Rate'
          ELSE 'Driving Test No-Shows' END AS statistic,
@@ -127,6 +128,7 @@ BASE["raw_ro34"] = """
 BASE["raw_county"] = f"""
   SELECT
     CASE WHEN l_quantity = 1 THEN NULL
+         WHEN l_linestatus = 'O' THEN 'Driving Tests Booked'
          WHEN l_returnflag = 'R' THEN 'Driving Tests Delivered'
          WHEN l_returnflag = 'A' THEN 'Driving Test Pass Rate'
          ELSE 'Driving Test No-Shows' END AS statistic_label,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.functions import month_name, month_number, month_start, strip_county_prefix
-from cubewise.operators.filters import drop_totals
+from cubewise.operators.filters import apply_filters, drop_totals
 from cubewise.operators.pivot import full_outer_on, pivot_measures
 from cubewise.schemas import (
     APPLICATION_MEASURES,
@@ -57,12 +57,25 @@ def _calendar_columns() -> list:
     return [F.col("year"), m.alias("month"), month_name(d).alias("month_name"), d.alias("date_month")]
 
 
-def county_fact(stg_api: DataFrame, stg_local: DataFrame, agg: str = "max") -> DataFrame:
+def _only(rows: DataFrame, filters: dict) -> DataFrame:
+    """Dashboard filters on one side's rows. They name grain keys (the month by
+    its number), which both sides share, so filtering each side before its pivot
+    gives the same fact as filtering the joined one."""
+    month = filters.get("month")
+    if month is not None:
+        values = list(month) if isinstance(month, (list, tuple, set, frozenset)) else [month]
+        rows = rows.filter(month_number("month").isin(values))
+    return apply_filters(rows, **{k: v for k, v in filters.items() if k != "month"})
+
+
+def county_fact(stg_api: DataFrame, stg_local: DataFrame, agg: str = "max", **filters) -> DataFrame:
     """Applications (centre rows folded to county) joined with county test
-    statistics. With ``agg='max'`` a county figure is its largest centre's."""
-    apps = pivot_measures(clean_centre_rows(stg_api), COUNTY_KEYS, "statistic", "stat_value",
+    statistics. With ``agg='max'`` a county figure is its largest centre's.
+    ``filters`` (county, year, month, category) restrict the fact; they run
+    below the join."""
+    apps = pivot_measures(_only(clean_centre_rows(stg_api), filters), COUNTY_KEYS, "statistic", "stat_value",
                           APPLICATION_MEASURES, agg)
-    tests = pivot_measures(clean_county_rows(stg_local), COUNTY_KEYS, "statistic_label", "stat_value",
+    tests = pivot_measures(_only(clean_county_rows(stg_local), filters), COUNTY_KEYS, "statistic_label", "stat_value",
                            COUNTY_TEST_MEASURES, agg)
     joined = full_outer_on(apps, tests, COUNTY_KEYS)
     return joined.select(
@@ -72,11 +85,12 @@ def county_fact(stg_api: DataFrame, stg_local: DataFrame, agg: str = "max") -> D
     )
 
 
-def centre_fact(stg_api: DataFrame, stg_ro30: DataFrame, agg: str = "max") -> DataFrame:
-    """Applications and tests per test centre, month and category."""
-    apps = pivot_measures(clean_centre_rows(stg_api, keep_centre=True), CENTRE_KEYS, "statistic",
+def centre_fact(stg_api: DataFrame, stg_ro30: DataFrame, agg: str = "max", **filters) -> DataFrame:
+    """Applications and tests per test centre, month and category; ``filters``
+    (county, year, month, category, centre) run below the join."""
+    apps = pivot_measures(_only(clean_centre_rows(stg_api, keep_centre=True), filters), CENTRE_KEYS, "statistic",
                           "stat_value", APPLICATION_MEASURES, agg)
-    tests = pivot_measures(clean_centre_rows(stg_ro30, keep_centre=True), CENTRE_KEYS, "statistic",
+    tests = pivot_measures(_only(clean_centre_rows(stg_ro30, keep_centre=True), filters), CENTRE_KEYS, "statistic",
                            "stat_value", CENTRE_TEST_MEASURES, agg)
     joined = full_outer_on(apps, tests, CENTRE_KEYS)
     return joined.select(

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubewise.operators.project import to_snake_case
 from cubewise.schemas import LANDING_COUNTY_SCHEMA, RAW_COUNTY_SCHEMA
 from cubewise.sinks.files import land_csv, load_raw
 from cubewise.sources.csv import clean_csv_rows, read_landing_csv
@@ -32,16 +31,21 @@ class RejectedDocuments(ValueError):
 
 def land_cube(spark: SparkSession, docs_path: str | list[str], landing_dir: str,
               columns: Sequence[str] = tuple(CENTRE_COLUMNS), layout: str = "file",
-              fail_on_reject: bool = False, rebalance: bool = False) -> DataFrame:
+              fail_on_reject: bool = True, rebalance: bool = False) -> DataFrame:
     """Landed JSON-stat documents -> landing CSV (headerless, append), in
-    the declared column order. Returns the rejected documents; with
-    ``fail_on_reject`` any rejected document raises before anything is
-    landed (an error is never just printed and swallowed)."""
+    the declared column order. Any rejected document raises before anything is
+    landed, with the counts by reason; all of them are written beside the
+    landing folder, under ``<landing_dir>_rejected``. With
+    ``fail_on_reject=False`` the good documents are landed and the rejected ones
+    returned."""
     rows, rejected = read_jsonstat(spark, docs_path, columns, layout, rebalance)
     if fail_on_reject:
-        bad = rejected.limit(5).collect()
-        if bad:
-            raise RejectedDocuments("; ".join(f"{r.doc}: {r.reject_reason}" for r in bad))
+        reasons = rejected.groupBy("reject_reason").count().orderBy("reject_reason").collect()
+        if reasons:
+            beside = landing_dir.rstrip("/") + "_rejected"
+            rejected.select("doc", "reject_reason").write.mode("overwrite").json(beside)
+            raise RejectedDocuments("; ".join(f"{r['reject_reason']}: {r['count']} documents" for r in reasons)
+                                    + f"; listed in {beside}")
     land_csv(rows.select(*columns, "UNIT", "VALUE"), landing_dir, header=False)
     return rejected
 
@@ -49,7 +53,3 @@ def land_cube(spark: SparkSession, docs_path: str | list[str], landing_dir: str,
 def load_county_raw(spark: SparkSession, landing_dir: str, target: str) -> DataFrame:
     """Landing CSV of the county file -> raw county table (full refresh)."""
     return load_raw(spark, landing_dir.rstrip("/") + "/*", LANDING_COUNTY_SCHEMA, target, RAW_COUNTY_SCHEMA)
-
-
-def snake(df: DataFrame) -> DataFrame:
-    return to_snake_case(df)

@@ -44,18 +44,24 @@ def _glob(path: str) -> str:
 
 
 def build_warehouse(spark: SparkSession, applications_landing: str, tests_landing: str,
-                    county_landing: str, target: str, agg: str = "max") -> Warehouse:
+                    county_landing: str, target: str, agg: str = "max", latest_wins: bool = False) -> Warehouse:
     """Full refresh of every table under ``target`` (a shared location).
 
     Raw tables are written once and read back, so both facts and the checks
     scan stored Parquet rather than re-parsing landing CSV; the facts are
-    stored partitioned by year. Staging stays a view.
+    stored partitioned by year. Staging stays a view. ``latest_wins``: of the
+    rows of one series and month only those of the latest landing batch count.
     """
+    def keys(schema):
+        return [f.name for f in schema.fields if f.name not in ("unit", "value")] if latest_wins else None
+
     root = target.rstrip("/")
     raw_a = load_raw(spark, _glob(applications_landing), LANDING_CENTRE_SCHEMA, f"{root}/raw_applications",
-                     RAW_CENTRE_SCHEMA)
-    raw_t = load_raw(spark, _glob(tests_landing), LANDING_CENTRE_SCHEMA, f"{root}/raw_tests", RAW_CENTRE_SCHEMA)
-    raw_c = load_raw(spark, _glob(county_landing), LANDING_COUNTY_SCHEMA, f"{root}/raw_county", RAW_COUNTY_SCHEMA)
+                     RAW_CENTRE_SCHEMA, keys(RAW_CENTRE_SCHEMA))
+    raw_t = load_raw(spark, _glob(tests_landing), LANDING_CENTRE_SCHEMA, f"{root}/raw_tests", RAW_CENTRE_SCHEMA,
+                     keys(RAW_CENTRE_SCHEMA))
+    raw_c = load_raw(spark, _glob(county_landing), LANDING_COUNTY_SCHEMA, f"{root}/raw_county", RAW_COUNTY_SCHEMA,
+                     keys(RAW_COUNTY_SCHEMA))
 
     stg_a = as_view(stage_centre_stats(raw_a), "stg_applications")
     stg_t = as_view(stage_centre_stats(raw_t), "stg_tests")

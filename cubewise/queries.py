@@ -41,11 +41,13 @@ from cubewise.schemas import (
     CENTRE_TEST_MEASURES,
     COUNTY_KEYS,
     HEADER_LABEL,
+    LANDING_CENTRE_NO_CATEGORY_SCHEMA,
     LANDING_CENTRE_SCHEMA,
     LANDING_COUNTY_SCHEMA,
+    RAW_CENTRE_NO_CATEGORY_SCHEMA,
     RAW_CENTRE_SCHEMA,
 )
-from cubewise.session import ensure_checkpoint_dir, scratch_path, table_path
+from cubewise.session import scratch_path, table_path
 from cubewise.sinks.files import as_view, land_csv, load_raw, materialize, preview
 from cubewise.sources.catalog import Catalog
 from cubewise.sources.csv import clean_csv_rows
@@ -84,12 +86,12 @@ def stg_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_county_stats(landed_county(spark, sf_dir))
 
 
-def county_fact_df(spark: SparkSession, sf_dir: str, agg: str = "max") -> DataFrame:
-    return county_fact(stg_api(spark, sf_dir), stg_local(spark, sf_dir), agg)
+def county_fact_df(spark: SparkSession, sf_dir: str, agg: str = "max", **filters) -> DataFrame:
+    return county_fact(stg_api(spark, sf_dir), stg_local(spark, sf_dir), agg, **filters)
 
 
-def centre_fact_df(spark: SparkSession, sf_dir: str, agg: str = "max") -> DataFrame:
-    return centre_fact(stg_api(spark, sf_dir), stg_ro30(spark, sf_dir), agg)
+def centre_fact_df(spark: SparkSession, sf_dir: str, agg: str = "max", **filters) -> DataFrame:
+    return centre_fact(stg_api(spark, sf_dir), stg_ro30(spark, sf_dir), agg, **filters)
 
 
 # ---------------------------------------------------------------------------
@@ -261,8 +263,8 @@ DASHBOARD_FILTER = {"year": ["2019", "2020"], "category": ["BUILDING", "MACHINER
 
 
 def q_filtered_fact(spark, sf_dir):
-    return apply_filters(county_fact_df(spark, sf_dir), county=["NATION_5", "NATION_9", "Co.NATION_2"],
-                         year="2020", month=[1, 2, 3, 10], category="AUTOMOBILE")
+    return county_fact_df(spark, sf_dir, county=["NATION_5", "NATION_9", "Co.NATION_2"],
+                          year="2020", month=[1, 2, 3, 10], category="AUTOMOBILE")
 
 
 def q_scorecards(spark, sf_dir):
@@ -270,7 +272,7 @@ def q_scorecards(spark, sf_dir):
 
 
 def q_scorecards_filtered(spark, sf_dir):
-    return scorecards(centre_fact_df(spark, sf_dir), **DASHBOARD_FILTER)
+    return scorecards(centre_fact_df(spark, sf_dir, **DASHBOARD_FILTER))
 
 
 def q_applications_by_category(spark, sf_dir):
@@ -419,13 +421,15 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     """Checks run on the built models, as tests run after the models: the
     staged applications (input of both facts) and each fact are computed
-    once and checkpointed to the shared checkpoint folder; each table's
-    row-level checks (one pass) and unique check then read the stored copy."""
-    ensure_checkpoint_dir(spark)
-    stg = stg_api(spark, sf_dir).checkpoint(eager=True)
+    once and stored in the shared folder; each table's row-level checks (one
+    pass) and unique check then read the columns they need."""
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, scratch_path(spark, name), ())
+
+    stg = stored(stg_api(spark, sf_dir), "dq_stg")
     tables = {"stg_api": stg,
-              "county_fact": county_fact(stg, stg_local(spark, sf_dir)).checkpoint(eager=True),
-              "centre_fact": centre_fact(stg, stg_ro30(spark, sf_dir)).checkpoint(eager=True)}
+              "county_fact": stored(county_fact(stg, stg_local(spark, sf_dir)), "dq_county_fact"),
+              "centre_fact": stored(centre_fact(stg, stg_ro30(spark, sf_dir)), "dq_centre_fact")}
     return combine_reports([quality_report(t, tables[t], checks) for t, checks in QUALITY_SUITE.items()])
 
 
@@ -678,8 +682,8 @@ def q_jsonstat_rejected(spark, sf_dir):
 
 QUERIES["jsonstat_rejected"] = q_jsonstat_rejected
 ORACLE["jsonstat_rejected"] = O.with_base("""
-  SELECT CASE WHEN dn = 0 THEN 'missing dimension order or size'
-              WHEN dn = 1 THEN 'invalid JSON-stat format' ELSE 'valid' END AS status,
+  SELECT CASE WHEN dn = 0 THEN 'no-dimension-order'
+              WHEN dn = 1 THEN 'malformed-document' ELSE 'valid' END AS status,
          COUNT(*) AS documents
   FROM (SELECT DISTINCT n_nationkey AS dn, substr("month", 1, 4) AS dy FROM apps_long) d
   GROUP BY 1""")
@@ -708,17 +712,94 @@ ORACLE["reingest_latest_wins"] = O.with_base("""
   FROM raw_api""")
 
 
-def q_warehouse_county_fact(spark, sf_dir):
+def _warehouse(spark, sf_dir, agg="max", revised=False):
     """Landing folders -> full warehouse build (raw loads, staging views,
-    stored facts, quality report); returns the stored county fact."""
+    stored facts, quality report). ``revised``: the applications come unbatched,
+    and again in two batches, the last of which lowers one statistic."""
     landing = {name: scratch_path(spark, f"wh_landing_{name}") for name in ("apps", "tests", "county")}
-    land_csv(raw_api(spark, sf_dir), landing["apps"])
+    raw = raw_api(spark, sf_dir)
+    land_csv(raw, landing["apps"])
+    if revised:
+        land_csv(raw.withColumn("value", F.col("value") * 5), landing["apps"], batch="0001")
+        land_csv(raw, landing["apps"], batch="0002")
+        lowered = raw.filter(F.col("statistic") == REVISED).withColumn("value", -F.col("value"))
+        land_csv(lowered, landing["apps"], batch="0010")
     land_csv(raw_ro30(spark, sf_dir), landing["tests"])
     land_csv(landed_county(spark, sf_dir), landing["county"])
-    wh = build_warehouse(spark, landing["apps"], landing["tests"], landing["county"],
-                         scratch_path(spark, "warehouse"))
-    return wh.county_fact
+    return build_warehouse(spark, landing["apps"], landing["tests"], landing["county"],
+                           scratch_path(spark, "warehouse"), agg, latest_wins=revised)
+
+
+REVISED = "Driving Test Applications Received"
+
+
+def q_warehouse_county_fact(spark, sf_dir):
+    return _warehouse(spark, sf_dir).county_fact
+
+
+def q_warehouse_centre_fact(spark, sf_dir):
+    return _warehouse(spark, sf_dir).centre_fact
+
+
+def q_warehouse_latest_wins(spark, sf_dir):
+    """Revised extracts through the whole load: the latest batch counts, once."""
+    return _warehouse(spark, sf_dir, "sum", revised=True).county_fact
+
 
+def q_single_file_landing(spark, sf_dir):
+    """The tests table without category, landed as a single file and loaded."""
+    landing = scratch_path(spark, "landing_single")
+    land_csv(raw_ro34(spark, sf_dir), landing, single_file=True)
+    return load_raw(spark, landing + "/*", LANDING_CENTRE_NO_CATEGORY_SCHEMA, scratch_path(spark, "raw_single"),
+                    RAW_CENTRE_NO_CATEGORY_SCHEMA)
 
-QUERIES["warehouse_county_fact"] = q_warehouse_county_fact
-ORACLE["warehouse_county_fact"] = O.with_base("SELECT * FROM county_fact")
+
+def q_preview_rows(spark, sf_dir):
+    """How many rows the preview shows, and how many of them are in the table."""
+    raw = raw_api(spark, sf_dir)
+    shown = preview(raw, 10)
+    found = shown.join(raw.distinct(), raw.columns, "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("shown")).join(found.agg(F.count(F.lit(1)).alias("found")))
+
+
+def q_text_round_trip(spark, sf_dir):
+    """Labels with quotes, separators, blanks, line breaks and empty texts,
+    landed and loaded again."""
+    landing = scratch_path(spark, "landing_text")
+    land_csv(_awkward(raw_ro34(spark, sf_dir)), landing)
+    return load_raw(spark, landing + "/*", LANDING_CENTRE_NO_CATEGORY_SCHEMA, scratch_path(spark, "raw_text"),
+                    RAW_CENTRE_NO_CATEGORY_SCHEMA)
+
+
+def _awkward(raw: DataFrame) -> DataFrame:
+    kind, centre = F.col("value") % 6, F.col("driving_test_centre")
+    return raw.withColumn("driving_test_centre", (
+        F.when(kind == 0, F.concat(F.lit('say "'), centre, F.lit('", ok')))
+        .when(kind == 1, F.concat(F.lit("  "), centre, F.lit(" \t")))
+        .when(kind == 2, F.concat(centre, F.lit("\nline\r\nend")))
+        .when(kind == 3, F.lit("")).when(kind == 4, F.lit(None).cast("string")).otherwise(centre)))
+
+
+QUERIES.update({
+    "warehouse_county_fact": q_warehouse_county_fact,
+    "warehouse_centre_fact": q_warehouse_centre_fact,
+    "warehouse_latest_wins": q_warehouse_latest_wins,
+    "single_file_landing": q_single_file_landing,
+    "preview_rows": q_preview_rows,
+    "text_round_trip": q_text_round_trip,
+})
+ORACLE.update({
+    "warehouse_county_fact": O.with_base("SELECT * FROM county_fact"),
+    "warehouse_centre_fact": O.with_base("SELECT * FROM centre_fact"),
+    "warehouse_latest_wins": O.with_base("SELECT * FROM county_fact_sum").replace(
+        "o.o_orderkey AS value", "CASE WHEN o.o_orderpriority = '1-URGENT' THEN -o.o_orderkey ELSE o.o_orderkey END AS value"),
+    "single_file_landing": O.with_base("SELECT * FROM raw_ro34"),
+    "preview_rows": O.with_base("SELECT least(count(*), 10) AS shown, least(count(*), 10) AS found FROM raw_api"),
+    "text_round_trip": O.with_base("""
+      SELECT statistic, "month", unit, value,
+             CASE value % 6 WHEN 0 THEN 'say "' || driving_test_centre || '", ok'
+                            WHEN 1 THEN '  ' || driving_test_centre || ' ' || chr(9)
+                            WHEN 2 THEN driving_test_centre || chr(10) || 'line' || chr(13) || chr(10) || 'end'
+                            WHEN 3 THEN '' WHEN 4 THEN NULL ELSE driving_test_centre END AS driving_test_centre
+      FROM raw_ro34"""),
+})

@@ -55,13 +55,17 @@ def get_session(master: str | None = None, app: str = "cubewise",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a private temporary folder created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session whose
+    executors are threads of this process (``local[...]``) may do without: it
+    gets a temporary folder of its own. Elsewhere a missing folder is an error,
+    because executors would not see a folder of this machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cubewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubewise.operators.project import to_snake_case
-from cubewise.sources.csv import read_landing_csv
+from cubewise.sources.csv import CSV_OPTIONS, decode_lines, encode_lines, read_landing_csv
 
 
 BATCH_COL = "_batch"
@@ -28,9 +28,22 @@ def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool =
     ``single_file`` funnels everything through one task (``coalesce(1)``);
     it exists for parity with single-file consumers and is off by default.
     """
-    out = df.coalesce(1) if single_file else df
+    out = encode_lines(df.coalesce(1) if single_file else df)
     target = f"{path.rstrip('/')}/{batch}" if batch else path
-    out.write.mode(mode).option("header", header).csv(target)
+    out.write.mode(mode).option("header", header).options(**CSV_OPTIONS | {"emptyValue": '""'}).csv(target)
+
+
+def landing_batch(path: str) -> Column:
+    """The batch sub-folder of a landed file under ``path`` (the landing folder
+    or its ``/*`` glob); files landed without a batch have '' and so rank below
+    every batch."""
+    root = path.rstrip("/").removesuffix("/*").rstrip("/")
+    if any(c in root for c in "*?[{"):
+        raise ValueError(f"batches need one landing folder, not a pattern: {path}")
+    root = root.split("://", 1)[-1].removeprefix("file:")
+    file = F.col("_metadata.file_path")
+    rest = F.substring(file, F.locate(root + "/", file) + len(root) + 1, F.lit(1 << 20))
+    return F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1)).otherwise(F.lit(""))
 
 
 def latest_batch_wins(df: DataFrame, keys: Sequence[str], batch_col: str = BATCH_COL) -> DataFrame:
@@ -59,10 +72,12 @@ def load_raw(spark: SparkSession, path: str | list[str], landing_schema: T.Struc
     latest batch only (a revised re-extract replaces the earlier values
     instead of adding to them).
     """
-    df = to_snake_case(read_landing_csv(spark, path, landing_schema))
+    df = read_landing_csv(spark, path, landing_schema)
     if latest_wins:
-        batch = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-        df = df.withColumn(BATCH_COL, batch)
+        if not isinstance(path, str):
+            raise ValueError("latest_wins needs one landing folder")
+        df = df.withColumn(BATCH_COL, landing_batch(path))
+    df = to_snake_case(decode_lines(df))
     if warehouse_schema is not None:
         cols = [df[f.name].try_cast(f.dataType).alias(f.name) for f in warehouse_schema.fields]
         df = df.select(*cols, *([BATCH_COL] if latest_wins else []))

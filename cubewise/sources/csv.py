@@ -9,6 +9,34 @@ from pyspark.sql import types as T
 from cubewise.schemas import HEADER_LABEL
 
 
+# How landing CSV is written and read. Quotes inside a field are doubled, blanks
+# stay, and a NULL (or a field left empty) differs from a quoted empty string.
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "nullValue": "\\N", "emptyValue": ""}
+# A landed file has one line per row, so that scans can split it: line breaks
+# inside a text are written as codes (the code character first).
+LINE_CODES = [("\x01", "\x010"), ("\n", "\x011"), ("\r", "\x012")]
+
+
+def encode_lines(df: DataFrame) -> DataFrame:
+    return _replace_in_strings(df, LINE_CODES)
+
+
+def decode_lines(df: DataFrame) -> DataFrame:
+    return _replace_in_strings(df, [(code, plain) for plain, code in reversed(LINE_CODES)])
+
+
+def _replace_in_strings(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    columns = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind == "string":
+            for old, new in pairs:
+                c = F.replace(c, F.lit(old), F.lit(new))
+        columns.append(c.alias(name))
+    return df.select(*columns)
+
+
 def read_landing_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
                      header: bool = False, corrupt_col: str | None = None) -> DataFrame:
     """Read headerless CSV by position with a fixed schema.
@@ -25,7 +53,8 @@ def read_landing_csv(spark: SparkSession, path: str | list[str], schema: T.Struc
     reader = (spark.read.schema(schema)
               .option("header", header)
               .option("mode", "PERMISSIVE")
-              .option("enforceSchema", True))
+              .option("enforceSchema", True)
+              .options(**CSV_OPTIONS))
     if corrupt_col:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     return reader.csv(path)

@@ -5,10 +5,10 @@ raw inputs are built from ``orders``, ``lineitem``, ``customer`` and
 ``nation`` by fixed rules; their size grows with the source tables.
 
 * raw_api (applications, centre x category): one row per order.
-* raw_ro30 (tests, centre x category): one row per finished line item.
+* raw_ro30 (tests, centre x category): one row per line item; open lines are
+  booked tests, a statistic that no measure counts.
 * raw_ro34 (tests, centre only): raw_ro30 without the category.
-* raw_county (county file, county x category): one row per finished line
-  item, with the file's own defects (NULL labels, NULL values).
+* raw_county (county file, county x category): one row per line item, with the file's own defects (NULL labels, NULL values).
 
 Rules (identical in the SQL oracle):
   period      = (year + 23) and the month, spelt per row (see ``_period``)
@@ -27,6 +27,7 @@ from cubewise.schemas import NATIONAL_CENTRE_LABEL, NATIONAL_COUNTY_LABEL, UNIT_
 from cubewise.session import table_path
 
 YEAR_SHIFT = 23  # 1995..2001 -> 2018..2024
+BOOKED = "Driving Tests Booked"  # matches no measure
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -78,16 +79,19 @@ def period_full(d: Column) -> Column:
     return F.concat(_year(d), F.lit(" "), F.date_format(d, "MMMM"))
 
 
-def _period(d: Column, status: Column, priority: Column) -> Column:
+def _period(d: Column, status: Column, priority: Column, key: Column) -> Column:
     """Month spelling of an application row. Finished and open orders use
     the full name; pending orders vary it by priority: short name, upper-case
-    short name, number, a code without a space (unparseable), full name."""
+    short name, number (for some keys one that is no month), a code without a
+    space (unparseable), full name."""
     y = _year(d)
+    number = (F.when(key % 10 == 0, F.lit("123")).when(key % 10 == 1, F.lit("13")).when(key % 10 == 2, F.lit("0"))
+              .otherwise(F.month(d).cast("string")))
     return (
         F.when(status != F.lit("P"), period_full(d))
         .when(priority == F.lit("1-URGENT"), F.concat(y, F.lit(" "), F.date_format(d, "MMM")))
         .when(priority == F.lit("2-HIGH"), F.concat(y, F.lit(" "), F.upper(F.date_format(d, "MMM"))))
-        .when(priority == F.lit("3-MEDIUM"), F.concat(y, F.lit(" "), F.month(d).cast("string")))
+        .when(priority == F.lit("3-MEDIUM"), F.concat(y, F.lit(" "), number))
         .when(priority == F.lit("4-NOT SPECIFIED"),
               F.concat(y, F.lit("M"), F.lpad(F.month(d).cast("string"), 2, "0")))
         .otherwise(period_full(d))
@@ -119,7 +123,7 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.col("c_mktsegment")))
     return j.select(
         statistic.alias("statistic"),
-        _period(F.col("o_orderdate"), status, prio).alias("month"),
+        _period(F.col("o_orderdate"), status, prio, F.col("o_orderkey")).alias("month"),
         category.alias("driving_test_categories"),
         F.col("centre").alias("driving_test_centre"),
         F.lit(UNIT_LABEL).alias("unit"),
@@ -128,22 +132,23 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _finished_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished line items with their customer's centre (two shuffle joins
-    on the natural keys; the status filter reaches the lineitem scan)."""
-    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus",
-               "l_shipdate", where=F.col("l_linestatus") == "F")
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their customer's centre. Orders and customers are joined
+    first, so that the largest table crosses one exchange only."""
+    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     c = customer_centres(spark, sf_dir)
-    return li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    placed = o.join(c, o.o_custkey == c.c_custkey)
+    return li.join(placed, li.l_orderkey == placed.o_orderkey)
 
 
 def raw_ro30(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tests table at centre x category (same columns as raw_api)."""
-    j = _finished_lines(spark, sf_dir)
+    j = _lines(spark, sf_dir)
     flag = F.col("l_returnflag")
     statistic = (
-        F.when(F.col("l_quantity") > 45, F.lit("Driving Tests Not Conducted / Abandoned"))
+        F.when(F.col("l_linestatus") == "O", F.lit(BOOKED))
+        .when(F.col("l_quantity") > 45, F.lit("Driving Tests Not Conducted / Abandoned"))
         .when(flag == "R", F.lit("Driving Tests Delivered"))
         .when(flag == "A", F.lit("Driving Test Pass Rate"))
         .otherwise(F.lit("Driving Test No-Shows"))
@@ -166,10 +171,11 @@ def raw_ro34(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_county(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County file rows as read from the file (before landing): a NULL label
     for single-unit lines and a NULL value for lines above 48 units."""
-    j = _finished_lines(spark, sf_dir)
+    j = _lines(spark, sf_dir)
     flag = F.col("l_returnflag")
     label = (
         F.when(F.col("l_quantity") == 1, F.lit(None).cast("string"))
+        .when(F.col("l_linestatus") == "O", F.lit(BOOKED))
         .when(flag == "R", F.lit("Driving Tests Delivered"))
         .when(flag == "A", F.lit("Driving Test Pass Rate"))
         .otherwise(F.lit("Driving Test No-Shows"))

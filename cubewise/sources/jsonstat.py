@@ -70,9 +70,9 @@ def reject_reason() -> Column:
     labelled = F.forall(ids, lambda d: _dim(d).isNotNull() & _dim(d)["category"]["label"].isNotNull())
     return (
         F.when(r.isNull(), F.lit("missing result"))
-        .when(r["dimension"].isNull() | r["value"].isNull(), F.lit("invalid JSON-stat format"))
+        .when(r["dimension"].isNull() | r["value"].isNull(), F.lit("malformed-document"))
         .when(ids.isNull() | size.isNull() | (F.size(ids) == 0) | (F.size(size) == 0),
-              F.lit("missing dimension order or size"))
+              F.lit("no-dimension-order"))
         .when(F.size(ids) != F.size(size), F.lit("dimension order and size differ in length"))
         .when(~labelled, F.lit("dimension without category labels"))
     )

@@ -25,8 +25,11 @@ of the rows across several tasks. ``build_fact`` must keep the staged
 ``year`` and ``month`` columns (the period is derived from them).
 
 A stream-stream full outer join would need watermarks and would still delay
-one-sided rows; a MAX kept as streaming state could never lower a revised
-value. Recomputing touched months from the staged history avoids both.
+one-sided rows; recomputing touched months from the staged history does not.
+The history holds every epoch, so with a MAX a revised value can rise but not
+fall; revisions that lower values need a reload with ``latest_wins``. A state
+folder belongs to one checkpoint: epochs are numbered by it, so start a new
+checkpoint with an empty state folder.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cubewise.functions import month_number, month_start
 from cubewise.operators.project import to_snake_case
 from cubewise.plans.staging import stage_centre_stats
+from cubewise.sources.csv import CSV_OPTIONS, decode_lines
 
 PERIOD = "period"
 
@@ -102,10 +106,10 @@ def start_incremental(spark: SparkSession, landing_dir: str, landing_schema: T.S
                       available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental refresh over ``landing_dir`` (headerless CSV)."""
     reader = (spark.readStream.schema(landing_schema).option("header", False)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE").options(**CSV_OPTIONS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing_dir)
+    stream = decode_lines(reader.csv(landing_dir))
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         refresh_touched(spark, batch, epoch_id, state_dir, fact_dir, build_fact, stage)
