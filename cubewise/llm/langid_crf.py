@@ -29,7 +29,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +50,7 @@ EPOCHS = 2
 RATE = 0.3
 BLOCK_WORDS = 64
 MEMORY_WORDS = 100_000
+NEW_WORDS = 10_000  # whose features are computed at once
 # Longer words (no language has them) count by their first and last letters.
 LONGEST_WORD = 40
 
@@ -61,28 +61,48 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def feature_numbers(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed numbers of a word's features; the lexicon's entries come after."""
-    if len(word) > LONGEST_WORD:
-        word = word[:LONGEST_WORD // 2] + word[-LONGEST_WORD // 2:]
-    found = {word[i:i + 2] for i in range(len(word) - 1)}
-    found.update([word[i:i + 3] for i in range(len(word) - 2)])
-    found.update(("<" + word[:1], "<" + word[:2], "<" + word[:3],
-                  word[-1:] + ">", word[-2:] + ">", word[-3:] + ">", word[-4:] + ">"))
-    numbers = list(map(feature_number, found))
-    entry = lexicon.get(word)
-    if entry is not None:
-        numbers.append(FEATURES + entry)
-    return numbers
-
-
-@lru_cache(1 << 17)
-def feature_number(text: str) -> int:
-    """FNV-1a of the UTF-8 bytes (Python's own hash changes between processes)."""
-    h = 0xCBF29CE484222325
-    for b in text.encode("utf-8"):
-        h = (h ^ b) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return (h >> 20) % FEATURES
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, word number) pairs of all the words at once: the bigrams and
+    trigrams of ``<word>`` (its short affixes among them), its first three and
+    last three and four letters, all as hashed numbers, and the lexicon's entries,
+    which come after."""
+    marked = [f"<{w}>" if len(w) <= LONGEST_WORD else f"<{w[:LONGEST_WORD // 2]}{w[-LONGEST_WORD // 2:]}>" for w in words]
+    size = np.array([len(m) for m in marked], np.int64)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(words)), size)
+    room = end[owner] - np.arange(len(codes))
+    flat, of = [], []
+
+    def gram(at: np.ndarray, n: int) -> None:
+        h = np.full(len(at), n, np.uint64)
+        for j in range(n):
+            h = (h ^ codes[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        flat.append((h >> np.uint64(20)).astype(np.int64) % FEATURES)
+        of.append(owner[at])
+
+    gram(np.flatnonzero(room >= 2), 2)
+    gram(np.flatnonzero(room >= 3), 3)
+    gram((end - size)[size >= 5], 4)
+    gram((end - 4)[size >= 5], 4)
+    gram((end - 5)[size >= 6], 5)
+    entries = [(FEATURES + lexicon[w], i) for i, w in enumerate(words) if w in lexicon]
+    known = np.array(entries, np.int64).reshape(-1, 2)
+    return np.concatenate([*flat, known[:, 0]]), np.concatenate([*of, known[:, 1]])
+
+
+class RowNumbers(dict):
+    """word -> its row; words asked for the first time are listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self)
+        self.new.append(word)
+        return row
 
 
 class Model:
@@ -93,7 +113,7 @@ class Model:
         self.lexicon = lexicon
         self.weights = weights
         self.transitions = transitions
-        self.memory: dict[str, int] = {}
+        self.memory = RowNumbers()
         self.scores = np.zeros((1024, len(labels)))
 
     def __getstate__(self) -> tuple:
@@ -108,22 +128,18 @@ class Model:
         if len(memory) > MEMORY_WORDS:
             memory.clear()
         known = len(memory)
-        new = []
-        out = [0] * len(words)
-        for i, word in enumerate(words):
-            at = memory.get(word)
-            if at is None:
-                at = memory[word] = known + len(new)
-                new.append(feature_numbers(word, self.lexicon))
-            out[i] = at
-        if new:
-            while known + len(new) > len(self.scores):
+        out = np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
+        if memory.new:
+            while len(memory) > len(self.scores):
                 self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
-            sizes = np.array([len(n) for n in new])
-            flat = np.array([f for n in new for f in n])
-            self.scores[known:known + len(new)] = np.add.reduceat(
-                self.weights[flat], np.cumsum(sizes) - sizes, axis=0, dtype=np.float64)
-        return np.array(out, np.int64)
+            for at in range(0, len(memory.new), NEW_WORDS):
+                part = memory.new[at:at + NEW_WORDS]
+                flat, owner = word_features(part, self.lexicon)
+                for label in range(len(self.labels)):
+                    self.scores[known + at:known + at + len(part), label] = np.bincount(
+                        owner, self.weights[flat, label], len(part))
+            memory.new.clear()
+        return out
 
 
 def forward_backward(potentials: np.ndarray, lengths: np.ndarray, switch: np.ndarray) -> np.ndarray:
@@ -235,11 +251,10 @@ def fit(sample: list[tuple[str, str]], seed: int = 0) -> Model | None:
         return parts[:SEQUENCE_WORDS], gold[:SEQUENCE_WORDS]
 
     sequences = [sequence() for _ in range(SEQUENCES)]
-    features: dict[str, np.ndarray] = {}
-    for text, _ in sequences:
-        for w in text:
-            if w not in features:
-                features[w] = np.array(feature_numbers(w, lexicon))
+    distinct = sorted({w for text, _ in sequences for w in text})
+    flat, owner = word_features(distinct, lexicon)
+    by_word = flat[np.argsort(owner, kind="stable")]
+    features = dict(zip(distinct, np.split(by_word, np.cumsum(np.bincount(owner))[:-1]), strict=True))
     squares = np.full_like(model.weights, 1e-2)
     moves = np.full_like(model.transitions, 1e-2)
     for epoch in range(EPOCHS):
