@@ -31,9 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.common import text_or_empty
-from cubewise.llm.pretokens import BYTE_CHARACTERS, WHITE_SPACE, ChunkMemory, as_byte_characters, id_bytes, is_plain
+from cubewise.llm.pretokens import BYTE_CHARACTERS, WHITE_SPACE, ChunkMemory, id_bytes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Remembered words per Python worker.
+MEMORY_WORDS = 500_000
+# Unseen words that go to the tokenizer in one call.
+LEARNT_AT_ONCE = 50_000
 
 _loaded: dict[str, Encoder] = {}
 
@@ -55,25 +59,28 @@ class Encoder:
             self.token_bytes[rank] = token
         self.token_lengths = np.array([len(t) for t in self.token_bytes], np.int64)
         model = models.BPE(vocab={spell(t): r for t, r in ranks.items()}, merges=merge_rules(ranks))
-        self.model = model
         self.tokenizer = Tokenizer(model)
         # Isolated matches cover the whole text: every character is white space or not.
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(public_tokenizers.PATTERN), behavior="isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.chunk = regex.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
-        self.pieces = ChunkMemory(self.encode_piece)
-        self.words = ChunkMemory(self.encode_word)
-
-    def encode_piece(self, piece: str) -> bytes:
-        """Ids of one match of the pattern."""
-        return id_bytes([t.id for t in self.model.tokenize(as_byte_characters(piece))])
+        self.words = ChunkMemory(self.encode_word, MEMORY_WORDS)
 
     def encode_chunk(self, chunk: str) -> bytes:
-        if is_plain(chunk):
-            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
-        return id_bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        return id_bytes(self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids)
+
+    def learn(self, texts: list[str]) -> None:
+        """Encode the words of texts that are not remembered, many in one call;
+        a word's ids are those whose bytes make up its bytes."""
+        new = self.words.expect({w for text in texts for w in text.split(" ") if w and w[-1] not in WHITE_SPACE})
+        for at in range(0, len(new), LEARNT_AT_ONCE):
+            some = new[at:at + LEARNT_AT_ONCE]
+            ids = np.frombuffer(self.encode_chunk(" " + " ".join(some)), "<u4")
+            ends = np.cumsum([1 + len(w.encode("utf-8")) for w in some])
+            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.token_lengths[ids]), ends) + 4).tolist()]
+            raw = ids.tobytes()
+            self.words |= {w: raw[a:b] for w, a, b in zip(some, cuts, cuts[1:])}
 
     def encode_word(self, word: str) -> bytes:
         """Ids of a word with the space before it."""
@@ -140,6 +147,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         enc = encoder(vocabulary)
         for batch in small_batches(batches):
             texts = batch.column(1).to_pylist()
+            enc.learn(texts)
             ids = [np.frombuffer(enc.encode(t), "<u4") for t in texts]
             columns = [batch.column(0), lists(ids, pa.int32())]
             if offsets:
@@ -178,7 +186,9 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         enc = encoder(vocabulary)
         for batch in small_batches(batches):
             n, ids_hex, decoded_hex = [], [], []
-            for text in batch.column(1).to_pylist():
+            texts = batch.column(1).to_pylist()
+            enc.learn(texts)
+            for text in texts:
                 ids = enc.encode(text)
                 n.append(len(ids) // 4)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())

@@ -40,6 +40,17 @@ class ChunkMemory(dict):
             self[chunk] = ids
         return ids
 
+    def expect(self, chunks: set[str]) -> list[str]:
+        """Hold what is remembered of the chunks in the younger generation, so that
+        none is lost while they are in use; those not remembered are returned."""
+        wanted = [c for c in chunks if c not in self and len(c) <= MEMORY_CHUNK_CHARS]
+        if 2 * (len(self) + len(wanted)) > self.size:
+            self.older = dict(self)
+            self.clear()
+            wanted = [c for c in chunks if len(c) <= MEMORY_CHUNK_CHARS]
+        self |= {c: self.older[c] for c in wanted if c in self.older}
+        return [c for c in wanted if c not in self.older]
+
 
 def byte_characters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable
