@@ -11,7 +11,6 @@ from cubewise.schemas import (
     APPLICATION_MEASURES,
     CENTRE_TEST_MEASURES,
     COUNTY_TEST_MEASURES,
-    MONTH_NUMBERS,
 )
 
 # ---------------------------------------------------------------------------
@@ -20,8 +19,9 @@ from cubewise.schemas import (
 
 
 def month_number_sql(m: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MONTH_NUMBERS.items())
-    return f"CAST(CASE lower({m}) {whens} ELSE TRY_CAST({m} AS BIGINT) END AS BIGINT)"
+    names = "coalesce(try_strptime({0}, '%B'), try_strptime({0}, '%b'))".format(m)
+    return (f"CAST(CASE WHEN regexp_full_match({m}, '[A-Za-z]+') THEN month({names}) "
+            f"ELSE TRY_CAST({m} AS BIGINT) END AS BIGINT)")
 
 
 def month_start_sql(y: str, mn: str) -> str:
@@ -96,7 +96,8 @@ BASE["apps_long"] = f"""
     c.centre AS driving_test_centre,
     'Number' AS unit,
     o.o_orderkey AS value,
-    c.n_nationkey
+    c.n_nationkey,
+    o.o_custkey // 500 AS doc_block
   FROM orders o JOIN cust c ON o.o_custkey = c.c_custkey"""
 
 BASE["raw_api"] = """

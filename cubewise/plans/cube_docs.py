@@ -25,7 +25,7 @@ DIMENSIONS = [
     ("C02", "Driving Test Centre", "driving_test_centre"),
 ]
 
-DOC_KEYS = ["doc_nation", "doc_year"]
+DOC_KEYS = ["doc_nation", "doc_year", "doc_block"]
 
 
 def _labels(k: int) -> Column:
@@ -50,10 +50,12 @@ def dense_values(entries: str, total: Column) -> Column:
 
 
 def cube_documents(long_rows: DataFrame) -> DataFrame:
-    """(n_nationkey, statistic, month, category, centre, ...) -> (doc_nation,
-    doc_year, json) with one JSON-stat document per nation and year."""
+    """(n_nationkey, [doc_block], statistic, month, category, centre, ...) ->
+    (doc_nation, doc_year, doc_block, json) with one JSON-stat document per
+    nation, year and block (rows without one form a single block)."""
+    block = F.col("doc_block") if "doc_block" in long_rows.columns else F.lit(0).alias("doc_block")
     keyed = long_rows.select(
-        F.col("n_nationkey").alias("doc_nation"), F.substring("month", 1, 4).alias("doc_year"),
+        F.col("n_nationkey").alias("doc_nation"), F.substring("month", 1, 4).alias("doc_year"), block,
         *[F.col(src) for _, _, src in DIMENSIONS])
     src_cols = [src for _, _, src in DIMENSIONS]
     cells = keyed.groupBy(*DOC_KEYS, *src_cols).agg(F.count(F.lit(1)).alias("n"))

@@ -7,19 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubewise.operators.quality import (
-    accepted_values_check,
-    combine_reports,
-    not_null_check,
-    quality_report,
-    unique_check,
-)
 from cubewise.plans.facts import centre_fact, county_fact
+from cubewise.plans.quality_suite import suite_report
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
 from cubewise.schemas import (
-    ACCEPTED_YEARS,
+    LANDING_CENTRE_NO_CATEGORY_SCHEMA,
     LANDING_CENTRE_SCHEMA,
     LANDING_COUNTY_SCHEMA,
+    RAW_CENTRE_NO_CATEGORY_SCHEMA,
     RAW_CENTRE_SCHEMA,
     RAW_COUNTY_SCHEMA,
 )
@@ -37,6 +32,8 @@ class Warehouse:
     county_fact: DataFrame
     centre_fact: DataFrame
     report: DataFrame
+    raw_tests_no_category: DataFrame | None = None
+    stg_tests_no_category: DataFrame | None = None
 
 
 def _glob(path: str) -> str:
@@ -44,40 +41,41 @@ def _glob(path: str) -> str:
 
 
 def build_warehouse(spark: SparkSession, applications_landing: str, tests_landing: str,
-                    county_landing: str, target: str, agg: str = "max", latest_wins: bool = False) -> Warehouse:
+                    county_landing: str, target: str, agg: str = "max", latest_wins: bool = False,
+                    tests_no_category_landing: str | None = None) -> Warehouse:
     """Full refresh of every table under ``target`` (a shared location).
 
     Raw tables are written once and read back, so both facts and the checks
     scan stored Parquet rather than re-parsing landing CSV; the facts are
     stored partitioned by year. Staging stays a view. ``latest_wins``: of the
     rows of one series and month only those of the latest landing batch count.
+    The tests without category are loaded, staged and checked where their
+    landing folder is given; no fact reads them.
     """
-    def keys(schema):
-        return [f.name for f in schema.fields if f.name not in ("unit", "value")] if latest_wins else None
-
     root = target.rstrip("/")
-    raw_a = load_raw(spark, _glob(applications_landing), LANDING_CENTRE_SCHEMA, f"{root}/raw_applications",
-                     RAW_CENTRE_SCHEMA, keys(RAW_CENTRE_SCHEMA))
-    raw_t = load_raw(spark, _glob(tests_landing), LANDING_CENTRE_SCHEMA, f"{root}/raw_tests", RAW_CENTRE_SCHEMA,
-                     keys(RAW_CENTRE_SCHEMA))
-    raw_c = load_raw(spark, _glob(county_landing), LANDING_COUNTY_SCHEMA, f"{root}/raw_county", RAW_COUNTY_SCHEMA,
-                     keys(RAW_COUNTY_SCHEMA))
 
-    stg_a = as_view(stage_centre_stats(raw_a), "stg_applications")
-    stg_t = as_view(stage_centre_stats(raw_t), "stg_tests")
-    stg_c = as_view(stage_county_stats(raw_c), "stg_county")
+    def load(landing, landing_schema, schema, name):
+        keys = [f.name for f in schema.fields if f.name not in ("unit", "value")] if latest_wins else None
+        return load_raw(spark, _glob(landing), landing_schema, f"{root}/{name}", schema, keys)
 
-    cf = materialize(county_fact(stg_a, stg_c, agg), f"{root}/county_fact", ("year",))
-    tf = materialize(centre_fact(stg_a, stg_t, agg), f"{root}/centre_fact", ("year",))
-
-    suite = {
-        "stg_applications": (stg_a, [*not_null_check("statistic", "year", "month", "test_category",
-                                                      "test_centre_raw", "county", "unit"),
-                                     accepted_values_check("year", ACCEPTED_YEARS, severity="warn")]),
-        "county_fact": (cf, [*not_null_check("year", "county", "test_category", "date_month"),
-                             unique_check("county", "test_category", "date_month")]),
-        "centre_fact": (tf, [*not_null_check("county", "year", "pass_rate"),
-                             unique_check("test_centre", "county", "test_category", "date_month")]),
+    raw_a = load(applications_landing, LANDING_CENTRE_SCHEMA, RAW_CENTRE_SCHEMA, "raw_applications")
+    raw_t = load(tests_landing, LANDING_CENTRE_SCHEMA, RAW_CENTRE_SCHEMA, "raw_tests")
+    raw_c = load(county_landing, LANDING_COUNTY_SCHEMA, RAW_COUNTY_SCHEMA, "raw_county")
+    models = {
+        "stg_applications": as_view(stage_centre_stats(raw_a), "stg_applications"),
+        "stg_county": as_view(stage_county_stats(raw_c), "stg_county"),
+        "stg_tests": as_view(stage_centre_stats(raw_t), "stg_tests"),
     }
-    report = combine_reports([quality_report(name, df, checks) for name, (df, checks) in suite.items()])
-    return Warehouse(raw_a, raw_t, raw_c, stg_a, stg_t, stg_c, cf, tf, report)
+    raw_n = None
+    if tests_no_category_landing:
+        raw_n = load(tests_no_category_landing, LANDING_CENTRE_NO_CATEGORY_SCHEMA, RAW_CENTRE_NO_CATEGORY_SCHEMA,
+                     "raw_tests_no_category")
+        models["stg_tests_no_category"] = as_view(stage_centre_stats(raw_n, has_category=False),
+                                                  "stg_tests_no_category")
+
+    stg_a = models["stg_applications"]
+    cf = materialize(county_fact(stg_a, models["stg_county"], agg), f"{root}/county_fact", ("year",))
+    tf = materialize(centre_fact(stg_a, models["stg_tests"], agg), f"{root}/centre_fact", ("year",))
+    report = suite_report(models | {"county_fact": cf, "centre_fact": tf})
+    return Warehouse(raw_a, raw_t, raw_c, stg_a, models["stg_tests"], models["stg_county"], cf, tf, report,
+                     raw_n, models.get("stg_tests_no_category"))

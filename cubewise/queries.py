@@ -18,20 +18,12 @@ from cubewise.functions import month_name, month_number, month_start, strip_coun
 from cubewise.operators.filters import apply_filters
 from cubewise.operators.pivot import full_outer_on, pivot_measures
 from cubewise.operators.project import to_snake_case
-from cubewise.operators.quality import (
-    accepted_values,
-    accepted_values_check,
-    combine_reports,
-    not_null,
-    not_null_check,
-    quality_report,
-    unique,
-    unique_check,
-)
+from cubewise.operators.quality import accepted_values, not_null, unique
 from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup
 from cubewise.plans.cube_docs import cube_documents
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
 from cubewise.plans.landing import land_county_file, land_cube, load_county_raw
+from cubewise.plans.quality_suite import COUNTY_GRAIN, QUALITY_SUITE, STG_NOT_NULL, suite_report
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
 from cubewise.plans.warehouse import build_warehouse
 from cubewise.schemas import (
@@ -59,7 +51,7 @@ from cubewise.sources.jsonstat import (
     read_jsonstat,
     validate_jsonstat,
 )
-from cubewise.streaming.incremental import read_partitioned, start_incremental
+from cubewise.streaming.incremental import OtherSide, read_partitioned, start_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -392,20 +384,6 @@ ORACLE.update({
 # ---------------------------------------------------------------------------
 
 
-STG_NOT_NULL = ["statistic", "year", "month", "test_category", "test_centre_raw", "county", "unit"]
-COUNTY_GRAIN = ["county", "test_category", "date_month"]
-CENTRE_GRAIN = ["test_centre", "county", "test_category", "date_month"]
-
-QUALITY_SUITE = {
-    "stg_api": [*not_null_check(*STG_NOT_NULL),
-                accepted_values_check("year", ACCEPTED_YEARS, severity="warn")],
-    "county_fact": [*not_null_check("year", "county", "test_category", "date_month"),
-                    unique_check(*COUNTY_GRAIN)],
-    "centre_fact": [*not_null_check("county", "year", "pass_rate"),
-                    unique_check(*CENTRE_GRAIN)],
-}
-
-
 def q_dq_not_null(spark, sf_dir):
     return not_null(stg_api(spark, sf_dir), STG_NOT_NULL)
 
@@ -419,18 +397,20 @@ def q_dq_unique(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    """Checks run on the built models, as tests run after the models: the
-    staged applications (input of both facts) and each fact are computed
-    once and stored in the shared folder; each table's row-level checks (one
-    pass) and unique check then read the columns they need."""
+    """Checks run on the built models, as tests run after the models: each
+    staging model and each fact is computed once and stored in the shared
+    folder; each table's row-level checks (one pass) and unique check then
+    read the columns they need."""
     def stored(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, scratch_path(spark, name), ())
+        return materialize(df, scratch_path(spark, f"dq_{name}"), ())
 
-    stg = stored(stg_api(spark, sf_dir), "dq_stg")
-    tables = {"stg_api": stg,
-              "county_fact": stored(county_fact(stg, stg_local(spark, sf_dir)), "dq_county_fact"),
-              "centre_fact": stored(centre_fact(stg, stg_ro30(spark, sf_dir)), "dq_centre_fact")}
-    return combine_reports([quality_report(t, tables[t], checks) for t, checks in QUALITY_SUITE.items()])
+    staged = {"stg_applications": stg_api(spark, sf_dir), "stg_county": stg_local(spark, sf_dir),
+              "stg_tests": stg_ro30(spark, sf_dir),
+              "stg_tests_no_category": stage_centre_stats(raw_ro34(spark, sf_dir), has_category=False)}
+    tables = {name: stored(df, name) for name, df in staged.items()}
+    tables["county_fact"] = stored(county_fact(tables["stg_applications"], tables["stg_county"]), "county_fact")
+    tables["centre_fact"] = stored(centre_fact(tables["stg_applications"], tables["stg_tests"]), "centre_fact")
+    return suite_report(tables)
 
 
 QUERIES.update({
@@ -445,8 +425,13 @@ def _key_sql(cols) -> str:
     return " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
 
 
-def _report_sql(table: str, checks) -> list[str]:
-    out = []
+# The models' names in the SQL formulations.
+_SQL_MODELS = {"stg_applications": "stg_api", "stg_county": "stg_local", "stg_tests": "stg_ro30",
+               "stg_tests_no_category": "stg_ro34"}
+
+
+def _report_sql(model: str, checks) -> list[str]:
+    out, table = [], _SQL_MODELS.get(model, model)
     for c in checks:
         col = c.columns[0]
         if c.kind == "not_null":
@@ -460,7 +445,7 @@ def _report_sql(table: str, checks) -> list[str]:
                        f"GROUP BY k HAVING COUNT(*) > 1) d)")
         status = (f"CASE WHEN {failing} = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' "
                   f"ELSE 'fail' END")
-        out.append(f"SELECT '{table}' AS table_name, '{c.name}' AS check_name, "
+        out.append(f"SELECT '{model}' AS table_name, '{c.name}' AS check_name, "
                    f"'{c.column_label.replace(chr(39), chr(39) * 2)}' AS column_name, "
                    f"'{c.severity}' AS severity, "
                    f"CAST({failing} AS BIGINT) AS failing_rows, {status} AS status")
@@ -564,20 +549,18 @@ QUERIES.update({
 })
 
 _CUBE_SQL = """
-  WITH d AS (SELECT n_nationkey AS dn, substr("month", 1, 4) AS dy, statistic, "month",
+  WITH d AS (SELECT n_nationkey AS dn, substr("month", 1, 4) AS dy, doc_block AS db, statistic, "month",
                     driving_test_categories AS cat, driving_test_centre AS centre FROM apps_long),
-  k AS (SELECT dn, dy, statistic, "month", cat, centre, COUNT(*) AS n FROM d
-        GROUP BY dn, dy, statistic, "month", cat, centre),
-  s AS (SELECT DISTINCT dn, dy, statistic FROM d),
-  m AS (SELECT DISTINCT dn, dy, "month" FROM d),
-  c AS (SELECT DISTINCT dn, dy, cat FROM d),
-  z AS (SELECT DISTINCT dn, dy, centre FROM d)
+  k AS (SELECT dn, dy, db, statistic, "month", cat, centre, COUNT(*) AS n FROM d
+        GROUP BY dn, dy, db, statistic, "month", cat, centre),
+  s AS (SELECT DISTINCT dn, dy, db, statistic FROM d),
+  m AS (SELECT DISTINCT dn, dy, db, "month" FROM d),
+  c AS (SELECT DISTINCT dn, dy, db, cat FROM d),
+  z AS (SELECT DISTINCT dn, dy, db, centre FROM d)
   SELECT s.statistic, m."month", c.cat AS driving_test_categories, z.centre AS driving_test_centre,
          'Number' AS unit, CAST(COALESCE(k.n, 0) AS BIGINT) AS value
-  FROM s JOIN m ON s.dn = m.dn AND s.dy = m.dy
-         JOIN c ON s.dn = c.dn AND s.dy = c.dy
-         JOIN z ON s.dn = z.dn AND s.dy = z.dy
-         LEFT JOIN k ON k.dn = s.dn AND k.dy = s.dy AND k.statistic = s.statistic
+  FROM s JOIN m USING (dn, dy, db) JOIN c USING (dn, dy, db) JOIN z USING (dn, dy, db)
+         LEFT JOIN k ON k.dn = s.dn AND k.dy = s.dy AND k.db = s.db AND k.statistic = s.statistic
                     AND k."month" = m."month" AND k.cat = c.cat AND k.centre = z.centre"""
 
 ORACLE.update({
@@ -618,8 +601,44 @@ def q_incremental_landing(spark, sf_dir):
     return read_partitioned(spark, fact, schema).drop("period")
 
 
+def q_incremental_county_fact(spark, sf_dir):
+    """Both sides of the county fact landed in parts, one stream a side; each
+    run refreshes the months its files touch from both sides' staged history.
+    The last landing repeats the first (a replayed extract), which the MAX
+    absorbs. The result equals the batch county fact."""
+    names = ("landing", "state", "checkpoint")
+    apps = {n: scratch_path(spark, f"stream_apps_{n}") for n in names}
+    tests = {n: scratch_path(spark, f"stream_county_{n}") for n in names}
+    fact_dir = scratch_path(spark, "stream_county_fact")
+
+    def refresh(side, rows, schema, stage, other, build):
+        land_csv(rows, side["landing"])
+        start_incremental(spark, side["landing"], schema, side["state"], fact_dir, side["checkpoint"], build,
+                          stage, other=other).awaitTermination()
+
+    def refresh_apps(rows):
+        other = OtherSide(tests["state"], LANDING_COUNTY_SCHEMA, stage_county_stats)
+        refresh(apps, rows, LANDING_CENTRE_SCHEMA, stage_centre_stats, other, county_fact)
+
+    def refresh_tests(rows):
+        other = OtherSide(apps["state"], LANDING_CENTRE_SCHEMA, stage_centre_stats)
+        refresh(tests, rows, LANDING_COUNTY_SCHEMA, stage_county_stats, other,
+                lambda own, applied: county_fact(applied, own))
+
+    raw, county = raw_api(spark, sf_dir), landed_county(spark, sf_dir)
+    early = F.coalesce(F.col("month") < F.lit("2021"), F.lit(False))
+    refresh_apps(raw.filter(early))
+    refresh_tests(county)
+    refresh_apps(raw.filter(~early))
+    refresh_apps(raw.filter(early))
+    schema = county_fact_df(spark, sf_dir).schema.add("period", T.DateType())
+    return read_partitioned(spark, fact_dir, schema).drop("period")
+
+
 QUERIES["incremental_landing"] = q_incremental_landing
+QUERIES["incremental_county_fact"] = q_incremental_county_fact
 ORACLE["incremental_landing"] = O.with_base("SELECT * FROM pivot_apps_centre")
+ORACLE["incremental_county_fact"] = O.with_base("SELECT * FROM county_fact")
 
 
 # ---------------------------------------------------------------------------
@@ -685,7 +704,7 @@ ORACLE["jsonstat_rejected"] = O.with_base("""
   SELECT CASE WHEN dn = 0 THEN 'no-dimension-order'
               WHEN dn = 1 THEN 'malformed-document' ELSE 'valid' END AS status,
          COUNT(*) AS documents
-  FROM (SELECT DISTINCT n_nationkey AS dn, substr("month", 1, 4) AS dy FROM apps_long) d
+  FROM (SELECT DISTINCT n_nationkey AS dn, substr("month", 1, 4) AS dy, doc_block FROM apps_long) d
   GROUP BY 1""")
 
 
@@ -716,7 +735,7 @@ def _warehouse(spark, sf_dir, agg="max", revised=False):
     """Landing folders -> full warehouse build (raw loads, staging views,
     stored facts, quality report). ``revised``: the applications come unbatched,
     and again in two batches, the last of which lowers one statistic."""
-    landing = {name: scratch_path(spark, f"wh_landing_{name}") for name in ("apps", "tests", "county")}
+    landing = {name: scratch_path(spark, f"wh_landing_{name}") for name in ("apps", "tests", "county", "ro34")}
     raw = raw_api(spark, sf_dir)
     land_csv(raw, landing["apps"])
     if revised:
@@ -726,8 +745,9 @@ def _warehouse(spark, sf_dir, agg="max", revised=False):
         land_csv(lowered, landing["apps"], batch="0010")
     land_csv(raw_ro30(spark, sf_dir), landing["tests"])
     land_csv(landed_county(spark, sf_dir), landing["county"])
+    land_csv(raw_ro34(spark, sf_dir), landing["ro34"])
     return build_warehouse(spark, landing["apps"], landing["tests"], landing["county"],
-                           scratch_path(spark, "warehouse"), agg, latest_wins=revised)
+                           scratch_path(spark, "warehouse"), agg, revised, landing["ro34"])
 
 
 REVISED = "Driving Test Applications Received"
@@ -741,6 +761,14 @@ def q_warehouse_centre_fact(spark, sf_dir):
     return _warehouse(spark, sf_dir).centre_fact
 
 
+def q_warehouse_ro34(spark, sf_dir):
+    return _warehouse(spark, sf_dir).stg_tests_no_category
+
+
+def q_warehouse_report(spark, sf_dir):
+    return _warehouse(spark, sf_dir).report
+
+
 def q_warehouse_latest_wins(spark, sf_dir):
     """Revised extracts through the whole load: the latest batch counts, once."""
     return _warehouse(spark, sf_dir, "sum", revised=True).county_fact
@@ -783,6 +811,8 @@ def _awkward(raw: DataFrame) -> DataFrame:
 QUERIES.update({
     "warehouse_county_fact": q_warehouse_county_fact,
     "warehouse_centre_fact": q_warehouse_centre_fact,
+    "warehouse_ro34": q_warehouse_ro34,
+    "warehouse_report": q_warehouse_report,
     "warehouse_latest_wins": q_warehouse_latest_wins,
     "single_file_landing": q_single_file_landing,
     "preview_rows": q_preview_rows,
@@ -791,6 +821,8 @@ QUERIES.update({
 ORACLE.update({
     "warehouse_county_fact": O.with_base("SELECT * FROM county_fact"),
     "warehouse_centre_fact": O.with_base("SELECT * FROM centre_fact"),
+    "warehouse_ro34": O.with_base("SELECT * FROM stg_ro34"),
+    "warehouse_report": ORACLE["dq_report"],
     "warehouse_latest_wins": O.with_base("SELECT * FROM county_fact_sum").replace(
         "o.o_orderkey AS value", "CASE WHEN o.o_orderpriority = '1-URGENT' THEN -o.o_orderkey ELSE o.o_orderkey END AS value"),
     "single_file_landing": O.with_base("SELECT * FROM raw_ro34"),

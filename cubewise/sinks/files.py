@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubewise.operators.project import to_snake_case
+from cubewise.session import scratch_path
 from cubewise.sources.csv import CSV_OPTIONS, decode_lines, encode_lines, read_landing_csv
 
 
@@ -82,7 +83,12 @@ def load_raw(spark: SparkSession, path: str | list[str], landing_schema: T.Struc
         cols = [df[f.name].try_cast(f.dataType).alias(f.name) for f in warehouse_schema.fields]
         df = df.select(*cols, *([BATCH_COL] if latest_wins else []))
     if latest_wins:
-        df = latest_batch_wins(df, latest_wins)
+        # Stored once, so that the text is parsed once; the batches are as many
+        # as the landing's sub-folders, and their ranks aggregate by hash.
+        df = materialize(df, scratch_path(spark, "landing_batches"), ())
+        batches = sorted(r[0] for r in df.select(BATCH_COL).distinct().collect())
+        rank = F.array_position(F.array(*[F.lit(b) for b in batches]).cast("array<string>"), F.col(BATCH_COL))
+        df = latest_batch_wins(df.withColumn(BATCH_COL, rank), latest_wins)
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 

@@ -28,18 +28,12 @@ from cubewise.session import table_path
 
 YEAR_SHIFT = 23  # 1995..2001 -> 2018..2024
 BOOKED = "Driving Tests Booked"  # matches no measure
+CUBE_CUSTOMERS = 500  # customers per block of cubes, so that their number follows the table
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table, read once per session: the footer/schema job runs once
-    and later reads reuse the same lazy DataFrame. The DataFrame keeps the
-    file listing taken at first read, so this is for immutable source
-    snapshots (the driver's tables), not for tables that gain files."""
-    cache = spark.__dict__.setdefault("_cubewise_tables", {})
-    df = cache.get(path)
-    if df is None:
-        df = cache[path] = spark.read.parquet(path)
-    return df
+    """Parquet table as its files are now."""
+    return spark.read.parquet(path)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str, where=None) -> DataFrame:
@@ -101,11 +95,12 @@ def _period(d: Column, status: Column, priority: Column, key: Column) -> Column:
 def raw_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications table (statistic, month, driving_test_categories,
     driving_test_centre, unit, value bigint)."""
-    return applications(spark, sf_dir).drop("n_nationkey")
+    return applications(spark, sf_dir).drop("n_nationkey", "doc_block")
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw_api rows plus the nation key of their centre."""
+    """raw_api rows plus the nation key of their centre and the block of
+    customers whose cubes hold them."""
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
               "o_orderpriority")
     c = customer_centres(spark, sf_dir)
@@ -129,6 +124,7 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(UNIT_LABEL).alias("unit"),
         F.col("o_orderkey").alias("value"),
         F.col("n_nationkey"),
+        F.expr(f"o_custkey div {CUBE_CUSTOMERS}").alias("doc_block"),
     )
 
 

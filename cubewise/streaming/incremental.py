@@ -28,13 +28,14 @@ A stream-stream full outer join would need watermarks and would still delay
 one-sided rows; recomputing touched months from the staged history does not.
 The history holds every epoch, so with a MAX a revised value can rise but not
 fall; revisions that lower values need a reload with ``latest_wins``. A state
-folder belongs to one checkpoint: epochs are numbered by it, so start a new
-checkpoint with an empty state folder.
+folder belongs to one checkpoint, which numbers its epochs: a new checkpoint
+over a state folder that is not empty is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,10 +79,38 @@ def touched_filter(periods: Sequence) -> Column:
     return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
 
 
+@dataclass(frozen=True)
+class OtherSide:
+    """The fact's second input: where its own stream keeps the staged rows, and
+    how that stream reads them."""
+    state_dir: str
+    landing_schema: T.StructType
+    stage: Callable[[DataFrame], DataFrame]
+
+    def history(self, spark: SparkSession, touched: Sequence) -> DataFrame:
+        staged = self.stage(to_snake_case(spark.createDataFrame([], self.landing_schema)))
+        if not has_entries(spark, self.state_dir):
+            return staged
+        schema = _with_fields(staged.schema, [T.StructField(PERIOD, T.DateType(), True),
+                                              T.StructField("epoch", T.LongType(), True)])
+        return (read_partitioned(spark, self.state_dir, schema).filter(touched_filter(touched))
+                .drop("epoch", PERIOD))
+
+
+def has_entries(spark: SparkSession, path: str) -> bool:
+    """Whether the folder exists and holds anything."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(folder) and len(fs.listStatus(folder)) > 0
+
+
 def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_dir: str, fact_dir: str,
-                    build_fact: Callable[[DataFrame], DataFrame],
+                    build_fact: Callable[..., DataFrame],
                     stage: Callable[[DataFrame], DataFrame] = stage_centre_stats,
-                    period: Callable[[DataFrame], Column] = calendar_period) -> None:
+                    period: Callable[[DataFrame], Column] = calendar_period,
+                    other: OtherSide | None = None) -> None:
+    """Store the batch and rebuild the months it touches: ``build_fact(history)``,
+    or ``build_fact(history, other side's history)``."""
     staged = stage(to_snake_case(batch))
     staged = staged.withColumn(PERIOD, period(staged))
     (staged.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD)
@@ -94,17 +123,27 @@ def refresh_touched(spark: SparkSession, batch: DataFrame, epoch_id: int, state_
     history = read_partitioned(spark, state_dir, state_schema).drop("epoch")
     affected = history.filter(touched_filter(touched))
 
-    fact = build_fact(affected.drop(PERIOD))
+    sides = [affected.drop(PERIOD), *([other.history(spark, touched)] if other else [])]
+    fact = build_fact(*sides)
     fact = fact.withColumn(PERIOD, period(fact))
     (fact.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PERIOD).parquet(fact_dir))
 
 
 def start_incremental(spark: SparkSession, landing_dir: str, landing_schema: T.StructType, state_dir: str,
-                      fact_dir: str, checkpoint: str, build_fact: Callable[[DataFrame], DataFrame],
+                      fact_dir: str, checkpoint: str, build_fact: Callable[..., DataFrame],
                       stage: Callable[[DataFrame], DataFrame] = stage_centre_stats,
-                      available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the incremental refresh over ``landing_dir`` (headerless CSV)."""
+                      available_now: bool = True, max_files_per_trigger: int | None = None,
+                      other: OtherSide | None = None) -> StreamingQuery:
+    """Start the incremental refresh over ``landing_dir`` (headerless CSV).
+
+    A fact of two inputs has one stream a side, each with its own state and
+    checkpoint and the other's state as ``other``. Both write the same fact
+    folder, so run them one after the other.
+    """
+    if has_entries(spark, state_dir) and not has_entries(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        raise ValueError(f"{state_dir} holds epochs of another checkpoint; a new checkpoint would number "
+                         "its epochs from 0 and overwrite some of them")
     reader = (spark.readStream.schema(landing_schema).option("header", False)
               .option("mode", "PERMISSIVE").options(**CSV_OPTIONS))
     if max_files_per_trigger:
@@ -112,7 +151,7 @@ def start_incremental(spark: SparkSession, landing_dir: str, landing_schema: T.S
     stream = decode_lines(reader.csv(landing_dir))
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        refresh_touched(spark, batch, epoch_id, state_dir, fact_dir, build_fact, stage)
+        refresh_touched(spark, batch, epoch_id, state_dir, fact_dir, build_fact, stage, other=other)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
