@@ -4,6 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from cubewise.operators.filters import apply_filters
 from cubewise.operators.quality import (
     accepted_values,
@@ -104,6 +106,9 @@ def test_incremental_refresh_equals_batch(spark):
         "statistic", "month", "driving_test_categories", "driving_test_centre", "unit", "value")
     batch = centre_applications_pivot(stage_centre_stats(raw))
     assert batch.count() == len(got)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_incremental(spark, landing, LANDING_CENTRE_SCHEMA, state, out, scratch_path(spark, "c"),
+                          centre_applications_pivot)
 
 
 def test_serving_options(spark):
