@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from cubewise.llm.common import id_order, partitions, text_or_empty
 from cubewise.llm.rolling import anchors, mix, window_hashes
 
-#: A run of windows: the first one's place and their number.
+#: A run of windows: the first one's place and their number (of more, several records).
 RUN = np.dtype([("first", "<u4"), ("n", "<u2")])
+MOST_WINDOWS = int(np.iinfo(RUN["n"]).max)
 #: A document in a message, with the number of its runs there.
 DOC = np.dtype([("k", "<i8"), ("th", "<i8"), ("runs", "<u4")])
 #: Text that a task looks at together, to find what repeats within it.
@@ -233,11 +234,13 @@ def gathered(told: DataFrame, dests: int) -> DataFrame:
 
 
 def stretches(flags: np.ndarray, run: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbouring flagged windows of a run as (the run's number, RUN records)."""
+    """Neighbouring flagged windows of a run as (the run's number, RUN records),
+    in records of MOST_WINDOWS and a rest where there are more."""
     at = np.flatnonzero(flags)
     if not len(at):
         return np.empty(0, np.int64), np.empty(0, RUN)
     new = np.concatenate(([True], (run[at[1:]] != run[at[:-1]]) | (place[at[1:]] != place[at[:-1]] + 1)))
+    new |= (np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % MOST_WINDOWS == 0
     first = at[new]
     out = np.empty(len(first), RUN)
     out["first"] = place[first]

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 
+from cubewise.llm import repeats as R
 from cubewise.llm import substring_dedup as W
 from cubewise.llm import suffix_dedup as B
 
@@ -99,6 +100,24 @@ def test_intervals_are_maximal(docs_of):
     assert bytes(got[2]["kept"]) == b"new  end" or bytes(got[2]["kept"]) == b"new " + b" end"
 
 
+def test_copies_of_more_words_than_a_run_counts(docs_of):
+    # Five equal texts in four partitions: some task holds several of them.
+    words = 2 * R.MOST_WINDOWS + 1000
+    text = " ".join(f"w{i % 9973}x{i // 9973}" for i in range(words))
+    got = {r["doc_id"]: r for r in W.report(docs_of([(i, text) for i in range(5)])).collect()}
+    assert [got[i]["n_removed"] for i in range(5)] == [0] + [words] * 4
+
+
+def test_long_stretches_are_cut_into_records():
+    for n in (R.MOST_WINDOWS, R.MOST_WINDOWS + 1, 3 * R.MOST_WINDOWS + 7):
+        flags = np.ones(n + 5, bool)
+        flags[3] = False
+        run, records = R.stretches(flags, np.zeros(n + 5, np.int64), np.arange(n + 5))
+        assert len(run) == len(records) and records["n"].astype(int).sum() == n + 4
+        gone = R.covered(records.tobytes(), n + 5, 1)
+        assert (gone == flags).all()
+
+
 def test_empty_table(docs_of):
     assert W.report(docs_of([])).collect() == []
     assert B.report(docs_of([])).collect() == []
