@@ -9,8 +9,8 @@ document's language is the one with the largest share of its words; the score is
 that share.
 
 The model is fitted on a bounded sample of labelled rows: at most
-``SAMPLE_PER_LANGUAGE`` documents of each language, those with the smallest hash
-of their id, whole. Training sequences are cut from those documents and joined
+``SAMPLE_PER_LANGUAGE`` distinct documents of each language, those with the smallest
+hash of their id and text, whole. Training sequences are cut from those documents and joined
 across languages, so that transitions are learned from switches too. Weights are
 fitted by stochastic gradient ascent on the conditional likelihood (AdaGrad).
 
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import text_or_empty
+from cubewise.llm.common import LAST_ID, text_or_empty
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 150
@@ -302,30 +302,28 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most per_language (text, label) rows of each language: those of the
-    smallest hash of their id. Two passes: the languages' row counts, from which
-    a bound on the hash follows that some four times as many rows pass, and those
-    rows' ids; then the texts of the chosen rows."""
+    smallest hash of id and text, equal rows once. Three passes, each of which
+    brings a bounded number of rows to the driver: the languages' counts of
+    distinct hashes, from which a bound follows that some four times as many
+    pass; those hashes; the texts of the chosen ones."""
     hashed = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
               .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                      F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 1).alias("h")))
-    counts = hashed.groupBy("lang").count().collect()
-    bounds = {r["lang"]: min(1.0, 4 * per_language / r["count"]) * (1 << 63) for r in counts}
+                      F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 1).alias("h")))
+    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    bounds = {r["lang"]: min(LAST_ID, (4 * per_language + 20) * (1 << 63) // max(1, r["n"])) for r in counts}
     if not bounds:
         return []
-    passing = F.coalesce(*[F.when(F.col("lang") == lang, F.col("h") < F.lit(float(b))) for lang, b in sorted(bounds.items())])
-    candidates = hashed.where(passing)
+
+    def up_to(bounds: dict[str, int]) -> Column:
+        return F.coalesce(*[F.when(F.col("lang") == lang, F.col("h") <= F.lit(h)) for lang, h in sorted(bounds.items())])
+
+    candidates = hashed.where(up_to(bounds))
     chosen = {}
-    for r in candidates.select("lang", "h").collect():
+    for r in candidates.select("lang", "h").distinct().collect():
         chosen.setdefault(r["lang"], []).append(r["h"])
     last = {lang: sorted(hs)[:per_language][-1] for lang, hs in chosen.items()}
-    below = F.coalesce(*[F.when(F.col("lang") == lang, F.col("h") <= F.lit(h)) for lang, h in sorted(last.items())])
-    taken = Counter()
-    rows = []
-    for r in sorted(candidates.where(below).select("lang", "h", "text").collect()):
-        taken[r["lang"]] += 1
-        if taken[r["lang"]] <= per_language:  # equal ids hash alike
-            rows.append((r["text"], r["lang"]))
-    return rows
+    rows = hashed.where(up_to(last)).groupBy("lang", "h").agg(F.array_min(F.collect_set("text")).alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(rows.select("lang", "h", "text").collect())]
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

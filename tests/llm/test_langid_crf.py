@@ -85,6 +85,22 @@ def test_edge_cases(spark, docs_of):
     assert L.report(docs.limit(0)).collect() == []
 
 
+def test_sample_is_bounded_and_varied(spark, monkeypatch):
+    rows = [(None, f"the and of {i}", "en") for i in range(600)] + [(i, f"of with {i}", "en") for i in range(300)]
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2][:2]
+    rows += [(a, f"hola que {i}", "es") for i in range(500)] + [(b, "tal esto", "es")] * 800
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    brought, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: brought.append(len(out := collect(self))) or out)
+    got = L.sample(docs, per_language=20)
+    assert max(brought) <= 2 * 2 * (4 * 20 + 20)
+    for lang in ("en", "es"):
+        texts = [t for t, label in got if label == lang]
+        assert len(texts) == len(set(texts)) == 20
+    assert any("with" in t for t, _ in got)
+    assert sorted(got) == sorted(L.sample(docs.repartition(5), per_language=20))
+
+
 def test_segments(spark):
     docs = spark.read.parquet(f"{FIXTURE}/documents.parquet")
     model = L.fit(L.sample(docs))
