@@ -3,7 +3,8 @@
 Detected entities are replaced by keyed surrogates of the same kind: a phone
 number by a phone number in the same punctuation, a card number by one of the same
 network and checksum state, an address of a machine by another, a secret by one in
-the same alphabet, an e-mail address letter for letter, a name by a pronounceable
+the same alphabet, an e-mail address letter for letter (each by one of its own
+script; punctuation and the domain stay), a name by a pronounceable
 one of the same script whose ending suits the gender that the title tells.
 
 Coreference: the surrogate depends on the key, the kind and the entity's canonical
@@ -25,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -123,7 +126,7 @@ def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         # So many attempts mean that the format has too few members: lengthen it.
         entity = "a" * (attempt // 8) + entity
     if kind == "email":
-        return permute_text(key, tweak, entity, [LOWER if c in LOWER else DIGITS if c in DIGITS else "" for c in local(entity)])
+        return permute_text(key, tweak, entity, [alphabet(c) for c in local(entity)])
     if kind == "ip":
         value = 0
         for octet in entity.split("."):
@@ -151,6 +154,24 @@ def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     return (out + ENDINGS[script, part]).capitalize()
 
 
+@cache
+def alphabet(c: str) -> str:
+    """What may stand in c's place: letters of c's case and script (its block of
+    128 code points), digits of its kind; nothing for punctuation."""
+    for own in (LOWER, UPPER, DIGITS):
+        if c in own:
+            return own
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    if not c.isalnum():
+        return ""
+    block = [chr(n) for n in range(ord(c) & ~127, (ord(c) | 127) + 1)]
+    own = "".join(b for b in block if b == c or (b.isalpha() and b.isupper() == c.isupper()
+                                                 and len(b.upper()) == len(b.lower()) == 1))
+    return own if len(own) > 9 else LOWER + own
+
+
 def local(email: str) -> str:
     """The address with everything from the @ on made unreplaceable."""
     at = email.index("@")

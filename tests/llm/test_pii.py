@@ -48,6 +48,18 @@ def test_formats_and_coreference():
     assert new[5] == TEXTS[5] and new[6] == "" and new[8] == TEXTS[8]
 
 
+def test_letters_of_all_scripts_in_addresses(docs_of):
+    locals_ = ["иван", "josé", "ёлка.петров", "Ωμέγα", "李小龙", "þór", "שלום", "étienne-92", "١٢٣", "ab"]
+    out = P.surrogates(docs_of([(n, f"to {m}@example.com now") for n, m in enumerate(locals_)])).collect()
+    for r in out:
+        was = locals_[r["doc_id"]]
+        new = re.fullmatch(r"to (.+)@example\.com now", r["text"])[1]
+        assert was not in new and len(new) == len(was) and r["entities"][0]["kind"] == "email"
+        assert all((a == b) == (not a.isalnum()) or a.isalnum() and b.isalnum() for a, b in zip(was, new))
+    changed = {P.candidate(b"k", "email", "josé@example.com", n)[3] for n in range(8)}
+    assert len(changed) > 1
+
+
 def test_permutation():
     for size in (2, 3, 10, 97, 260):
         assert sorted(P.permute(b"k", "t", n, size) for n in range(size)) == list(range(size))
