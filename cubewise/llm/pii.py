@@ -7,6 +7,12 @@ the same alphabet, an e-mail address letter for letter (each by one of its own
 script; punctuation and the domain stay), a name by a pronounceable
 one of the same script whose ending suits the gender that the title tells.
 
+A name is all capitalised words after a title, of any script that has capitals,
+with initials; particles (van, de la) stay. Its words are replaced wherever else they
+stand capitalised in the document. Left out: names of documents that give them
+no title, names that go on in the next line, scripts without capitals. Names
+neither Latin nor Cyrillic get Latin surrogates.
+
 Coreference: the surrogate depends on the key, the kind and the entity's canonical
 form, so one person's number, however punctuated, gets one surrogate in the whole
 corpus. Distinctness: numbers, addresses and secrets go through a keyed permutation
@@ -41,8 +47,30 @@ KEY = b"surrogates"  # production jobs pass their own
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_LATIN = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+"
-_CYRILLIC = r"[А-ЯЁ][а-яё]+"
+
+
+def _class(*categories: str) -> str:
+    """The characters of these categories, as the inside of a regular expression's set."""
+    of = [n for n in range(0x20000) if unicodedata.category(chr(n)) in categories]
+    first = [n for k, n in enumerate(of) if not k or of[k - 1] != n - 1]
+    last = [n for k, n in enumerate(of) if k == len(of) - 1 or of[k + 1] != n + 1]
+    return "".join(f"{chr(x)}-{chr(y)}" for x, y in zip(first, last, strict=True))
+
+
+_UPPER = _class("Lu", "Lt")
+_IN_NAME = _class("Lu", "Lt", "Ll", "Lm", "Mn", "Mc")
+# Capitalised words that end a name; small words that may stand inside one.
+_NO_NAME = ("The|This|That|These|He|She|It|We|They|You|And|But|Or|In|On|At|Is|Was|Has|Had|For|To|Of|With|From|When|Then|If|"
+            "Der|Die|Das|Ein|Eine|Er|Sie|Es|Wir|Und|Oder|Aber|Im|Am|Ist|War|Hat|El|La|Los|Las|Un|Una|En|Y|Pero|"
+            "Le|Les|Une|Il|Elle|Et|Mais|Dans|Он|Она|Они|Это|И|Но|В|На|С")
+_PARTICLE = ("van|von|de|del|della|dela|der|den|des|dem|la|las|los|le|du|di|da|dos|das|do|el|al|bin|ibn|ben|ter|ten|te|zu|zum|"
+             "zur|vom|af|av|y|e|фон|ван|дер|де|да|ла|ди|ибн|аль")
+_APOSTROPHE = "['\u2019]"
+# A word of a name ends at a possessive s; one letter is an initial and has a dot.
+_PART = (rf"(?:[dDlLO]{_APOSTROPHE})?(?!(?:{_NO_NAME})(?!\w))[{_UPPER}](?:[{_IN_NAME}]++(?:{_APOSTROPHE}(?!s(?!\w))[{_IN_NAME}]++)*+"
+         rf"(?![\w])|\.(?=[ ]?[{_UPPER}]))")
+_SMALL = rf"(?:(?:{_PARTICLE})[ -]|[dl]{_APOSTROPHE}(?=[{_UPPER}]))"
+_NAME = rf"{_SMALL}*{_PART}(?:[ -]?(?<=[ .-]){_SMALL}*{_PART})*"
 # Titles and the gender they tell.
 TITLES = {"Mr": "m", "Herr": "m", "Señor": "m", "Monsieur": "m", "Господин": "m", "господин": "m",
           "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Señora": "f", "Madame": "f", "Mme": "f",
@@ -57,7 +85,9 @@ ENTITY = re.compile(
     r"|(?P<card>(?<!\w)[3-6]\d{3}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}(?!\w))"
     r"|(?P<phone>(?<![\w+])(?:(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}"
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4})(?!\w))"
-    rf"|(?:(?<!\w)(?P<title>{'|'.join(TITLES)})\.?[ ](?P<name>{_LATIN}(?:[ -]{_LATIN}){{0,2}}|{_CYRILLIC}(?:[ -]{_CYRILLIC}){{0,2}}))")
+    rf"|(?:(?<!\w)(?P<title>{'|'.join(TITLES)})\.?[ ](?P<name>{_NAME}))")
+# The words of a name, and where one may be mentioned without a title.
+WORD = re.compile(rf"(?<![\w]){_PART}|(?<=[dl]['\u2019]){_PART}")
 # A text without any of these holds no entity.
 HINT = re.compile(rf"[0-9@]|(?:{'|'.join(TITLES)})\.? ")
 
@@ -179,7 +209,28 @@ def local(email: str) -> str:
 
 
 def entities(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """(kind, canonical form, start, end), in order, without overlap."""
+    """(kind, canonical form, start, end), in order, without overlap: what the
+    patterns find, and every other mention of a name that a title told."""
+    found = [*patterns(text)]
+    names: dict[str, str] = {}
+    for kind, entity, _, _ in found:
+        if kind.startswith("name-") and len(entity) > 1:
+            names.setdefault(entity, kind)
+    at = 0
+    for word in WORD.finditer(text) if names else ():
+        entity = word[0].lower()
+        if entity not in names:
+            continue
+        while at < len(found) and found[at][3] <= word.start():
+            yield found[at]
+            at += 1
+        if at == len(found) or found[at][2] >= word.end():
+            yield names[entity], entity, word.start(), word.end()
+    yield from found[at:]
+
+
+def patterns(text: str) -> Iterator[tuple[str, str, int, int]]:
+    """What is told by its form, or by the title or word before it."""
     if not HINT.search(text):
         return
     for found in ENTITY.finditer(text):
@@ -188,11 +239,12 @@ def entities(text: str) -> Iterator[tuple[str, str, int, int]]:
         surface = found[kind]
         if kind == "name":
             gender = TITLES[found["title"]]
-            parts = [*re.finditer(r"[^ -]+", surface)]
+            parts = [p for p in WORD.finditer(text, start, end + 1)]
             for n, part in enumerate(parts):
                 script = "cyrillic" if "А" <= part[0][0] <= "я" or part[0][0] in "Ёё" else "latin"
                 role = "family" if n == len(parts) - 1 else gender
-                yield f"name-{script}-{role}", part[0].lower(), start + part.start(), start + part.end()
+                initial = part[0].endswith(".")
+                yield f"name-{script}-{role}", part[0].lower().rstrip("."), part.start(), part.end() - initial
         elif kind == "email":
             yield kind, surface.lower(), start, end
         elif kind in ("ssn", "card", "phone"):
@@ -216,6 +268,8 @@ def dress(kind: str, surface: str, surrogate: str) -> str:
     if kind == "email":
         surface = surface.rjust(len(surrogate))
         return "".join(s.upper() if c.isupper() else s for c, s in zip(surface, surrogate, strict=True))
+    if kind.startswith("name-") and len(surface) > 1 and surface.isupper():
+        return surrogate.upper()
     return surrogate
 
 

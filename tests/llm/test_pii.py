@@ -60,6 +60,28 @@ def test_letters_of_all_scripts_in_addresses(docs_of):
     assert len(changed) > 1
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Señor Juan Carlos García López vive aquí", "Juan Carlos García López"),
+    ("Herr Ludwig van Beethoven und Frau Šimková.", "Ludwig Beethoven Šimková"),
+    ("Mr McDonald met Mr O'Brien, and O'Brien left; Mr. McDonald's hat.", "McDonald O'Brien O'Brien McDonald"),
+    ("Mr. John Smith came. Smith's wife saw John at Smithfield. The smith SMITH.", "John Smith Smith John SMITH"),
+    ("Smith said: Dr. J. R. Smith-Jones and Madame d'Arcy de la Tour. The Jones", "Smith J R Smith Jones Arcy Tour Jones"),
+    ("Господин Иван Петрович Сидоров. Сидоров ушёл. Mr. Παπαδόπουλος", "Иван Петрович Сидоров Сидоров Παπαδόπουλος"),
+    ("Mr. Smith The end; Mrs. Anna In town. The In", "Smith Anna"),
+])
+def test_whole_names_and_untitled_mentions(text, names):
+    found = [(k, text[a:b]) for k, _, a, b in P.entities(text)]
+    assert [x.removeprefix("d'") for _, x in found] == names.split() and all(k.startswith("name-") for k, _ in found)
+    new = P.replace(text, b"k", {})[0]
+    assert not any(re.search(rf"(?<!\w){n}(?!\w)", new) for n in set(names.split()) if len(n) > 1)
+
+
+def test_one_surrogate_with_and_without_title():
+    new = P.replace("Mr. John Smith came. Smith left, so did John, Mr. Smith.", b"k", {})[0]
+    a, b, c, d, e = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) left, so did (\w+), Mr\. (\w+)\.", new).groups()
+    assert a == d and b == c == e
+
+
 def test_permutation():
     for size in (2, 3, 10, 97, 260):
         assert sorted(P.permute(b"k", "t", n, size) for n in range(size)) == list(range(size))
