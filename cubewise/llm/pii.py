@@ -13,6 +13,15 @@ stand capitalised in the document. Left out: names of documents that give them
 no title, names that go on in the next line, scripts without capitals. Names
 neither Latin nor Cyrillic get Latin surrogates.
 
+Card numbers are 13 to 19 digits that start with 3 to 6, or 16 in 2221-2720, plain or
+in groups of four or of 4-6-5 and 4-6-4. Phone numbers have a country code, ten digits
+in groups or plain from 2 (with or without a 1 before), Russian grouping, or a leading 0 (plain 10 or 11
+digits, pairs, area code and number). A secret goes up to white space or a quote,
+inside quotes up to the closing one; punctuation that ends a sentence stays.
+Left out: numbers of at most nine digits without code or 0, and plain ones of ten from 1,
+which amounts, times and counts look like; after a sign and a space, unquoted words without a
+digit, symbol or inner capital (prose); secrets of fewer than six characters; domains outside ASCII.
+
 Coreference: the surrogate depends on the key, the kind and the entity's canonical
 form, so one person's number, however punctuated, gets one surrogate in the whole
 corpus. Distinctness: numbers, addresses and secrets go through a keyed permutation
@@ -75,23 +84,32 @@ _NAME = rf"{_SMALL}*{_PART}(?:[ -]?(?<=[ .-]){_SMALL}*{_PART})*"
 TITLES = {"Mr": "m", "Herr": "m", "Señor": "m", "Monsieur": "m", "Господин": "m", "господин": "m",
           "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Señora": "f", "Madame": "f", "Mme": "f",
           "Госпожа": "f", "госпожа": "f", "Dr": "n", "Prof": "n"}
+_SECRET_WORD = r"password|passwd|pwd|secret|token|api[_-]?key"
 ENTITY = re.compile(
     r"(?P<email>(?<![\w.%+-])\w[\w.%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+)"
-    r"|(?:(?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key)(?P<gap>\s{0,3}[=:]\s{0,3}[\"']?)"
-    r"(?=[A-Za-z+/_-]*+\d)(?P<secret>[A-Za-z0-9+/_-]{6,}+))"
+    rf"|(?:(?<!\w)(?i:{_SECRET_WORD})(?P<gap>[\"']?\s{{0,3}}[=:]\s{{0,3}})"
+    r"(?:(?P<quote>[\"'])(?P<quoted>(?=[^\"']*\w)(?:(?!(?P=quote))[^\r\n]){6,}+)(?P=quote)"
+    r"|[\"']?(?:(?<=[=:])|(?=[^\s\"']*[\d!#$%&*?@^~+/]|[^\s\"']*[^\W\d_A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ]))"
+    r"(?P<secret>(?=[^\s\"']*\w)[^\s\"']{5,}(?<![.,;:)\]}>\\])(?<=[^\s\"']{6}))))"
     r"|(?P<key>(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w))"
     rf"|(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<!\w)[3-6]\d{3}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}(?!\w))"
-    r"|(?P<phone>(?<![\w+])(?:(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}"
-    r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4})(?!\w))"
+    r"|(?P<card>(?<!\w)(?:(?:[3-6]\d{3}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7})"
+    r"|(?:222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)(?P<sep2>[ -]?)\d{4}(?P=sep2)\d{4}(?P=sep2)\d{4}"
+    r"|3\d{3}(?P<sep3>[ -])\d{6}(?P=sep3)\d{4,5})(?!\w))"
+    r"|(?P<phone>(?<![\w+])(?:(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}"
+    r"|(?:\+?7|8)[ -]?\(?\d{3}\)?[ -]?\d{3}[ -]\d\d[ -]\d\d"
+    r"|(?<!\d[.,])(?:1?[2-9]\d{9}|0\d{9,10})(?![.,]\d)"
+    r"|(?<!\d[.,])0\d(?:[ .-]\d\d){4}|0\d{2,4}[ /-]\d{5,8}|0\d{2,4}(?:[ -]\d{3,4}){2})(?!\w))"
     rf"|(?:(?<!\w)(?P<title>{'|'.join(TITLES)})\.?[ ](?P<name>{_NAME}))")
 # The words of a name, and where one may be mentioned without a title.
 WORD = re.compile(rf"(?<![\w]){_PART}|(?<=[dl]['\u2019]){_PART}")
 # A text without any of these holds no entity.
-HINT = re.compile(rf"[0-9@]|(?:{'|'.join(TITLES)})\.? ")
+HINT = re.compile(rf"[0-9@]|(?:{'|'.join(TITLES)})\.? |(?i:{_SECRET_WORD})[\"']?\s{{0,3}}[=:]")
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+SYMBOLS = "!#$%&*?@^~"
 HEX, TOKEN = "0123456789abcdef", UPPER + DIGITS
 SYLLABLES = {
     "latin": [c + v for c in ("b", "d", "f", "g", "h", "k", "l", "m", "n", "p", "r", "s", "t", "v", "w", "z")
@@ -149,6 +167,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def network_of(digits: str) -> str:
+    if digits[0] == "2":
+        return "2-series" if "2221" <= digits[:4] <= "2720" else "2"
+    return "34" if digits[:2] in ("34", "37") else digits[0]
+
+
 def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The surrogate of a canonical entity; a later attempt gives another one."""
     tweak = f"{kind}|{attempt}"
@@ -165,7 +189,10 @@ def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         return ".".join(str(value >> shift & 255) for shift in (24, 16, 8, 0))
     if kind == "card":
         good = luhn(entity)
-        return permute_text(key, tweak, entity, ["", *[DIGITS] * (len(entity) - 1)], lambda t: luhn(t) == good)
+        # Networks that their first digit does not tell.
+        network = network_of(entity)
+        return permute_text(key, tweak, entity, ["", *[DIGITS] * (len(entity) - 1)],
+                            lambda t: network_of(t) == network and luhn(t) == good)
     if kind in ("phone", "ssn"):
         return permute_text(key, tweak, entity, [DIGITS] * len(entity))
     if kind == "key":
@@ -173,8 +200,7 @@ def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     if kind == "secret":
         if set(entity) <= set(HEX):
             return permute_text(key, tweak, entity, [HEX] * len(entity))
-        return permute_text(key, tweak, entity, [LOWER if c in LOWER else UPPER if c in UPPER else DIGITS if c in DIGITS else ""
-                                                 for c in entity])
+        return permute_text(key, tweak, entity, [SYMBOLS if c in SYMBOLS else alphabet(c) for c in entity])
     _, script, part = kind.split("-")
     number = int.from_bytes(hmac.digest(key, f"{tweak}|{entity}".encode(), "sha256")[:8], "little")
     out = ""
@@ -234,9 +260,9 @@ def patterns(text: str) -> Iterator[tuple[str, str, int, int]]:
     if not HINT.search(text):
         return
     for found in ENTITY.finditer(text):
-        kind = next(k for k in ("email", "secret", "key", "ip", "ssn", "card", "phone", "name") if found[k] is not None)
-        start, end = found.span(kind)
-        surface = found[kind]
+        group = next(k for k in ("email", "secret", "quoted", "key", "ip", "ssn", "card", "phone", "name") if found[k] is not None)
+        start, end = found.span(group)
+        kind, surface = "secret" if group == "quoted" else group, found[group]
         if kind == "name":
             gender = TITLES[found["title"]]
             parts = [p for p in WORD.finditer(text, start, end + 1)]

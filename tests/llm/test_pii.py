@@ -82,6 +82,43 @@ def test_one_surrogate_with_and_without_title():
     assert a == d and b == c == e
 
 
+@pytest.mark.parametrize("kind, text", [
+    ("card", "3782 822463 10005"), ("card", "378282246310005"), ("card", "3056 930902 5904"), ("card", "2223003122003222"),
+    ("card", "2720 9900 0000 0007"), ("card", "5105-1051-0510-5100"),
+    ("phone", "555 123 4567"), ("phone", "5551234567"), ("phone", "15551234567"), ("phone", "01 23 45 67 89"),
+    ("phone", "0123456789"), ("phone", "030 1234567"), ("phone", "020 7946 0958"), ("phone", "8 (499) 555-12-34"),
+    ("phone", "+7 499 555-12-34"), ("phone", "+44 20 7946 0958"),
+])
+def test_number_formats(kind, text):
+    assert [(k, a, b) for k, _, a, b in P.entities(f"is {text}, so")] == [(kind, 3, 3 + len(text))]
+    new = P.replace(f"is {text}, so", b"k", {})[0][3:-4]
+    assert new != text and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    if kind == "card":
+        digits, was = re.sub(r"\D", "", new), re.sub(r"\D", "", text)
+        assert P.luhn(digits) == P.luhn(was) and P.network_of(digits) == P.network_of(was)
+
+
+@pytest.mark.parametrize("text, secret", [
+    ("password=Abc12345!xyz next", "Abc12345!xyz"), ("token: eyJhbGci.eyJzdWIi.SflKxwRJ.", "eyJhbGci.eyJzdWIi.SflKxwRJ"),
+    ("password=hunterhunter", "hunterhunter"), ('secret = "correct horse battery" ok', "correct horse battery"),
+    ("{'api_key': 'abcdefgh'}", "abcdefgh"), ("pwd: pässWörter, x", "pässWörter"), ("Token = a.b-c_9$, and", "a.b-c_9$"),
+])
+def test_whole_secrets(text, secret):
+    assert plain(text) == [("secret", secret)]
+    new = P.replace(text, b"k", {})[0]
+    before, after = text.split(secret)
+    assert new.startswith(before) and new.endswith(after) and secret not in new and len(new) == len(text)
+
+
+@pytest.mark.parametrize("text", [
+    "1700000000 seconds, 123456789 rows, 3.5551234567 and 612 345 678", "the secret: everyone knows", "a token = none.",
+    "version 10.2.3, 2024-01-31, 1 000 000", "secret=''", "tokens: 12",
+    'token = "abc" and "def"',
+])
+def test_left_on_purpose(text):
+    assert plain(text) == []
+
+
 def test_permutation():
     for size in (2, 3, 10, 97, 260):
         assert sorted(P.permute(b"k", "t", n, size) for n in range(size)) == list(range(size))
