@@ -1,6 +1,7 @@
 """Language identification of words by a linear-chain conditional random field.
 
-A text's words (runs of letters) are labelled jointly. A word's features are its
+A text's words (runs of letters, longer ones in pieces of ``LONGEST_WORD``) are
+labelled jointly. A word's features are its
 prefixes and suffixes, its character bigrams and trigrams and its entry in the lexicon of
 frequent training words, all lower-cased; neighbouring labels have learned
 transition weights. Forward-backward gives each word the probability of each
@@ -51,10 +52,10 @@ RATE = 0.3
 BLOCK_WORDS = 64
 MEMORY_WORDS = 100_000
 NEW_WORDS = 10_000  # whose features are computed at once
-# Longer words (no language has them) count by their first and last letters.
+# A longer run of letters (scripts without spaces have them) is several words.
 LONGEST_WORD = 40
 
-_WORD = regex.compile(r"\p{L}+")
+_WORD = regex.compile(rf"\p{{L}}{{1,{LONGEST_WORD}}}")
 
 
 def words_of(text: str) -> list[str]:
@@ -66,7 +67,7 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray
     trigrams of ``<word>`` (its short affixes among them), its first three and
     last three and four letters, all as hashed numbers, and the lexicon's entries,
     which come after."""
-    marked = [f"<{w}>" if len(w) <= LONGEST_WORD else f"<{w[:LONGEST_WORD // 2]}{w[-LONGEST_WORD // 2:]}>" for w in words]
+    marked = [f"<{w}>" for w in words]
     size = np.array([len(m) for m in marked], np.int64)
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     end = np.cumsum(size)

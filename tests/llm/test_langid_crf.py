@@ -101,6 +101,17 @@ def test_sample_is_bounded_and_varied(spark, monkeypatch):
     assert sorted(got) == sorted(L.sample(docs.repartition(5), per_language=20))
 
 
+def test_every_letter_of_a_long_run_counts():
+    rng = random.Random(4)
+    run = {lang: "".join(rng.choice(letters) for _ in range(4000)) for lang, letters in (("a", "abcdefg"), ("b", "tuvwxyz"))}
+    model = L.fit([(run[lang][i:i + 400], lang) for lang in run for i in range(0, 4000, 400)])
+    text = run["a"][:30] + run["b"][:500] + run["a"][:30]
+    words = L.words_of(text)
+    assert "".join(words) == text and max(map(len, words)) <= L.LONGEST_WORD
+    share = L.label_words(model, [words])[0].mean(axis=0)
+    assert model.labels[int(share.argmax())] == "b"
+
+
 def test_segments(spark):
     docs = spark.read.parquet(f"{FIXTURE}/documents.parquet")
     model = L.fit(L.sample(docs))
