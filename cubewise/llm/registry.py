@@ -10,6 +10,7 @@ from cubewise.llm import (
     exact_dedup,
     langid_crf,
     packing,
+    piece_bpe,
     pii,
     simhash,
     substring_dedup,
@@ -60,6 +61,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_format": op2_chat_format,
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op12_piece_bpe": op12_piece_bpe,
 }
 
 # The probe's forged markers are escaped by one code more, `<|` twice in each text.
