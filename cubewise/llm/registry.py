@@ -13,6 +13,7 @@ from cubewise.llm import (
     piece_bpe,
     pii,
     simhash,
+    structure_repair,
     substring_dedup,
     suffix_dedup,
     winnowing,
@@ -65,6 +66,10 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_conversations(structure_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_format": op2_chat_format,
@@ -77,6 +82,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op12_piece_bpe": op12_piece_bpe,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 # The probe's forged markers are escaped by one code more, `<|` twice in each text.
