@@ -12,6 +12,7 @@ from cubewise.llm import (
     packing,
     piece_bpe,
     pii,
+    prefix_trie,
     simhash,
     structure_repair,
     substring_dedup,
@@ -62,6 +63,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_piece_bpe": op12_piece_bpe,
     "op13_structure_repair": op13_structure_repair,
 }
