@@ -156,8 +156,138 @@ FROM normalised
 WINDOW same AS (PARTITION BY body)
 """
 
+# Unsigned CRC-32 of an ASCII string, bit by bit (zeros shift the register on).
+CRC32 = """list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split({0}, ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, v: xor(xor(a, v) >> 1, 3988292384 * (xor(a, v) & 1)))"""
+
+OP11_SQL = f"""
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') || chr(31) || coalesce(text, '') AS step, length(coalesce(text, '')) AS chars,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, xor({CRC32.format("CAST(conv_id AS VARCHAR)")}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)
+),
+steps AS (
+    SELECT c.conv_id, 0 AS half, b.pos, b.step, b.chars FROM convs c
+    JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100 AND b.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, o.pos, o.step, o.chars FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos >= c.h
+),
+paths AS (
+    SELECT c.conv_id, coalesce(list(s.step ORDER BY half, pos) FILTER (s.step IS NOT NULL), []) AS path,
+           coalesce(list(s.chars ORDER BY half, pos) FILTER (s.step IS NOT NULL), []) AS chars
+    FROM convs c LEFT JOIN steps s USING (conv_id) GROUP BY c.conv_id
+),
+places AS (
+    SELECT conv_id, d AS depth, path[1:d] AS node, d = len(path) AS ends, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+    FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM paths)
+),
+nodes AS (
+    SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+           sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM places GROUP BY node
+),
+linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+    LEFT JOIN (SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1) k ON k.node = n.node
+),
+under AS (
+    SELECT node[1:d] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM linked) GROUP BY 1
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM linked JOIN under USING (node)
+"""
+
+# Of the four parse states (nothing, after system, after user, after assistant) the
+# cheapest (cost, audit) is carried from row to row.
+OP13_SQL = f"""
+WITH RECURSIVE kinds AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor({CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}, 4294967295) % 20 AS kind
+    FROM conversations
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+           regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body, left(role, 1) AS initial
+    FROM damaged
+),
+faulty AS (
+    SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
+    FROM placed
+),
+counts AS (
+    SELECT conv_id, count(n) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT DISTINCT conv_id FROM kinds) LEFT JOIN faulty USING (conv_id) GROUP BY conv_id
+),
+states AS (
+    SELECT conv_id, 0 AS n, [CAST(0 AS BIGINT), 1000000000, 1000000000, 1000000000] AS cost, ['', '', '', ''] AS audit FROM counts
+    UNION ALL
+    SELECT conv_id, n, list_transform(best, lambda b: b.cost), list_transform(best, lambda b: b.audit) FROM (
+        SELECT conv_id, n, [
+            {{'cost': c0 + 2, 'audit': a0 || 'D'}},
+            list_min([{{'cost': c1 + 2, 'audit': a1 || 'D'}}, {{'cost': CASE WHEN stays AND initial = 's' THEN c0 + extra ELSE 1000000000 END, 'audit': a0 || 'K'}}]),
+            list_min([{{'cost': u.cost + 2, 'audit': u.audit || 'D'}},
+                      {{'cost': c0 + to_user, 'audit': a0 || user_edit}}, {{'cost': c1 + to_user, 'audit': a1 || user_edit}}, {{'cost': p.cost + to_user, 'audit': p.audit || user_edit}}]),
+            list_min([{{'cost': p.cost + 2, 'audit': p.audit || 'D'}}, {{'cost': u.cost + to_assistant, 'audit': u.audit || assistant_edit}}])] AS best
+        FROM (
+            SELECT s.conv_id, f.n, f.initial, f.fault IS NULL OR f.fault = 'truncated' AS stays,
+                   CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS extra,
+                   CASE WHEN NOT stays THEN 1000000000 ELSE extra + CASE WHEN f.initial = 'u' THEN 0 ELSE 1 END END AS to_user,
+                   CASE WHEN NOT stays THEN 1000000000 ELSE extra + CASE WHEN f.initial = 'a' THEN 0 ELSE 1 END END AS to_assistant,
+                   CASE WHEN f.initial = 'u' THEN 'K' ELSE 'R' END AS user_edit, CASE WHEN f.initial = 'a' THEN 'K' ELSE 'R' END AS assistant_edit,
+                   s.cost[1] AS c0, s.audit[1] AS a0, s.cost[2] AS c1, s.audit[2] AS a1,
+                   list_min([{{'cost': s.cost[3], 'audit': s.audit[3]}}, {{'cost': c0 + 5, 'audit': a0 || 'I'}}, {{'cost': c1 + 5, 'audit': a1 || 'I'}},
+                             {{'cost': s.cost[4] + 5, 'audit': s.audit[4] || 'I'}}]) AS u,
+                   list_min([{{'cost': s.cost[4], 'audit': s.audit[4]}}, {{'cost': s.cost[3] + 5, 'audit': s.audit[3] || 'I'}},
+                             {{'cost': c0 + 10, 'audit': a0 || 'II'}}, {{'cost': c1 + 10, 'audit': a1 || 'II'}}]) AS p
+            FROM states s JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.n = s.n + 1))
+),
+chosen AS (
+    SELECT c.*, list_min([{{'cost': s.cost[1], 'audit': s.audit[1]}}, {{'cost': s.cost[4], 'audit': s.audit[4]}}, {{'cost': s.cost[3] + 5, 'audit': s.audit[3] || 'I'}},
+                          {{'cost': s.cost[2] + 10, 'audit': s.audit[2] || 'II'}}]) AS best
+    FROM counts c JOIN states s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.n = c.n_rows
+),
+edits AS (
+    SELECT conv_id, nth, edit, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY nth) AS n
+    FROM (SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, generate_subscripts(string_split(best.audit, ''), 1) AS nth
+          FROM chosen WHERE best.audit <> '')
+),
+kept AS (
+    SELECT e.conv_id, e.nth, e.edit, f.role, CASE WHEN edit = 'I' THEN '' ELSE f.text END AS text,
+           row_number() OVER (PARTITION BY e.conv_id ORDER BY e.nth) AS place,
+           first_value(e.edit = 'K' AND f.initial = 's') OVER (PARTITION BY e.conv_id ORDER BY e.nth) AS system
+    FROM edits e LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.n = e.n WHERE e.edit <> 'D'
+),
+lines AS (
+    SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - CAST(system AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || text, chr(10) ORDER BY nth) AS text
+    FROM kept GROUP BY conv_id
+)
+SELECT c.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, best.cost AS cost, best.audit AS audit,
+       sha256(coalesce(l.text, '')) AS repaired_sha256
+FROM chosen c LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE = {
     "op2_chat_format": OP2_SQL,
     "op4_substring_dedup": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op13_structure_repair": OP13_SQL,
 }
