@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from cubewise.schemas import LANDING_COUNTY_SCHEMA, RAW_COUNTY_SCHEMA
-from cubewise.sinks.files import land_csv, load_raw
+from cubewise.sinks.files import CheckedLoad, land_csv, load_checked, load_raw
 from cubewise.sources.csv import clean_csv_rows, read_landing_csv
 from cubewise.sources.jsonstat import CENTRE_COLUMNS, read_jsonstat
 
@@ -50,6 +50,12 @@ def land_cube(spark: SparkSession, docs_path: str | list[str], landing_dir: str,
     return rejected
 
 
+def load_county_checked(spark: SparkSession, landing_dir: str, target: str) -> CheckedLoad:
+    """Landing CSV of the county file -> raw county table, with the lines that
+    cannot be read set aside and counted."""
+    return load_checked(spark, landing_dir.rstrip("/") + "/*", LANDING_COUNTY_SCHEMA, target, RAW_COUNTY_SCHEMA)
+
+
 def load_county_raw(spark: SparkSession, landing_dir: str, target: str) -> DataFrame:
     """Landing CSV of the county file -> raw county table (full refresh)."""
     return load_raw(spark, landing_dir.rstrip("/") + "/*", LANDING_COUNTY_SCHEMA, target, RAW_COUNTY_SCHEMA)

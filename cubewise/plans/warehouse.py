@@ -18,7 +18,8 @@ from cubewise.schemas import (
     RAW_CENTRE_SCHEMA,
     RAW_COUNTY_SCHEMA,
 )
-from cubewise.sinks.files import as_view, load_raw, materialize
+from cubewise.sinks.files import as_view, load_raw
+from cubewise.sinks.published import publish
 
 
 @dataclass
@@ -47,7 +48,8 @@ def build_warehouse(spark: SparkSession, applications_landing: str, tests_landin
 
     Raw tables are written once and read back, so both facts and the checks
     scan stored Parquet rather than re-parsing landing CSV; the facts are
-    stored partitioned by year. Staging stays a view. ``latest_wins``: of the
+    published partitioned by year (``sinks.published``: a failed refresh leaves
+    the tables of before). Staging stays a view. ``latest_wins``: of the
     rows of one series and month only those of the latest landing batch count.
     The tests without category are loaded, staged and checked where their
     landing folder is given; no fact reads them.
@@ -74,8 +76,8 @@ def build_warehouse(spark: SparkSession, applications_landing: str, tests_landin
                                                   "stg_tests_no_category")
 
     stg_a = models["stg_applications"]
-    cf = materialize(county_fact(stg_a, models["stg_county"], agg), f"{root}/county_fact", ("year",))
-    tf = materialize(centre_fact(stg_a, models["stg_tests"], agg), f"{root}/centre_fact", ("year",))
+    cf = publish(county_fact(stg_a, models["stg_county"], agg), f"{root}/county_fact", ("year",))
+    tf = publish(centre_fact(stg_a, models["stg_tests"], agg), f"{root}/centre_fact", ("year",))
     report = suite_report(models | {"county_fact": cf, "centre_fact": tf})
     return Warehouse(raw_a, raw_t, raw_c, stg_a, models["stg_tests"], models["stg_county"], cf, tf, report,
                      raw_n, models.get("stg_tests_no_category"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,40 +13,145 @@ from pyspark.sql import types as T
 
 from cubewise.operators.project import to_snake_case
 from cubewise.session import scratch_path
-from cubewise.sources.csv import CSV_OPTIONS, decode_lines, encode_lines, read_landing_csv
+from cubewise.sinks.commits import CommitLog, ConcurrentCommit, Folder
+from cubewise.sinks.published import publish
+from cubewise.sources.csv import (
+    BAD_LINE,
+    CSV_OPTIONS,
+    decode_lines,
+    encode_lines,
+    read_checked_lines,
+    read_landing_csv,
+)
 
 
 BATCH_COL = "_batch"
 
 
 def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool = False,
-             mode: str = "append", batch: str | None = None) -> None:
+             mode: str = "append", batch: str | None = None) -> bool:
     """Write landing CSV. ``append`` adds files next to earlier loads, so a
     re-ingest duplicates rows (absorbed by MAX in the facts).
 
-    ``batch`` lands the files in their own sub-folder ``path/<batch>`` (ids
-    that sort in landing order, e.g. zero-padded timestamps), which lets a
-    load keep only the latest batch per key (``load_raw(latest_wins=...)``).
+    ``batch`` lands the files in a sub-folder ``path/<batch>`` and commits it (ids
+    that sort in landing order, e.g. zero-padded timestamps): loads see the batch
+    whole or not at all, a landing retried under the same id counts once, and a
+    load can keep only the latest batch per key (``load_raw(latest_wins=...)``).
+    Returns whether these rows were landed; False if the batch was there already.
 
-    ``single_file`` funnels everything through one task (``coalesce(1)``);
-    it exists for parity with single-file consumers and is off by default.
+    ``single_file`` leaves one file: written as ordered parts by many tasks, then
+    joined byte for byte by the file system (``join_parts``).
     """
-    out = encode_lines(df.coalesce(1) if single_file else df)
-    target = f"{path.rstrip('/')}/{batch}" if batch else path
-    out.write.mode(mode).option("header", header).options(**CSV_OPTIONS | {"emptyValue": '""'}).csv(target)
+    root, target = path.rstrip("/"), path.rstrip("/")
+    if batch:
+        if not batch.strip("/.") or "/" in batch or batch.startswith(("_", ".")):
+            raise ValueError(f"not a batch id: {batch!r}")
+        if batch in committed_batches(df.sparkSession, root):
+            return False
+        target = f"{root}/{batch}/{uuid.uuid4().hex}"
+    out = encode_lines(df).write.option("header", header).options(**CSV_OPTIONS | {"emptyValue": '""'})
+    if single_file:
+        parts = f"{root}/_parts-{uuid.uuid4().hex}"
+        out.option("header", False).csv(parts)
+        names = (f'"{c.replace(chr(34), chr(34) * 2)}"' if set(c) & set(',"\n\r') else c for c in df.columns)
+        head = ",".join(names) + "\n" if header else ""
+        join_parts(df.sparkSession, parts, f"{target}/part-{uuid.uuid4().hex}.csv", head.encode())
+    else:
+        out.mode(mode).csv(target)
+    return commit_batch(df.sparkSession, root, batch, target) if batch else True
 
 
-def landing_batch(path: str) -> Column:
+def committed_batches(spark: SparkSession, landing: str) -> dict[str, str]:
+    """Batch id -> folder below the landing folder, for the committed batches."""
+    return {e.content["batch"]: e.content["folder"] for e in reversed(CommitLog(spark, landing).entries())}
+
+
+def commit_batch(spark: SparkSession, landing: str, batch: str, folder: str) -> bool:
+    """Make a written batch visible, unless an attempt of it was committed before."""
+    log = CommitLog(spark, landing)
+    while True:
+        entries = log.entries()
+        if any(e.content["batch"] == batch for e in entries):
+            log.folder.delete(folder.removeprefix(log.folder.path + "/"))
+            return False
+        try:
+            log.append({"batch": batch, "folder": folder.removeprefix(log.folder.path + "/")},
+                       entries[-1].number if entries else 0)
+            return True
+        except ConcurrentCommit:
+            continue
+
+
+def landing_files(spark: SparkSession, path: str) -> list[str] | None:
+    """What a load of a landing folder (or its ``/*``) reads if batches were committed
+    there: their folders, and the files landed without a batch. None: no log."""
+    root = path.rstrip("/").removesuffix("/*").rstrip("/")
+    if any(c in root for c in "*?[{") or not (folders := committed_batches(spark, root)):
+        return None
+    plain = [n for n in Folder(spark, root).names(folders=False) if not n.startswith(("_", "."))]
+    return [f"{root}/{f}" for f in sorted(folders.values())] + [f"{root}/{n}" for n in plain]
+
+
+def join_parts(spark: SparkSession, parts: str, target: str, head: bytes = b"") -> None:
+    """Join a folder's part files, in the order of their names, into one file.
+
+    A file system that joins files itself (HDFS: ``concat``) moves no byte.
+    Elsewhere the parts' bytes are copied in order by the JVM, a buffer at a time;
+    no task holds the table. The file gets its name when it is whole."""
+    folder, goal = Folder(spark, parts), Folder(spark, target)
+    names = [n for n in folder.names(folders=False) if n.startswith("part-")]
+    if not folder.create(head, "_joined"):
+        raise FileExistsError(f"{parts}/_joined")
+    try:
+        if names:
+            folder.fs.concat(folder.at("_joined"), _path_array(spark, [folder.at(n) for n in names]))
+    except Exception as e:
+        if "Unsupported" not in f"{type(e).__name__} {e}":
+            raise
+        folder.delete("_joined")
+        _copy_parts(spark, folder, names, head)
+    goal.fs.mkdirs(goal.at().getParent())
+    if not goal.fs.rename(folder.at("_joined"), goal.at()):
+        raise OSError(f"cannot name {target}")
+    folder.delete()
+
+
+def _path_array(spark: SparkSession, paths: list):
+    array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(paths))
+    for n, p in enumerate(paths):
+        array[n] = p
+    return array
+
+
+def _copy_parts(spark: SparkSession, folder: Folder, names: list[str], head: bytes) -> None:
+    out = folder.fs.create(folder.at("_joined"), False)
+    try:
+        out.write(bytearray(head))
+        for name in names:
+            part = folder.fs.open(folder.at(name))
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+
+
+def landing_batch(spark: SparkSession, path: str) -> Column:
     """The batch sub-folder of a landed file under ``path`` (the landing folder
     or its ``/*`` glob); files landed without a batch have '' and so rank below
-    every batch."""
+    every batch. A file outside the landing folder is an error. File paths are
+    percent-encoded, as the landing folder's own is here, so its name may hold
+    blanks, percent signs or any script."""
     root = path.rstrip("/").removesuffix("/*").rstrip("/")
     if any(c in root for c in "*?[{"):
         raise ValueError(f"batches need one landing folder, not a pattern: {path}")
-    root = root.split("://", 1)[-1].removeprefix("file:")
+    root = Folder(spark, root).raw_path() + "/"
     file = F.col("_metadata.file_path")
-    rest = F.substring(file, F.locate(root + "/", file) + len(root) + 1, F.lit(1 << 20))
-    return F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1)).otherwise(F.lit(""))
+    rest = F.substring(file, F.locate(root, file) + len(root), F.lit(1 << 20))
+    batch = F.when(F.instr(rest, "/") > 0, F.url_decode(F.replace(F.substring_index(rest, "/", 1), F.lit("+"), F.lit("%2B"))))
+    outside = F.raise_error(F.concat(F.lit(f"not under {root}: "), file)).cast("string")
+    return F.when(F.locate(root, file) == 0, outside).otherwise(F.coalesce(batch, F.lit("")))
 
 
 def latest_batch_wins(df: DataFrame, keys: Sequence[str], batch_col: str = BATCH_COL) -> DataFrame:
@@ -66,36 +173,74 @@ def load_raw(spark: SparkSession, path: str | list[str], landing_schema: T.Struc
              latest_wins: Sequence[str] | None = None) -> DataFrame:
     """Full-refresh load: read every landing file under ``path`` (glob or
     directory) by position, rename to snake_case, enforce the warehouse
-    types and overwrite ``target``. Returns the loaded table.
+    types and publish ``target`` anew (``sinks.published``: readers see the
+    table of before until the load is whole). Returns the loaded table.
 
-    ``latest_wins`` (warehouse key columns): rows landed in batch
+    Of a landing folder with committed batches only those are read, and files landed
+    without a batch. ``latest_wins`` (warehouse key columns): rows landed in batch
     sub-folders are de-duplicated so that each key keeps the rows of its
     latest batch only (a revised re-extract replaces the earlier values
     instead of adding to them).
     """
-    df = read_landing_csv(spark, path, landing_schema)
+    committed = landing_files(spark, path) if isinstance(path, str) else None
+    df = read_landing_csv(spark, committed or path, landing_schema)
     if latest_wins:
         if not isinstance(path, str):
             raise ValueError("latest_wins needs one landing folder")
-        df = df.withColumn(BATCH_COL, landing_batch(path))
+        df = df.withColumn(BATCH_COL, landing_batch(spark, path))
     df = to_snake_case(decode_lines(df))
     if warehouse_schema is not None:
-        cols = [df[f.name].try_cast(f.dataType).alias(f.name) for f in warehouse_schema.fields]
-        df = df.select(*cols, *([BATCH_COL] if latest_wins else []))
+        df = df.select(*typed(df, warehouse_schema), *([BATCH_COL] if latest_wins else []))
     if latest_wins:
         # Stored once, so that the text is parsed once; the batches are as many
         # as the landing's sub-folders, and their ranks aggregate by hash.
         df = materialize(df, scratch_path(spark, "landing_batches"), ())
-        batches = sorted(r[0] for r in df.select(BATCH_COL).distinct().collect())
+        batches = (["", *sorted(committed_batches(spark, path.rstrip("/").removesuffix("/*").rstrip("/")))] if committed
+                   else sorted(r[0] for r in df.select(BATCH_COL).distinct().collect()))
         rank = F.array_position(F.array(*[F.lit(b) for b in batches]).cast("array<string>"), F.col(BATCH_COL))
         df = latest_batch_wins(df.withColumn(BATCH_COL, rank), latest_wins)
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    return publish(df, target)
+
+
+def typed(df: DataFrame, schema: T.StructType) -> list[Column]:
+    return [df[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
+@dataclass(frozen=True)
+class CheckedLoad:
+    """A load's table, the lines it could not read, and how many of each."""
+    table: DataFrame
+    quarantine: DataFrame
+    good: int
+    bad: int
+
+
+def load_checked(spark: SparkSession, path: str | list[str], landing_schema: T.StructType, target: str,
+                 warehouse_schema: T.StructType | None = None) -> CheckedLoad:
+    """``load_raw`` that loses no field unseen. Lines that do not hold exactly the
+    declared fields, each of its type, are not loaded with NULLs but set aside
+    with their file and whole text, and counted exactly. One pass parses every line
+    and writes both; the table and its quarantine (``<target>_quarantine``) are
+    published from there."""
+    committed = landing_files(spark, path) if isinstance(path, str) else None
+    lines = read_checked_lines(spark, committed or path, landing_schema)
+    pass_ = scratch_path(spark, "checked_lines")
+    lines.withColumn("bad", F.col(BAD_LINE).isNotNull()).write.partitionBy("bad").parquet(pass_)
+    seen = spark.read.schema(lines.schema.add("bad", T.BooleanType())).parquet(pass_)
+    good = to_snake_case(decode_lines(seen.where("not bad").select(landing_schema.fieldNames())))
+    if warehouse_schema is not None:
+        good = good.select(*typed(good, warehouse_schema))
+    counts = {r["bad"]: r["count"] for r in seen.groupBy("bad").count().collect()}
+    n = {"good": counts.get(False, 0), "bad": counts.get(True, 0)}
+    quarantine = publish(seen.where("bad").select("file", F.col(BAD_LINE).alias("line")), target.rstrip("/") + "_quarantine", (), n)
+    return CheckedLoad(publish(good, target, (), n), quarantine, n["good"], n["bad"])
 
 
 def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = ("year",)) -> DataFrame:
     """Write a fact as a Parquet table partitioned by ``partition_by`` (so a
-    year filter prunes whole directories) and return the stored table.
+    year filter prunes whole directories) and return the stored table. The
+    folder is overwritten in place; a table that others read meanwhile is
+    published instead (``sinks.published.publish``).
 
     Rows are first clustered by the partition columns (``rebalance`` hint)
     so each partition is written as few files rather than one per task;

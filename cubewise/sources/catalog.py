@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cubewise.sinks.published import is_published, read_published
+
 
 @dataclass
 class Catalog:
@@ -24,7 +26,7 @@ class Catalog:
         loc = self.locations.get((schema, table))
         if loc is None:
             return self.spark.table(f"{schema}__{table}")
-        return self.spark.read.parquet(loc)
+        return read_published(self.spark, loc) if is_published(self.spark, loc) else self.spark.read.parquet(loc)
 
     def register_view(self, schema: str, table: str, df: DataFrame) -> None:
         df.createOrReplaceTempView(f"{schema}__{table}")

@@ -60,6 +60,29 @@ def read_landing_csv(spark: SparkSession, path: str | list[str], schema: T.Struc
     return reader.csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_checked_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The declared columns, ``file`` and ``_bad_line``: the whole line where it does not
+    hold exactly the declared fields, each of its type, else NULL. A quoted line
+    break of another writer makes two such lines, never a shifted row. Empty lines
+    are no rows. Files are read as lines, so scans split them as before."""
+    with_bad = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where("value <> ''")
+    options = CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    row = F.from_csv("value", _ddl(with_bad), options)
+    parsed = lines.select("file", "value", row.alias("row"))
+    # An open quote swallows the rest of its line and can leave the right number of fields.
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    bad = F.when(F.col(f"row.{BAD_LINE}").isNotNull() | (quotes % 2 == 1), F.col("value"))
+    return parsed.select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields], "file", bad.alias(BAD_LINE))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def clean_csv_rows(df: DataFrame, label_col: str, value_col: str) -> DataFrame:
     """Landing clean-up of the county file: drop header rows that reached the
     data (and rows with a NULL label, by three-valued logic) and replace a
