@@ -22,7 +22,7 @@ from cubewise.operators.quality import accepted_values, not_null, unique
 from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup
 from cubewise.plans.cube_docs import cube_documents
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
-from cubewise.plans.landing import land_county_file, land_cube, load_county_raw
+from cubewise.plans.landing import land_county_file, land_cube, load_county_checked, load_county_raw
 from cubewise.plans.quality_suite import COUNTY_GRAIN, QUALITY_SUITE, STG_NOT_NULL, suite_report
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
 from cubewise.plans.warehouse import build_warehouse
@@ -41,6 +41,7 @@ from cubewise.schemas import (
 )
 from cubewise.session import scratch_path, table_path
 from cubewise.sinks.files import as_view, land_csv, load_raw, materialize, preview
+from cubewise.sinks.published import publish, read_published
 from cubewise.sources.catalog import Catalog
 from cubewise.sources.csv import clean_csv_rows
 from cubewise.sources.derived import applications, raw_api, raw_county, raw_ro30, raw_ro34, read_table
@@ -52,6 +53,7 @@ from cubewise.sources.jsonstat import (
     validate_jsonstat,
 )
 from cubewise.streaming.incremental import OtherSide, read_partitioned, start_incremental
+from cubewise.streaming.months import MonthStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -635,8 +637,44 @@ def q_incremental_county_fact(spark, sf_dir):
     return read_partitioned(spark, fact_dir, schema).drop("period")
 
 
+def q_incremental_revision(spark, sf_dir):
+    """The county fact by SUM over a stream of extracts: all applications five times
+    too high, then as they are, then one statistic lowered; the first extract's files
+    come again at the end, late, in an epoch of their own for the months before 2021,
+    followed by the right values. Per series and month the last extract counts."""
+    landing, state, fact_dir, checkpoint = (scratch_path(spark, f"revision_{n}") for n in ("landing", "state", "fact", "checkpoint"))
+    tests = {n: scratch_path(spark, f"revision_county_{n}") for n in ("landing", "state", "checkpoint")}
+    raw, county = raw_api(spark, sf_dir), landed_county(spark, sf_dir)
+    early = F.coalesce(F.col("month") < F.lit("2021"), F.lit(False))
+    value = F.when(F.col("statistic") == REVISED, -F.col("value")).otherwise(F.col("value"))
+
+    def apps(rows):
+        land_csv(rows, landing)
+        start_incremental(spark, landing, LANDING_CENTRE_SCHEMA, state, fact_dir, checkpoint,
+                          lambda own, other: county_fact(own, other, "sum"), keys=SERIES, fact_snapshots=True,
+                          other=OtherSide(tests["state"], LANDING_COUNTY_SCHEMA, stage_county_stats)).awaitTermination()
+
+    apps(raw.withColumn("value", F.col("value") * 5))
+    land_csv(county, tests["landing"])
+    start_incremental(spark, tests["landing"], LANDING_COUNTY_SCHEMA, tests["state"], fact_dir, tests["checkpoint"],
+                      lambda own, other: county_fact(other, own, "sum"), stage_county_stats, fact_snapshots=True,
+                      other=OtherSide(state, LANDING_CENTRE_SCHEMA, stage_centre_stats)).awaitTermination()
+    apps(raw)
+    apps(raw.filter(early).withColumn("value", F.col("value") * 7))
+    apps(raw.withColumn("value", value))
+    MonthStore(spark, fact_dir).compact()
+    return MonthStore(spark, fact_dir).read(county_fact_df(spark, sf_dir).schema).drop("period")
+
+
+REVISED = "Driving Test Applications Received"
+SERIES = ["statistic", "year", "month", "test_category", "test_centre_raw"]
+
 QUERIES["incremental_landing"] = q_incremental_landing
+QUERIES["incremental_revision"] = q_incremental_revision
 QUERIES["incremental_county_fact"] = q_incremental_county_fact
+LOWERED_SQL = O.with_base("SELECT * FROM county_fact_sum").replace(
+    "o.o_orderkey AS value", "CASE WHEN o.o_orderpriority = '1-URGENT' THEN -o.o_orderkey ELSE o.o_orderkey END AS value")
+ORACLE["incremental_revision"] = LOWERED_SQL
 ORACLE["incremental_landing"] = O.with_base("SELECT * FROM pivot_apps_centre")
 ORACLE["incremental_county_fact"] = O.with_base("SELECT * FROM county_fact")
 
@@ -735,7 +773,7 @@ def _warehouse(spark, sf_dir, agg="max", revised=False):
     """Landing folders -> full warehouse build (raw loads, staging views,
     stored facts, quality report). ``revised``: the applications come unbatched,
     and again in two batches, the last of which lowers one statistic."""
-    landing = {name: scratch_path(spark, f"wh_landing_{name}") for name in ("apps", "tests", "county", "ro34")}
+    landing = {name: scratch_path(spark, f"wh landing 100%_é_{name}") for name in ("apps", "tests", "county", "ro34")}
     raw = raw_api(spark, sf_dir)
     land_csv(raw, landing["apps"])
     if revised:
@@ -750,9 +788,6 @@ def _warehouse(spark, sf_dir, agg="max", revised=False):
                            scratch_path(spark, "warehouse"), agg, revised, landing["ro34"])
 
 
-REVISED = "Driving Test Applications Received"
-
-
 def q_warehouse_county_fact(spark, sf_dir):
     return _warehouse(spark, sf_dir).county_fact
 
@@ -808,7 +843,61 @@ def _awkward(raw: DataFrame) -> DataFrame:
         .when(kind == 3, F.lit("")).when(kind == 4, F.lit(None).cast("string")).otherwise(centre)))
 
 
+def q_load_quarantine(spark, sf_dir):
+    """The county file as another writer left it: every seventh label holds a quoted
+    line break, every eleventh value is text, every thirteenth line has a field too
+    many. Good rows are loaded; what each label lost is counted from the quarantine."""
+    raw = landed_county(spark, sf_dir).withColumn("key", F.col("value").cast("long"))
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("\\N")), F.lit('"'), F.lit('""')), F.lit('"'))
+              for c in raw.columns[:-2]]
+    kind = F.when(F.col("key") % 7 == 0, "broken").when(F.col("key") % 11 == 0, "text").when(F.col("key") % 13 == 0, "extra")
+    label = F.when(kind == "broken", F.concat(F.lit('"line'), F.lit("\n"), F.substring(quoted[0], 2, 1 << 20))).otherwise(quoted[0])
+    value = (F.when(kind == "text", F.lit("n/a")).when(kind == "extra", F.concat(F.col("value").cast("string"), F.lit(",x")))
+             .otherwise(F.col("value").cast("string")))
+    landing = scratch_path(spark, "landing_foreign")
+    raw.select(F.concat_ws(",", label, *quoted[1:], value).alias("value")).write.text(landing)
+    done = load_county_checked(spark, landing, scratch_path(spark, "raw_checked"))
+    lines = done.quarantine.select(
+        F.when(F.col("line").startswith('"line'), "broken, first line").when(F.col("line").endswith(",n/a"), "text")
+        .when(F.col("line").endswith(",x"), "extra").otherwise("broken, second line").alias("status"))
+    loaded = done.table.agg(F.count("*").alias("lines"), F.sum("value").alias("total")).select(F.lit("loaded").alias("status"), "lines", "total")
+    counts = lines.groupBy("status").agg(F.count("*").alias("lines")).withColumn("total", F.lit(None).cast("double"))
+    return loaded.unionByName(counts).unionByName(spark.range(1).select(
+        F.lit("counted bad").alias("status"), F.lit(done.bad).cast("long").alias("lines"), F.lit(None).cast("double").alias("total")))
+
+
+def q_landing_retried(spark, sf_dir):
+    """The county fact by SUM where every batch was landed twice under its id and one
+    attempt never came to its commit: each batch counts once."""
+    raw = raw_api(spark, sf_dir)
+    early = F.coalesce(F.col("month") < F.lit("2021"), F.lit(False))
+    landing = scratch_path(spark, "landing retried")
+    for _ in range(2):
+        land_csv(raw.filter(early), landing, batch="0001")
+        land_csv(raw.filter(~early), landing, batch="0002")
+    raw.write.csv(f"{landing}/0003/attempt")
+    apps = load_raw(spark, landing + "/*", LANDING_CENTRE_SCHEMA, scratch_path(spark, "raw_retried"), RAW_CENTRE_SCHEMA)
+    return county_fact(stage_centre_stats(apps), stg_local(spark, sf_dir), "sum")
+
+
+def q_failed_refresh(spark, sf_dir):
+    """The county fact published, then refreshed by a job that fails on its last row:
+    readers still get the fact of before."""
+    target = scratch_path(spark, "published fact")
+    fact = publish(county_fact_df(spark, sf_dir), target, ("year",))
+    lost = F.when(F.xxhash64("county", "month") % 5 == 0, F.raise_error("lost")).otherwise(F.col("county")).cast("string")
+    try:
+        publish(fact.withColumn("county", lost), target, ("year",))
+    except Exception as e:  # the failure is the point; any other is not
+        if "lost" not in str(e):
+            raise
+    return read_published(spark, target)
+
+
 QUERIES.update({
+    "load_quarantine": q_load_quarantine,
+    "landing_retried": q_landing_retried,
+    "failed_refresh": q_failed_refresh,
     "warehouse_county_fact": q_warehouse_county_fact,
     "warehouse_centre_fact": q_warehouse_centre_fact,
     "warehouse_ro34": q_warehouse_ro34,
@@ -819,12 +908,19 @@ QUERIES.update({
     "text_round_trip": q_text_round_trip,
 })
 ORACLE.update({
+    "load_quarantine": O.with_base("""
+      SELECT status, COUNT(*) AS lines, CASE WHEN status = 'loaded' THEN SUM(value) END AS total FROM (
+        SELECT value, unnest(CASE WHEN CAST(value AS BIGINT) % 7 = 0 THEN ['broken, first line', 'broken, second line', 'counted bad', 'counted bad']
+                                  WHEN CAST(value AS BIGINT) % 11 = 0 THEN ['text', 'counted bad']
+                                  WHEN CAST(value AS BIGINT) % 13 = 0 THEN ['extra', 'counted bad'] ELSE ['loaded'] END) AS status
+        FROM landed_county) x GROUP BY status"""),
+    "landing_retried": O.with_base("SELECT * FROM county_fact_sum"),
+    "failed_refresh": O.with_base("SELECT * FROM county_fact"),
     "warehouse_county_fact": O.with_base("SELECT * FROM county_fact"),
     "warehouse_centre_fact": O.with_base("SELECT * FROM centre_fact"),
     "warehouse_ro34": O.with_base("SELECT * FROM stg_ro34"),
     "warehouse_report": ORACLE["dq_report"],
-    "warehouse_latest_wins": O.with_base("SELECT * FROM county_fact_sum").replace(
-        "o.o_orderkey AS value", "CASE WHEN o.o_orderpriority = '1-URGENT' THEN -o.o_orderkey ELSE o.o_orderkey END AS value"),
+    "warehouse_latest_wins": LOWERED_SQL,
     "single_file_landing": O.with_base("SELECT * FROM raw_ro34"),
     "preview_rows": O.with_base("SELECT least(count(*), 10) AS shown, least(count(*), 10) AS found FROM raw_api"),
     "text_round_trip": O.with_base("""
