@@ -44,16 +44,18 @@ from cubewise.llm.pretokens import ChunkMemory, as_byte_characters, id_bytes, is
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
+# Words, and as many pieces of words, that a Python worker remembers.
+MEMORY_WORDS = 800_000
 # Pieces of one length numbered in one task, about.
 ROWS_PER_SALT = 100_000
 
-_loaded: dict[str, WordEncoder] = {}
+_loaded: dict[tuple[str, int], WordEncoder] = {}
 
 
 class WordEncoder:
     """One worker's tokenizer for a lower-casing, space-dropping vocabulary."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, memory: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
@@ -61,8 +63,8 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # The vocabulary's own split pattern; pieces keep no white space.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.pieces = ChunkMemory(self.encode_piece)
-        self.words = ChunkMemory(self.encode_word)
+        self.pieces = ChunkMemory(self.encode_piece, memory)
+        self.words = ChunkMemory(self.encode_word, memory)
 
     def encode_piece(self, piece: str) -> bytes:
         return id_bytes([t.id for t in self.model.tokenize(as_byte_characters(piece))])
@@ -83,23 +85,24 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def word_encoder(vocabulary: str = VOCABULARY) -> WordEncoder:
-    if vocabulary not in _loaded:
-        _loaded[vocabulary] = WordEncoder(vocabulary)
-    return _loaded[vocabulary]
+def word_encoder(vocabulary: str = VOCABULARY, memory: int = MEMORY_WORDS) -> WordEncoder:
+    if (vocabulary, memory) not in _loaded:
+        _loaded[vocabulary, memory] = WordEncoder(vocabulary, memory)
+    return _loaded[vocabulary, memory]
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-        vocabulary: str = VOCABULARY, ids: bool = False) -> DataFrame:
+        vocabulary: str = VOCABULARY, ids: bool = False, memory: int = MEMORY_WORDS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and
-    the end id, cut into pieces of at most ``capacity``."""
+    the end id, cut into pieces of at most ``capacity``. ``memory``: remembered words
+    a worker; fewer cost time, not results."""
     fields = f"doc_id {dict(docs.dtypes)[id_col]}, piece int, start bigint, length bigint, ids_crc32 bigint"
     if ids:
         fields += ", ids array<int>"
     step, end = 4 * capacity, id_bytes([END_ID])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = word_encoder(vocabulary)
+        enc = word_encoder(vocabulary, memory)
         for batch in small_batches(batches):
             row, piece, start, length, crc, tokens = [], [], [], [], [], []
             for n, text in enumerate(batch.column(1).to_pylist()):
@@ -293,7 +296,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return numbered.mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, memory: int = MEMORY_WORDS) -> DataFrame:
     """Cut and pack; one row a piece."""
-    return (pack(stored(cut(docs, capacity=capacity), "pieces"), capacity)
+    return (pack(stored(cut(docs, capacity=capacity, memory=memory), "pieces"), capacity)
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
