@@ -54,6 +54,9 @@ from cubewise.llm.common import stored
 
 KEY = b"surrogates"  # production jobs pass their own
 ROUNDS = 8
+# Candidates after which an entity's format counts as full. E-mail addresses, secrets,
+# names and phone numbers are lengthened long before.
+MOST_ATTEMPTS = 64
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
@@ -106,7 +109,7 @@ ENTITY = re.compile(
 # The words of a name, and where one may be mentioned without a title.
 WORD = re.compile(rf"(?<![\w]){_PART}|(?<=[dl]['\u2019]){_PART}")
 # A text without any of these holds no entity.
-HINT = re.compile(rf"[0-9@]|(?:{'|'.join(TITLES)})\.? |(?i:{_SECRET_WORD})[\"']?\s{{0,3}}[=:]")
+HINT = re.compile(rf"[\d@]|AKIA|ASIA|(?:{'|'.join(TITLES)})\.? |(?i:{_SECRET_WORD})[\"']?\s{{0,3}}[=:]")
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 SYMBOLS = "!#$%&*?@^~"
@@ -173,6 +176,18 @@ def network_of(digits: str) -> str:
     return "34" if digits[:2] in ("34", "37") else digits[0]
 
 
+# The country codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGIT_CODES = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                   "81 82 84 86 90 91 92 93 94 95 98").split()
+
+
+def country_code(number: str) -> str:
+    """The plus sign and country code with which a number begins, if any."""
+    if not number.startswith("+"):
+        return ""
+    return number[:2] if number[1] in "17" else number[:3] if number[1:3] in TWO_DIGIT_CODES else number[:4]
+
+
 def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The surrogate of a canonical entity; a later attempt gives another one."""
     tweak = f"{kind}|{attempt}"
@@ -193,7 +208,13 @@ def candidate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         network = network_of(entity)
         return permute_text(key, tweak, entity, ["", *[DIGITS] * (len(entity) - 1)],
                             lambda t: network_of(t) == network and luhn(t) == good)
-    if kind in ("phone", "ssn"):
+    if kind == "phone":
+        # A number with a country code keeps the code. So many attempts mean that the
+        # format has too few numbers: lengthen it.
+        entity += "0" * (attempt // 8)
+        code = len(country_code(entity))
+        return permute_text(key, tweak, entity, [""] * code + [DIGITS] * (len(entity) - code))
+    if kind == "ssn":
         return permute_text(key, tweak, entity, [DIGITS] * len(entity))
     if kind == "key":
         return permute_text(key, tweak, entity, [""] * 4 + [TOKEN] * (len(entity) - 4))
@@ -274,9 +295,13 @@ def patterns(text: str) -> Iterator[tuple[str, str, int, int]]:
         elif kind == "email":
             yield kind, surface.lower(), start, end
         elif kind in ("ssn", "card", "phone"):
-            digits = "".join(c for c in surface if c.isdigit())
+            digits = "".join(str(unicodedata.decimal(c)) for c in surface if c.isdecimal())
             # A North American number is the same with and without its prefix.
-            yield kind, digits[1:] if kind == "phone" and len(digits) == 11 and digits[0] == "1" else digits, start, end
+            if kind == "phone" and len(digits) == 11 and digits[0] == "1":
+                digits = digits[1:]
+            elif kind == "phone" and surface[0] == "+":
+                digits = "+" + digits
+            yield kind, digits, start, end
         elif kind == "ip":
             yield kind, ".".join(str(int(o)) for o in surface.split(".")), start, end
         else:
@@ -286,11 +311,17 @@ def patterns(text: str) -> Iterator[tuple[str, str, int, int]]:
 def dress(kind: str, surface: str, surrogate: str) -> str:
     """The surrogate with the surface's punctuation and case."""
     if kind in ("ssn", "card", "phone"):
-        digits = sum(c.isdigit() for c in surface)
-        if digits > len(surrogate):
+        surrogate = surrogate.removeprefix("+")
+        places = [n for n, c in enumerate(surface) if c.isdecimal()]
+        if kind == "phone" and len(places) == 11 and unicodedata.decimal(surface[places[0]]) == 1:
             surrogate = "1" + surrogate
-        rest = iter(surrogate)
-        return "".join(next(rest) if c.isdigit() else c for c in surface)
+        out = list(surface)
+        for n, digit in zip(places, surrogate):
+            # In the digits of the surface's own script.
+            out[n] = chr(ord(surface[n]) - unicodedata.decimal(surface[n]) + int(digit))
+        # A lengthened number goes on behind its last digit.
+        out[places[-1]] += surrogate[len(places):]
+        return "".join(out)
     if kind == "email":
         surface = surface.rjust(len(surrogate))
         return "".join(s.upper() if c.isupper() else s for c, s in zip(surface, surrogate, strict=True))
@@ -354,6 +385,9 @@ def assign(found: DataFrame, key: bytes, first: Callable = candidate) -> DataFra
         moving = marked.where("moves").drop("moves")
         if moving.isEmpty():
             return marked.drop("moves")
+        spent = [r["kind"] for r in moving.where(F.col("attempt") >= MOST_ATTEMPTS).select("kind").distinct().collect()]
+        if spent:
+            raise ValueError(f"no surrogates left for the formats of some entities of kind {', '.join(sorted(spent))}")
         table = stored(marked.where("not moves").drop("moves").unionByName(moving.mapInArrow(next_candidate, ENTITIES)), "entities")
 
 
