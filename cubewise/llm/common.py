@@ -50,6 +50,16 @@ def partitions(df: DataFrame) -> int:
     return max(conf, min(size // PARTITION_BYTES, 1 << 20)) if size < 1 << 60 else conf
 
 
+def by_number(docs: DataFrame) -> DataFrame:
+    """docs with its columns named _0, _1, ..., so that no name of an operator clashes."""
+    return docs.toDF(*[f"_{n}" for n in range(len(docs.columns))])
+
+
+def by_name(numbered: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns that ``by_number`` renamed, with docs' names again."""
+    return numbered.select(*[F.col(f"_{n}").alias(c) for n, c in enumerate(docs.columns)])
+
+
 def id_order(doc_id: Column) -> Column:
     """The id as a sort and join key; rows without an id rank last."""
     return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))

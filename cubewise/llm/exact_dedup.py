@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, id_order, stored, text_or_empty
+from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
 
 # Two Mersenne-like primes below 2**31 and a base for each; a chunk's products
 # and sums stay below 2**53, where float64 arithmetic is exact.
@@ -189,9 +189,8 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of docs that stay, with all their columns. Equal rows of one id
     and text are reduced to one."""
     kept = deduplicate(docs, id_col, text_col).where("kept").select(
-        F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("_rank"), F.col("text_sha256").alias("_sha"))
-    body = F.regexp_replace(text_or_empty(F.col(text_col)), "[\\x20\\x09-\\x0D]+", " ")
-    return (docs.withColumn("_rank", id_order(F.col(id_col)))
-            .withColumn("_sha", F.sha2(F.encode(body, "UTF-8"), 256))
-            .join(kept, ["_rank", "_sha"], "left_semi")
-            .dropDuplicates(["_rank", "_sha"]).drop("_rank", "_sha").select(*docs.columns))
+        F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("rank"), F.col("text_sha256").alias("sha"))
+    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
+    body = F.regexp_replace(text_or_empty(text), "[\\x20\\x09-\\x0D]+", " ")
+    return by_name(by_number(docs).withColumn("rank", id_order(doc_id)).withColumn("sha", F.sha2(F.encode(body, "UTF-8"), 256))
+                   .join(kept, ["rank", "sha"], "left_semi").dropDuplicates(["rank", "sha"]), docs)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, id_order, stored, text_or_empty
+from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
 from cubewise.llm.components import components
 
 SHINGLE = 3
@@ -237,9 +237,9 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns (of rows that share the id, as of rows without one, the smallest text
     hash)."""
     stay = (near_duplicates(docs, id_col, text_col).where("rank = component_rank")
-            .groupBy("component").agg(F.min("rank").alias("_rank"), F.min("text_hash").alias("_text"))
-            .select("_rank", "_text"))
-    return (docs.withColumn("_rank", id_order(F.col(id_col)))
-            .withColumn("_text", F.xxhash64(text_or_empty(F.col(text_col))))
-            .join(stay, ["_rank", "_text"], "left_semi")
-            .dropDuplicates(["_rank", "_text"]).select(*docs.columns))
+            .groupBy("component").agg(F.min("rank").alias("rank"), F.min("text_hash").alias("text_hash"))
+            .select("rank", "text_hash"))
+    rows = by_number(docs)
+    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
+    return by_name(rows.withColumn("rank", id_order(doc_id)).withColumn("text_hash", F.xxhash64(text_or_empty(text)))
+                   .join(stay, ["rank", "text_hash"], "left_semi").dropDuplicates(["rank", "text_hash"]), docs)
