@@ -54,6 +54,7 @@ from cubewise.sources.jsonstat import (
 )
 from cubewise.streaming.incremental import OtherSide, read_partitioned, start_incremental
 from cubewise.streaming.months import MonthStore
+from cubewise.streaming.quality_months import kept_report, refresh_checks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -894,7 +895,20 @@ def q_failed_refresh(spark, sf_dir):
     return read_published(spark, target)
 
 
+def q_dq_refreshed(spark, sf_dir):
+    """The county fact's checks kept by month: counted on a fact that lost its counties
+    before 2021, then only those months counted again on the right one."""
+    checks, kept = QUALITY_SUITE["county_fact"], scratch_path(spark, "kept checks")
+    fact = publish(county_fact_df(spark, sf_dir), scratch_path(spark, "checked fact"), ("year",))
+    county = F.when(F.year("date_month") < 2021, None).otherwise(F.col("county"))
+    refresh_checks(spark, kept, fact.withColumn("county", county), checks, "date_month")
+    spoilt = [m for m in MonthStore(spark, kept).months if m < "2021"]
+    refresh_checks(spark, kept, fact, checks, "date_month", spoilt)
+    return kept_report(spark, kept, "county_fact", checks)
+
+
 QUERIES.update({
+    "dq_refreshed": q_dq_refreshed,
     "load_quarantine": q_load_quarantine,
     "landing_retried": q_landing_retried,
     "failed_refresh": q_failed_refresh,
@@ -908,6 +922,7 @@ QUERIES.update({
     "text_round_trip": q_text_round_trip,
 })
 ORACLE.update({
+    "dq_refreshed": f"SELECT * FROM ({ORACLE['dq_report']}) r WHERE table_name = 'county_fact'",
     "load_quarantine": O.with_base("""
       SELECT status, COUNT(*) AS lines, CASE WHEN status = 'loaded' THEN SUM(value) END AS total FROM (
         SELECT value, unnest(CASE WHEN CAST(value AS BIGINT) % 7 = 0 THEN ['broken, first line', 'broken, second line', 'counted bad', 'counted bad']
