@@ -143,11 +143,13 @@ class Model:
         return out
 
 
-def forward_backward(potentials: np.ndarray, lengths: np.ndarray, switch: np.ndarray) -> np.ndarray:
-    """Label probabilities of every word of chains laid end to end.
+def messages(potentials: np.ndarray, lengths: np.ndarray, switch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages of every word of chains laid end to end, each
+    up to a factor.
 
-    potentials: words x labels, positive; switch: labels x labels, positive. Each
-    chain is cut into blocks; ``inner`` is a block's transfer matrix."""
+    potentials: words x labels, positive; switch: labels x labels, positive. Before
+    a chain's first word stands one of unknown label. Each chain is cut into blocks;
+    ``inner`` is a block's transfer matrix."""
     total, labels = potentials.shape
     blocks = -(-lengths // BLOCK_WORDS)
     starts = np.cumsum(lengths) - lengths
@@ -195,10 +197,41 @@ def forward_backward(potentials: np.ndarray, lengths: np.ndarray, switch: np.nda
         else:
             message = (backward[at + 1] * potentials[at + 1]) @ switch.T
             backward[at] = message / message.max(axis=1, keepdims=True)
+    return forward, backward
+
+
+def forward_backward(potentials: np.ndarray, lengths: np.ndarray, switch: np.ndarray) -> np.ndarray:
+    """Label probabilities of every word of chains laid end to end."""
+    forward, backward = messages(potentials, lengths, switch)
     marginal = forward * backward
     return marginal / marginal.sum(axis=1, keepdims=True)
 
 
+def likelihood_gradient(potentials: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
+                        gold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives of the conditional log-likelihood of the labels ``gold`` by each
+    word's label scores (words x labels) and by the transition weights: what is
+    observed less what is expected. A pair's expectation joins the message into its
+    left word, the transition, and the evidence of and beyond its right word."""
+    switch = np.exp(transitions)
+    forward, backward = messages(potentials, lengths, switch)
+    marginal = forward * backward
+    marginal /= marginal.sum(axis=1, keepdims=True)
+    difference = -marginal
+    difference[np.arange(len(gold)), gold] += 1
+
+    first = np.zeros(len(gold), bool)
+    first[np.cumsum(lengths) - lengths] = True
+    right = np.flatnonzero(~first)
+    slope = np.zeros_like(transitions)
+    np.add.at(slope, (gold[right - 1], gold[right]), 1)
+    pair = forward[right - 1][:, :, None] * switch * (potentials[right] * backward[right])[:, None, :]
+    slope -= (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    # Given the first word's label, the label before it follows the column of switch.
+    slope += switch / switch.sum(axis=0) * difference[first].sum(axis=0)
+    return difference, slope
+
+
 def label_words(model: Model, texts: list[list[str]]) -> list[np.ndarray]:
     """Label probabilities of the words of each text."""
     lengths = np.array([len(t) for t in texts], np.int64)
@@ -270,24 +303,13 @@ def fit(sample: list[tuple[str, str]], seed: int = 0) -> Model | None:
             np.add.at(scores, owner, model.weights[flat])
             potentials = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-30
             lengths = np.full(len(batch), SEQUENCE_WORDS)
-            switch = np.exp(model.transitions)
-            marginals = forward_backward(potentials, lengths, switch)
             gold = np.array([g for _, gs in batch for g in gs])
-            # The gradient: what is observed less what is expected.
-            difference = -marginals
-            difference[np.arange(len(gold)), gold] += 1
+            difference, slope = likelihood_gradient(potentials, lengths, model.transitions, gold)
             gradient = np.zeros_like(model.weights)
             np.add.at(gradient, flat, difference[owner])
             touched = np.unique(flat)
             squares[touched] += gradient[touched] ** 2
             model.weights[touched] += RATE * gradient[touched] / np.sqrt(squares[touched])
-            observed = np.zeros_like(model.transitions)
-            inside = np.flatnonzero(np.arange(len(gold)) % SEQUENCE_WORDS)
-            np.add.at(observed, (gold[inside - 1], gold[inside]), 1)
-            # Pairwise expectations from the marginals' neighbours.
-            pair = marginals[inside - 1][:, :, None] * switch[None] * marginals[inside][:, None, :]
-            expected = (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            slope = observed - expected
             moves += slope ** 2
             model.transitions += RATE * slope / np.sqrt(moves)
     # Between -4 and 4, so that no text is held to one language by transitions alone.

@@ -42,6 +42,36 @@ def test_chained_blocks_against_one_pass():
         at += n
 
 
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(3)
+    lengths, labels = np.array([5, 1, 3]), 3
+    scores, transitions = rng.normal(size=(9, labels)), rng.normal(size=(labels, labels))
+    gold = rng.integers(labels, size=9)
+
+    def likelihood(scores, transitions):
+        switch, total, at = np.exp(transitions), 0.0, 0
+        for n in lengths.tolist():
+            def weight(path, at=at):
+                w = switch[:, path[0]].sum() * np.exp(scores[at, path[0]])
+                for t in range(1, len(path)):
+                    w *= switch[path[t - 1], path[t]] * np.exp(scores[at + t, path[t]])
+                return w
+            total += np.log(weight(gold[at:at + n]) / sum(weight(p) for p in np.ndindex(*[labels] * n)))
+            at += n
+        return total
+
+    by_score, by_transition = L.likelihood_gradient(np.exp(scores), lengths, transitions, gold)
+    for values, got in ((scores, by_score), (transitions, by_transition)):
+        for at in np.ndindex(*values.shape):
+            kept = values[at]
+            values[at] = kept + 1e-5
+            up = likelihood(scores, transitions)
+            values[at] = kept - 1e-5
+            down = likelihood(scores, transitions)
+            values[at] = kept
+            assert abs((up - down) / 2e-5 - got[at]) < 1e-6
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{FIXTURE}/documents.parquet")
     lang = {r["doc_id"]: (r["lang"], r["text"]) for r in docs.collect()}
