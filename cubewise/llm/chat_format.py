@@ -23,13 +23,15 @@ does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 ESCAPES = [("\\", "\\0"), ("<|", "\\1")]
 ROLE_ESCAPES = [*ESCAPES, ("\n", "\\2")]
 LOSS_ROLE = "assistant"
+# Code points of a block that are read at a time.
+PIECE = 1024
 
 
 def escape(text: Column, codes: list[tuple[str, str]] = ESCAPES) -> Column:
@@ -50,15 +52,18 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
                          role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, formatted string, loss_spans array<array<struct<start,length>>>),
     one row a conversation; loss_spans has one entry a block."""
+    # Code points (and separators) of the conversation's turns before each one; the
+    # window, the grouping and their one exchange are by conversation.
+    earlier = (Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+               .rowsBetween(Window.unboundedPreceding, -1))
     collected = (
         turns.select(
-            F.col(conv_col).alias("conv_id"),
-            F.struct(
-                F.col(turn_col).alias("turn"),
-                escape(F.coalesce(F.col(role_col), F.lit("")), ROLE_ESCAPES).alias("role"),
-                escape(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
-            ).alias("t"))
-        .groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns")))
+            F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
+            escape(F.coalesce(F.col(role_col), F.lit("")), ROLE_ESCAPES).alias("role"),
+            escape(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+        .withColumn("before", F.coalesce(F.sum(F.char_length("text") + len(SEPARATOR)).over(earlier), F.lit(0)))
+        .groupBy("conv_id")
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "before"))).alias("turns")))
 
     # A block begins wherever the role differs from the turn before.
     begins = F.filter(
@@ -68,24 +73,20 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     merged = F.transform("begins", lambda b, n: F.struct(
         F.get("turns", b)["role"].alias("role"),
         F.transform(F.sequence(b, F.coalesce(F.get("begins", n + 1), F.size("turns")) - 1),
-                    lambda i: F.get("turns", i)["text"]).alias("texts")))
+                    lambda i: F.get("turns", i)["text"]).alias("texts"),
+        F.transform(F.sequence(b, F.coalesce(F.get("begins", n + 1), F.size("turns")) - 1),
+                    lambda i: F.get("turns", i)["before"] - F.get("turns", b)["before"]).alias("before")))
 
     def head(block: Column) -> Column:
         return F.concat(F.lit(START), block["role"], F.lit("\n"))
 
     text = F.array_join(F.transform("merged", lambda b: F.concat(
         head(b), F.array_join(b["texts"], SEPARATOR), F.lit(END + "\n"))), "")
-    # Starts of a block's texts: sums of the lengths before, folded over the block.
+    # A text starts after the head and the texts before it in its block.
     spans = F.transform("merged", lambda b: F.when(
         F.lit(LOSS_ROLE) == b["role"],
-        F.aggregate(
-            F.transform(b["texts"], F.char_length),
-            F.struct(F.char_length(head(b)).alias("at"),
-                     F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-            lambda acc, n: F.struct(
-                (acc["at"] + n + len(SEPARATOR)).alias("at"),
-                F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), n.alias("length")))).alias("spans")),
-            lambda acc: acc["spans"]))
+        F.zip_with(b["before"], b["texts"], lambda before, t: F.struct(
+            (F.char_length(head(b)) + before).cast("int").alias("start"), F.char_length(t).alias("length"))))
         .otherwise(F.array().cast("array<struct<start:int,length:int>>")))
 
     return (collected
@@ -101,19 +102,35 @@ def split_blocks(formatted: Column) -> Column:
 
 def read_turns(blocks: Column) -> Column:
     """The turns in split blocks: array<struct<role, text>>."""
-    def turns_of(block: Column) -> Column:
-        role = unescape(F.substring_index(F.substring(block, len(START) + 1, 1 << 30), "\n", 1), ROLE_ESCAPES)
-        body = F.substring(block, F.locate("\n", block) + 1, F.lit(1 << 30))
-        return F.transform(F.split(body, _literal(SEPARATOR)),
-                           lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
+    def role(block: Column) -> Column:
+        return unescape(F.substring_index(F.substring(block, len(START) + 1, 1 << 30), "\n", 1), ROLE_ESCAPES)
+
+    def texts(block: Column) -> Column:
+        return F.split(F.substring(block, F.locate("\n", block) + 1, F.lit(1 << 30)), _literal(SEPARATOR))
 
-    return F.flatten(F.transform(blocks, turns_of))
+    # Both are taken once a block, not once a turn.
+    return F.flatten(F.zip_with(F.transform(blocks, role), F.transform(blocks, texts), lambda r, ts: F.transform(
+        ts, lambda t: F.struct(r.alias("role"), unescape(t).alias("text")))))
 
 
 def read_loss_text(blocks: Column, loss_spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.flatten(F.zip_with(blocks, loss_spans, lambda block, spans: F.transform(
-        spans, lambda s: unescape(F.substring(block, s["start"] + 1, s["length"]))))), "")
+    """All text under the loss mask, unescaped, nothing between. Blocks are cut into
+    pieces first: taking a span from a whole block would count its code points from
+    the block's start."""
+    def pieces(block: Column) -> Column:
+        return F.regexp_extract_all(block, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def span_text(cut: Column, start: Column, length: Column) -> Column:
+        first, end = F.floor(start / PIECE).cast("int"), start + length
+        last = F.floor((end - 1) / PIECE).cast("int")
+        parts = F.transform(F.sequence(first, F.greatest(first, last)), lambda k: F.substring(
+            F.get(cut, k), F.greatest(start - k * PIECE, F.lit(0)) + 1,
+            F.least(end - k * PIECE, F.lit(PIECE)) - F.greatest(start - k * PIECE, F.lit(0))))
+        return F.array_join(parts, "")
+
+    marked = F.zip_with(blocks, loss_spans, lambda block, spans: F.when(F.size(spans) > 0, pieces(block)))
+    return F.array_join(F.flatten(F.zip_with(marked, loss_spans, lambda cut, spans: F.transform(
+        spans, lambda s: unescape(span_text(cut, s["start"], s["length"]))))), "")
 
 
 def _literal(marker: str) -> str:

@@ -63,6 +63,13 @@ def test_many_turns_of_one_role(spark, docs_of):
     assert run(spark, rows) == by_hand(rows)
 
 
+def test_spans_across_pieces(spark, docs_of):
+    rng = random.Random(9)
+    rows = [(c, n, "assistant", "".join(rng.choice("aé\U0001f600<|\n") for _ in range(rng.choice([0, 1, 5, C.PIECE, 3 * C.PIECE]))))
+            for c in range(6) for n in range(30)]
+    assert run(spark, rows) == by_hand(rows)
+
+
 def test_spans_mark_assistant_texts_only(spark, docs_of):
     rows = [(3, 0, "user", "q<|"), (3, 1, "assistant", "a\\"), (3, 2, "assistant", "b"), (3, 3, "user", "c")]
     (row,) = C.format_conversations(table(spark, rows)).select("formatted", "loss_spans").collect()
