@@ -28,8 +28,10 @@ columns are dropped.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,14 @@ from cubewise.llm.common import LAST_ID, text_or_empty
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 150
+CALIBRATION_PER_LANGUAGE = 50
 LEXICON_WORDS = 4000  # a language
 FEATURES = 1 << 15
+TRIGRAMS = 1 << 20
+# Words of the language and seen trigrams that a text is taken to have besides its own, so that a short
+# one is not judged by two or three.
+PRIOR_WORDS = 6
+PRIOR_TRIGRAMS = 6
 SEQUENCE_WORDS = 64
 SEQUENCES = 2400
 BATCH = 48
@@ -93,6 +101,17 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray
     return np.concatenate([*flat, known[:, 0]]), np.concatenate([*of, known[:, 1]])
 
 
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed trigram of ``<word>``, word number) pairs of all the words at once."""
+    marked = [f"<{w}>" for w in words]
+    size = np.array([len(m) for m in marked], np.int64)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), size)
+    at = np.flatnonzero(np.cumsum(size)[owner] - np.arange(len(codes)) >= 3)
+    h = (codes[at] << np.uint64(42) | codes[at + 1] << np.uint64(21) | codes[at + 2]) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(44)).astype(np.int64) % TRIGRAMS, owner[at]
+
+
 class RowNumbers(dict):
     """word -> its row; words asked for the first time are listed in ``new``."""
 
@@ -114,14 +133,22 @@ class Model:
         self.lexicon = lexicon
         self.weights = weights
         self.transitions = transitions
+        self.learn_trigrams(np.empty(0, np.int64))
+
+    def learn_trigrams(self, seen: np.ndarray) -> None:
+        """Numbers of the trigrams that the learned texts have (for ``familiarity``)."""
+        self.seen = np.zeros(TRIGRAMS, bool)
+        self.seen[seen] = True
         self.memory = RowNumbers()
-        self.scores = np.zeros((1024, len(labels)))
+        self.scores = np.zeros((1024, len(self.labels)))
+        self.shared = np.zeros((1024, 2))  # a word's trigrams: seen, all
 
     def __getstate__(self) -> tuple:
-        return self.labels, self.lexicon, self.weights.astype(np.float32), self.transitions
+        return self.labels, self.lexicon, self.weights.astype(np.float32), self.transitions, np.flatnonzero(self.seen)
 
     def __setstate__(self, state: tuple) -> None:
-        self.__init__(*state)
+        self.__init__(*state[:4])
+        self.learn_trigrams(state[4])
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row numbers in ``scores`` of the words' label scores."""
@@ -133,12 +160,18 @@ class Model:
         if memory.new:
             while len(memory) > len(self.scores):
                 self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
+                self.shared = np.concatenate((self.shared, np.zeros_like(self.shared)))
             for at in range(0, len(memory.new), NEW_WORDS):
                 part = memory.new[at:at + NEW_WORDS]
                 flat, owner = word_features(part, self.lexicon)
+                judged = self.seen.any()
                 for label in range(len(self.labels)):
                     self.scores[known + at:known + at + len(part), label] = np.bincount(
                         owner, self.weights[flat, label], len(part))
+                if judged:
+                    gram, owner = trigrams(part)
+                    self.shared[known + at:known + at + len(part), 0] = np.bincount(owner, self.seen[gram], len(part))
+                    self.shared[known + at:known + at + len(part), 1] = np.bincount(owner, minlength=len(part))
             memory.new.clear()
         return out
 
@@ -317,6 +350,56 @@ def fit(sample: list[tuple[str, str]], seed: int = 0) -> Model | None:
     return model
 
 
+def familiarity(model: Model, texts: list[list[str]]) -> np.ndarray:
+    """For each text's words the share of trigrams that the learned texts have."""
+    rows = model.rows([w for t in texts for w in t])  # which may enlarge the tables
+    counts = model.shared[rows]
+    ends = np.cumsum([len(t) for t in texts])
+    sums = np.concatenate((np.zeros((1, 2)), np.cumsum(counts, axis=0)))
+    of_text = sums[ends] - sums[ends - [len(t) for t in texts]] + PRIOR_TRIGRAMS
+    return of_text[:, 0] / of_text[:, 1]
+
+
+class Bounds(NamedTuple):
+    """What a text must reach to count as one of a learned language."""
+
+    score: float
+    familiar: dict[str, float]
+
+    def reached(self, lang: str, score: float, words: int, familiar: float) -> bool:
+        return (lang != UNDETERMINED and (score * words + PRIOR_WORDS) / (words + PRIOR_WORDS) >= self.score
+                and familiar >= self.familiar.get(lang, 0.0))
+
+
+def calibrate(model: Model, learned: list[tuple[str, str]], rows: list[tuple[str, str]]) -> Bounds:
+    """Bounds from labelled rows that the model has not learned from: the score
+    halfway between 1/K (no language of K) and their smallest; for each language half
+    their smallest familiarity, none where there is no such row."""
+    model.learn_trigrams(np.concatenate([trigrams(words_of(text))[0] for text, _ in learned]))
+    texts = [w for w in (words_of(text) for text, _ in rows) if w]
+    shares = [m.mean(axis=0) for m in label_words(model, texts)]
+    known: dict[str, float] = {}
+    for share, value in zip(shares, familiarity(model, texts).tolist(), strict=True):
+        label = model.labels[int(share.argmax())]
+        known[label] = min(known.get(label, 1.0), value / 2)
+    chance = 1 / len(model.labels)
+    least = min([float(s.max()) for s in shares], default=chance)
+    return Bounds((chance + least) / 2 if len(model.labels) > 1 else 0.0, known)
+
+
+def fit_calibrated(rows: list[tuple[str, str]]) -> tuple[Model | None, Bounds | None]:
+    """Fit to three of four rows of each language, in the order of a hash of the
+    text; calibrate on the others."""
+    learned, others = [], []
+    for label in sorted({label for _, label in rows}):
+        own = sorted((zlib.crc32(text.encode("utf-8", "surrogatepass")), text) for text, of in rows if of == label)
+        cut = -(-3 * len(own) // 4)
+        learned += [(text, label) for _, text in own[:cut]]
+        others += [(text, label) for _, text in own[cut:]]
+    model = fit(learned)
+    return model, calibrate(model, learned, others) if model else None
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that the model must not learn from: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -349,11 +432,13 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return [(r["text"], r["lang"]) for r in sorted(rows.select("lang", "h", "text").collect())]
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """docs' columns as _0, _1, ... (so that no name clashes), lang_pred and score."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", bounds: Bounds | None = None) -> DataFrame:
+    """docs' columns as _0, _1, ... (so that no name clashes), lang_pred, score and,
+    given bounds, whether the text reaches them."""
     names = docs.columns
     kinds = [f"`_{n}` {t}" for n, (_, t) in enumerate(docs.dtypes)]
     text_at = names.index(text_col)
+    added = ["lang_pred", "score", "identified"] if bounds else ["lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 200):
@@ -368,17 +453,21 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
                 best = int(share.argmax())
                 langs.append(model.labels[best])
                 scores.append(min(1.0, float(share[best])))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[f"_{n}" for n in range(len(names))] + ["lang_pred", "score"])
-
+            columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            if bounds:
+                known = familiarity(model, texts).tolist()
+                columns.append(pa.array([bounds.reached(lang, score, len(t), k) for lang, score, t, k
+                                         in zip(langs, scores, texts, known, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f"_{n}" for n in range(len(names))] + added)
+
+    kinds += ["lang_pred string", "score double", "identified boolean"][:len(added)]
     return (docs.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(names)])
-            .mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"])))
+            .mapInArrow(run, ", ".join(kinds)))
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose language is determined with at least this score."""
-    kept = predict(docs, model, text_col).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+def keep_identified(docs: DataFrame, model: Model, bounds: Bounds, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text reaches the bounds of a learned language."""
+    kept = predict(docs, model, text_col, bounds).where("identified")
     return kept.select(*[F.col(f"_{n}").alias(c) for n, c in enumerate(docs.columns)])
 
 

@@ -142,6 +142,30 @@ def test_every_letter_of_a_long_run_counts():
     assert model.labels[int(share.argmax())] == "b"
 
 
+def test_bounds_reject_what_no_learned_language_accounts_for(spark, docs_of):
+    docs = spark.read.parquet(f"{FIXTURE}/documents.parquet")
+    model, bounds = L.fit_calibrated(L.sample(docs, per_language=200))
+    foreign = {
+        -1: "Příliš žluťoučký kůň úpěl ďábelské ódy v noci na jaře a v létě", -2: "asdkjh qwoieu zxmcnb qpwoei alskdj zmxncb",
+        -3: "Быстрая коричневая лиса прыгает через ленивую собаку", -4: "这是一个中文的句子 我们正在测试语言识别",
+        -5: "Hyvää päivää kaikille ystäville jotka asuvat tässä kaupungissa nyt", -6: "12 + 3", -7: None}
+    clean = [(r["doc_id"], r["text"]) for r in docs.collect() if L.words_of(r["text"] or "")] + [(10 ** 6, "Ok")]
+    kept = L.keep_identified(docs_of([*clean, *foreign.items()]), model, bounds)
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert not ids & foreign.keys()
+    assert len(ids) >= 0.99 * len({i for i, _ in clean}) and 10 ** 6 in ids
+
+
+def test_familiarity_by_hand():
+    model = L.Model(["a"], {}, np.zeros((L.FEATURES, 1)), np.zeros((1, 1)))
+    model.learn_trigrams(L.trigrams(["one", "two"])[0])
+    known = {"<on", "one", "ne>", "<tw", "two", "wo>"}
+    texts = [["one", "three"], [], ["x"], ["two", "tone", "one"]]
+    for text, value in zip(texts, L.familiarity(model, texts).tolist(), strict=True):
+        grams = [f"<{w}>"[i:i + 3] for w in text for i in range(len(w))]
+        assert value == (sum(g in known for g in grams) + L.PRIOR_TRIGRAMS) / (len(grams) + L.PRIOR_TRIGRAMS)
+
+
 def test_segments(spark):
     docs = spark.read.parquet(f"{FIXTURE}/documents.parquet")
     model = L.fit(L.sample(docs))
