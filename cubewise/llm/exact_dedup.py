@@ -10,8 +10,9 @@ Rows with equal length and fingerprints are then compared for real: the rows
 of such a group are cut into chunks again, each chunk is joined with the same
 chunk of the group's first row, and a row is a copy if all its chunks are equal.
 Rows that differ (a collision) form groups of their own in the next round, until
-none differs. Only texts of groups with several rows are moved, a chunk at a
-time; a group of any size meets its first row by a join that Spark can split.
+none differs. A Bloom filter of the ids to compare keeps the other texts from being
+hashed again or moved; of a group's texts a chunk at a time is moved, and a group of
+any size meets its first row by a join that Spark can split.
 
 Defined cases: a null text counts as empty; empty texts equal one another (a
 text of white space alone equals a single space); a repeated row (same id, same
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubewise.llm.bloom import keys_filter, split_rows
 from cubewise.llm.byte_bpe import small_batches
 from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
 
@@ -121,16 +123,17 @@ PRINT = ["length", "hash1", "hash2"]
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """(doc_id, rank, text_sha256, n, keep_rank, group_size): one row for each
-    (id, text) with the number n of such rows, its class's first rank and the
-    class's rows."""
+    """(doc_id, rank, text_sha256, n, compared, keep_rank, class_text): one row for
+    each (id, text) with the number n of such rows, whether its fingerprint is
+    shared, and its class's first rank and text."""
     rows = stored(fingerprints(docs, id_col, text_col, primes)
                   .groupBy("doc_id", "rank", *PRINT, "text_sha256").agg(F.count("*").alias("n")), "fingerprints")
     several = (rows.groupBy(*PRINT).agg(F.min("rank").alias("first"), F.count("*").alias("rows"))
                .where("rows > 1").drop("rows"))
     # Ids (not texts) of the rows to compare; the text comes with the row itself.
-    to_compare = rows.join(several, PRINT).select("rank", *PRINT, "first").distinct()
-    bodies = fingerprints(docs, id_col, text_col, primes, texts=True)
+    to_compare = stored(rows.join(several, PRINT).select("rank", *PRINT, "first").distinct(), "to_compare")
+    among = keys_filter(to_compare.select("rank"))
+    bodies = fingerprints(docs.where(among(id_order(F.col(id_col)))), id_col, text_col, primes, texts=True)
     pieces = stored(
         bodies.join(to_compare, ["rank", *PRINT])
         .select("rank", "first", *PRINT, F.sha2("body", 256).alias("text_sha256"), "body")
@@ -141,6 +144,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("rank", "first", *PRINT, "text_sha256", "c.at", "c.chunk"), "pieces")
     settled = compare(pieces)
     return (rows.join(settled, ["rank", *PRINT, "text_sha256"], "left")
+            .withColumn("compared", F.col("class_rank").isNotNull())
             .withColumn("keep_rank", F.coalesce("class_rank", "rank"))
             .withColumn("class_text", F.coalesce("class_text", "text_sha256"))
             .drop("class_rank"))
@@ -173,11 +177,18 @@ def compare(pieces: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 primes: tuple[int, int] = PRIMES) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row a document."""
-    rows = classes(docs, id_col, text_col, primes)
-    groups = rows.groupBy("keep_rank", "class_text").agg(F.sum("n").alias("group_size"))
+    return fates(classes(docs, id_col, text_col, primes))
+
+
+def fates(rows: DataFrame) -> DataFrame:
+    """``deduplicate``'s rows from those of ``classes``. Rows whose fingerprint is
+    theirs alone need no join with their group's size."""
+    alone, grouped = rows.where("not compared"), rows.where("compared")
+    groups = grouped.groupBy("keep_rank", "class_text").agg(F.sum("n").alias("group_size"))
+    sized = (grouped.join(groups, ["keep_rank", "class_text"])
+             .unionByName(alone.withColumn("group_size", F.col("n"))))
     id_type = dict(rows.dtypes)["doc_id"]
-    return (rows.join(groups, ["keep_rank", "class_text"])
-            .select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("nth"))
+    return (sized.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("nth"))
             .select("doc_id",
                     F.when(F.col("keep_rank") != LAST_ID, F.col("keep_rank")).cast(id_type).alias("keep_id"),
                     "group_size",
@@ -188,9 +199,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns. Equal rows of one id
     and text are reduced to one."""
-    kept = deduplicate(docs, id_col, text_col).where("kept").select(
-        F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("rank"), F.col("text_sha256").alias("sha"))
+    rows = stored(classes(docs, id_col, text_col), "classes")
+    kept = fates(rows).where("kept").select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("rank"), F.col("text_sha256").alias("sha"))
     doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
     body = F.regexp_replace(text_or_empty(text), "[\\x20\\x09-\\x0D]+", " ")
-    return by_name(by_number(docs).withColumn("rank", id_order(doc_id)).withColumn("sha", F.sha2(F.encode(body, "UTF-8"), 256))
-                   .join(kept, ["rank", "sha"], "left_semi").dropDuplicates(["rank", "sha"]), docs)
+    # Rows that share neither text nor id and text stay where they are.
+    single, contested = split_rows(by_number(docs), id_order(doc_id), rows.where("compared or n > 1").select("rank"))
+    judged = (contested.withColumn("rank", id_order(doc_id)).withColumn("sha", F.sha2(F.encode(body, "UTF-8"), 256))
+              .join(kept, ["rank", "sha"], "left_semi").dropDuplicates(["rank", "sha"]).drop("rank", "sha"))
+    return by_name(single.unionByName(judged), docs)
