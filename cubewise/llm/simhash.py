@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubewise.llm.bloom import split_rows
 from cubewise.llm.byte_bpe import small_batches
 from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
 from cubewise.llm.components import components
@@ -236,10 +237,15 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row of docs for each component, that of its smallest id, with all its
     columns (of rows that share the id, as of rows without one, the smallest text
     hash)."""
-    stay = (near_duplicates(docs, id_col, text_col).where("rank = component_rank")
-            .groupBy("component").agg(F.min("rank").alias("rank"), F.min("text_hash").alias("text_hash"))
-            .select("rank", "text_hash"))
-    rows = by_number(docs)
+    found = stored(near_duplicates(docs, id_col, text_col).select("rank", "text_hash", "component", "component_rank"), "found")
+    heads = (found.where("rank = component_rank")
+             .groupBy("component").agg(F.min("rank").alias("rank"), F.min("text_hash").alias("text_hash"), F.count("*").alias("n")))
+    # Rows alone in their component stay where they are.
+    linked = found.where("rank <> component_rank")
+    several = (linked.select("rank").unionByName(linked.select(F.col("component_rank").alias("rank")))
+               .unionByName(heads.where("n > 1").select("rank")).distinct())
     doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
-    return by_name(rows.withColumn("rank", id_order(doc_id)).withColumn("text_hash", F.xxhash64(text_or_empty(text)))
-                   .join(stay, ["rank", "text_hash"], "left_semi").dropDuplicates(["rank", "text_hash"]), docs)
+    single, contested = split_rows(by_number(docs), id_order(doc_id), several)
+    judged = (contested.withColumn("rank", id_order(doc_id)).withColumn("text_hash", F.xxhash64(text_or_empty(text)))
+              .join(heads, ["rank", "text_hash"], "left_semi").dropDuplicates(["rank", "text_hash"]).drop("rank", "text_hash"))
+    return by_name(single.unionByName(judged), docs)
