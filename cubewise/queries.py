@@ -50,6 +50,7 @@ from cubewise.sources.jsonstat import (
     parse_documents,
     read_documents,
     read_jsonstat,
+    read_jsonstat_cells,
     validate_jsonstat,
 )
 from cubewise.streaming.incremental import OtherSide, read_partitioned, start_incremental
@@ -747,6 +748,39 @@ ORACLE["jsonstat_rejected"] = O.with_base("""
   GROUP BY 1""")
 
 
+def _write_awkward_cubes(spark, sf_dir) -> str:
+    """Cubes whose ``value`` is an object by position in even years; in odd years it is
+    an array in which every figure 2 is suppressed (a text cell)."""
+    docs = parse_documents(cube_documents(applications(spark, sf_dir)), doc_col="doc_year").withColumnRenamed("doc", "year")
+    keyed = F.col("result").withField("value", F.map_from_arrays(
+        F.transform(F.sequence(F.lit(0), F.size("result.value") - 1), lambda i: i.cast("string")), F.col("result.value")))
+    form = {"ignoreNullFields": "false"}
+    as_object = F.to_json(F.struct(keyed.alias("result")), form)
+    as_array = F.regexp_replace(F.to_json(F.struct("result"), form), r"(?<=[\[,])2\.0(?=[,\]])", '".."')
+    path = scratch_path(spark, "cubes_awkward")
+    docs.select(F.when(F.col("year").cast("int") % 2 == 0, as_object).otherwise(as_array).alias("json")).write.text(path)
+    return path
+
+
+def q_jsonstat_cells(spark, sf_dir):
+    """Cubes of both forms of ``value``, some cells text: the rows of all figures."""
+    rows, _faults, _rejected = read_jsonstat_cells(spark, _write_awkward_cubes(spark, sf_dir), layout="lines")
+    return to_snake_case(rows.drop("doc"))
+
+
+def q_jsonstat_cell_faults(spark, sf_dir):
+    """The same cubes' cells that are no figures, each with its labels."""
+    _rows, faults, _rejected = read_jsonstat_cells(spark, _write_awkward_cubes(spark, sf_dir), layout="lines")
+    return to_snake_case(faults.drop("doc", "UNIT"))
+
+
+QUERIES |= {"jsonstat_cells": q_jsonstat_cells, "jsonstat_cell_faults": q_jsonstat_cell_faults}
+_SUPPRESSED = 'CAST(substr("month", 1, 4) AS INTEGER) % 2 = 1 AND "value" = 2'
+ORACLE["jsonstat_cells"] = O.with_base(f"SELECT * FROM ({_CUBE_SQL}) x WHERE NOT ({_SUPPRESSED})")
+ORACLE["jsonstat_cell_faults"] = O.with_base(f"""
+  SELECT * EXCLUDE ("value", unit), '".."' AS cell FROM ({_CUBE_SQL}) x WHERE {_SUPPRESSED}""")
+
+
 def q_reingest_latest_wins(spark, sf_dir):
     """Full extract landed as batch 0001, then a revised re-extract of one
     statistic (values + 1) as batch 0002; the load keeps, per key, the rows

@@ -135,6 +135,11 @@ JSONSTAT_SCHEMA = T.StructType([
     ]), True),
 ])
 
+# The same with ``value`` in either form (array or object by position), untyped.
+CELLS_SCHEMA = T.StructType([T.StructField("result", T.StructType([
+    T.StructField("value", T.VariantType(), True) if f.name == "value" else f
+    for f in JSONSTAT_SCHEMA["result"].dataType.fields]), True)])
+
 # Grain keys of the two facts (aggregate keys == join keys, see facts.py).
 COUNTY_KEYS = ["year", "month", "county", "test_category"]
 CENTRE_KEYS = ["year", "month", "county", "test_centre", "test_category"]

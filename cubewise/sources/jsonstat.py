@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubewise.schemas import (
+    CELLS_SCHEMA,
     CUBE_CATEGORY_COLUMN,
     CUBE_CENTRE_COLUMN,
     CUBE_STATISTIC_COLUMN,
@@ -108,6 +109,13 @@ def flatten_cube(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     A requested column that no dimension maps to is NULL; when two
     dimensions map to the same column the later one wins.
     """
+    cells = (_prepared(valid, columns).select("*", F.posexplode("value").alias("pos", "v"))
+             .filter(F.col("pos") < F.col("n_cells")))
+    return cells.select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(F.col("v")).alias("VALUE"))
+
+
+def _prepared(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """doc, value, n_cells and, for each column, its dimension's labels, stride and size."""
     r = F.col("result")
     ids, size = r["id"], r["size"]
     n = F.size(ids)
@@ -125,18 +133,75 @@ def flatten_cube(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.get(strides, i).alias(f"stride_{k}"),
             F.get(size, i).alias(f"size_{k}"),
         ]
-    prepared = valid.select(*meta)
-    cells = (prepared.select("*", F.posexplode("value").alias("pos", "v"))
-             .filter(F.col("pos") < F.col("n_cells")))
+    return valid.select(*meta)
+
+
+def _labelled(columns: Sequence[str]) -> list[Column]:
+    """doc and the labels of the cell at ``pos``."""
     out = [F.col("doc")]
     for k, c in enumerate(columns):
         labels = F.col(f"labels_{k}")
         idx = F.pmod(F.floor(F.col("pos") / F.col(f"stride_{k}")), F.col(f"size_{k}")).cast("int")
         label = F.when(idx < F.size(labels), F.get(labels, idx)).otherwise(F.lit(UNKNOWN_LABEL))
         out.append(F.when(labels.isNotNull(), label).alias(c))
-    value = F.coalesce(F.nanvl(F.col("v"), F.lit(0.0)), F.lit(0.0)).try_cast("bigint")
-    out += [F.lit(UNIT_LABEL).alias("UNIT"), value.alias("VALUE")]
-    return cells.select(*out)
+    return out
+
+
+def _counted(v: Column) -> Column:
+    return F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0)).try_cast("bigint")
+
+
+def parse_cells(docs: DataFrame, json_col: str = "json", doc_col: str = "doc") -> DataFrame:
+    """As ``parse_documents``, but ``value`` is kept as it came (a VARIANT). A value
+    that is neither an array nor an object counts as none."""
+    parsed = F.from_json(F.col(json_col), CELLS_SCHEMA)
+    value = parsed["result"]["value"]
+    listed = (F.try_variant_get(value, "$", "array<variant>").isNotNull()
+              | F.try_variant_get(value, "$", "map<string,variant>").isNotNull())
+    return docs.select(F.col(doc_col).alias("doc"),
+                       parsed["result"].withField("value", F.when(listed, value)).alias("result"))
+
+
+def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Valid documents of ``parse_cells`` -> doc, <columns...>, UNIT, VALUE (bigint),
+    CELL (string).
+
+    ``value`` is an array, or an object of cells by position (``{"7": 1.5}``), whose
+    absent positions have no row, like those past a short array. CELL is NULL for a
+    number or a null (which counts 0); any other cell is no figure, so its VALUE is
+    NULL and CELL holds it as written. A key that is no position gives a row without
+    labels, CELL holding key and cell. Cells beyond ``product(size)`` are ignored.
+    """
+    listed = F.try_variant_get("value", "$", "array<variant>")
+    keyed = F.try_variant_get("value", "$", "map<string,variant>")
+    entries = F.coalesce(F.transform(listed, lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value"))),
+                         F.map_entries(keyed))
+    cells = (_prepared(valid, columns).select("*", F.explode(entries).alias("entry"))
+             .withColumn("pos", F.when(F.col("entry.key").rlike("^[0-9]+$"), F.col("entry.key").try_cast("bigint")))
+             .filter(F.col("pos").isNull() | (F.col("pos") < F.col("n_cells"))))
+    cell = F.col("entry.value")
+    # The array form's JSON null is a VARIANT null.
+    empty = cell.isNull() | F.is_variant_null(cell)
+    number = F.schema_of_variant(cell).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    faulty = F.col("pos").isNull() | ~(empty | number)
+    written = F.to_json(cell)
+    columns_out = [c if n == 0 else F.when(F.col("pos").isNotNull(), c).alias(columns[n - 1])
+                   for n, c in enumerate(_labelled(columns))]
+    return cells.select(
+        *columns_out, F.lit(UNIT_LABEL).alias("UNIT"),
+        F.when(~faulty, _counted(F.when(number, F.try_variant_get(cell, "$", "double")))).alias("VALUE"),
+        F.when(F.col("pos").isNull(), F.concat(F.col("entry.key"), F.lit(": "), F.coalesce(written, F.lit("null"))))
+        .when(faulty, written).alias("CELL"))
+
+
+def read_jsonstat_cells(spark: SparkSession, path: str | list[str], columns: Sequence[str] = tuple(CENTRE_COLUMNS),
+                        layout: str = "file") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Landed JSON-stat documents of either form of ``value`` -> (long rows, cells that
+    are no figures, rejected documents). One cell that is text costs that cell, not
+    its document."""
+    valid, rejected = validate_jsonstat(parse_cells(read_documents(spark, path, layout)))
+    cells = flatten_cells(valid, columns)
+    return cells.filter("CELL IS NULL").drop("CELL"), cells.filter("CELL IS NOT NULL").drop("VALUE"), rejected
 
 
 def read_jsonstat(spark: SparkSession, path: str | list[str], columns: Sequence[str] = tuple(CENTRE_COLUMNS),
