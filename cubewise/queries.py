@@ -53,6 +53,7 @@ from cubewise.sources.jsonstat import (
     read_jsonstat_cells,
     validate_jsonstat,
 )
+from cubewise.sources.jsonstat_split import read_jsonstat_split
 from cubewise.streaming.incremental import OtherSide, read_partitioned, start_incremental
 from cubewise.streaming.months import MonthStore
 from cubewise.streaming.quality_months import kept_report, refresh_checks
@@ -781,6 +782,20 @@ ORACLE["jsonstat_cell_faults"] = O.with_base(f"""
   SELECT * EXCLUDE ("value", unit), '".."' AS cell FROM ({_CUBE_SQL}) x WHERE {_SUPPRESSED}""")
 
 
+def q_jsonstat_split(spark, sf_dir):
+    """One national cube a year, one document a file, its cells parsed by byte ranges."""
+    national = applications(spark, sf_dir).withColumn("n_nationkey", F.lit(0)).withColumn("doc_block", F.lit(0))
+    path = scratch_path(spark, "cubes_national")
+    cube_documents(national).select("json", "doc_year").write.partitionBy("doc_year").text(path)
+    rows, _rejected = read_jsonstat_split(spark, path)
+    return to_snake_case(rows.drop("doc"))
+
+
+QUERIES["jsonstat_split"] = q_jsonstat_split
+ORACLE["jsonstat_split"] = O.with_base("SELECT * FROM (" + _CUBE_SQL.replace(
+    "SELECT n_nationkey AS dn,", "SELECT 0 AS dn,").replace("doc_block AS db", "0 AS db") + ") x")
+
+
 def q_reingest_latest_wins(spark, sf_dir):
     """Full extract landed as batch 0001, then a revised re-extract of one
     statistic (values + 1) as batch 0002; the load keeps, per key, the rows
