@@ -24,6 +24,7 @@ from cubewise.plans.cube_docs import cube_documents
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
 from cubewise.plans.landing import land_county_file, land_cube, load_county_checked, load_county_raw
 from cubewise.plans.quality_suite import COUNTY_GRAIN, QUALITY_SUITE, STG_NOT_NULL, suite_report
+from cubewise.plans.serving_store import Serving, refresh_serving, store_schema
 from cubewise.plans.staging import stage_centre_stats, stage_county_stats
 from cubewise.plans.warehouse import build_warehouse
 from cubewise.schemas import (
@@ -956,7 +957,46 @@ def q_dq_refreshed(spark, sf_dir):
     return kept_report(spark, kept, "county_fact", checks)
 
 
+def _serving(spark, fact) -> Serving:
+    """A store of a fact's sums: filled from a fact whose figures before 2021 were
+    one too high and whose later months were missing, then refreshed for those months."""
+    path = scratch_path(spark, "serving store")
+    fact = publish(fact, scratch_path(spark, "served fact"), ("year",))
+    spoilt = fact.where("date_month is null or date_month < '2022-01-01'").withColumn(
+        "applications_received", F.when(F.col("date_month") < "2021-01-01", F.col("applications_received") + 1)
+        .otherwise(F.col("applications_received")))
+    refresh_serving(spoilt, path)
+    months = [str(r[0]) for r in fact.select("date_month").where("date_month < '2021-01-01' or date_month >= '2022-01-01'")
+              .distinct().collect()]  # bounded by the calendar
+    refresh_serving(fact, path, months)
+    return Serving(spark, path, store_schema(fact))
+
+
+def q_serving_scorecards(spark, sf_dir):
+    return _serving(spark, centre_fact_df(spark, sf_dir)).scorecards(**DASHBOARD_FILTER)
+
+
+def q_serving_top10(spark, sf_dir):
+    return _serving(spark, centre_fact_df(spark, sf_dir)).top_centres("applicants_waiting", 10)
+
+
+def q_serving_series(spark, sf_dir):
+    """Three chart series of the county fact, from one store."""
+    store, measures = _serving(spark, county_fact_df(spark, sf_dir)), ["applications_received", "tests_delivered", "no_shows"]
+    series = [store.measure_by([d], measures).select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("label"), *measures)
+              for d in ("test_category", "date_month", "county")]
+    return series[0].unionByName(series[1]).unionByName(series[2])
+
+
+def q_serving_rollup(spark, sf_dir):
+    return _serving(spark, county_fact_df(spark, sf_dir)).yearly_rollup("county")
+
+
 QUERIES.update({
+    "serving_scorecards": q_serving_scorecards,
+    "serving_top10": q_serving_top10,
+    "serving_series": q_serving_series,
+    "serving_rollup": q_serving_rollup,
     "dq_refreshed": q_dq_refreshed,
     "load_quarantine": q_load_quarantine,
     "landing_retried": q_landing_retried,
@@ -971,6 +1011,17 @@ QUERIES.update({
     "text_round_trip": q_text_round_trip,
 })
 ORACLE.update({
+    "serving_scorecards": ORACLE["scorecards_filtered"],
+    "serving_top10": ORACLE["top10_least_waiting"],
+    "serving_series": O.with_base("\nUNION ALL\n".join(f"""
+      SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS label, CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+             SUM(tests_delivered) AS tests_delivered, SUM(no_shows) AS no_shows
+      FROM county_fact GROUP BY {d}""" for d in ("test_category", "date_month", "county"))),
+    "serving_rollup": O.with_base(f"""
+      SELECT county, year, SUM(tests_delivered) AS tests_conducted,
+             CAST(SUM(applications_received) AS BIGINT) AS applications_received,
+             {_weighted_sql('pass_rate', 'tests_delivered')} AS pass_rate
+      FROM county_fact GROUP BY county, year"""),
     "dq_refreshed": f"SELECT * FROM ({ORACLE['dq_report']}) r WHERE table_name = 'county_fact'",
     "load_quarantine": O.with_base("""
       SELECT status, COUNT(*) AS lines, CASE WHEN status = 'loaded' THEN SUM(value) END AS total FROM (

@@ -136,5 +136,5 @@ def read_jsonstat_split(spark: SparkSession, path: str | list[str], columns: Seq
              .join(labelled, PLACE).where(F.col("pos") < F.col("n_cells")).drop("block", "chunk"))
     value = F.when(F.trim("cell") != "null", F.trim("cell").try_cast("double"))
     rows = cells.select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(value).alias("VALUE"))
-    rejected = unshaped.unionByName(unread).unionByName(bad.join(unread, "doc", "left_anti"))
+    rejected = unshaped.unionByName(bad).unionByName(unread.join(bad, "doc", "left_anti"))
     return rows, rejected
