@@ -128,8 +128,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared, and its class's first rank and text."""
     rows = stored(fingerprints(docs, id_col, text_col, primes)
                   .groupBy("doc_id", "rank", *PRINT, "text_sha256").agg(F.count("*").alias("n")), "fingerprints")
-    several = (rows.groupBy(*PRINT).agg(F.min("rank").alias("first"), F.count("*").alias("rows"))
-               .where("rows > 1").drop("rows"))
+    # Stored, so that the join below has plain exchanges on both sides: only then does
+    # adaptive execution split the rows of a hot fingerprint over several tasks.
+    several = stored(rows.groupBy(*PRINT).agg(F.min("rank").alias("first"), F.count("*").alias("rows"))
+                     .where("rows > 1").drop("rows"), "several")
     # Ids (not texts) of the rows to compare; the text comes with the row itself.
     to_compare = stored(rows.join(several, PRINT).select("rank", *PRINT, "first").distinct(), "to_compare")
     among = keys_filter(to_compare.select("rank"))
