@@ -179,14 +179,15 @@ def compare(pieces: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 primes: tuple[int, int] = PRIMES) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row a document."""
-    return fates(classes(docs, id_col, text_col, primes))
+    return fates(stored(classes(docs, id_col, text_col, primes), "classes"))
 
 
 def fates(rows: DataFrame) -> DataFrame:
-    """``deduplicate``'s rows from those of ``classes``. Rows whose fingerprint is
+    """``deduplicate``'s rows from stored ones of ``classes``. Rows whose fingerprint is
     theirs alone need no join with their group's size."""
     alone, grouped = rows.where("not compared"), rows.where("compared")
-    groups = grouped.groupBy("keep_rank", "class_text").agg(F.sum("n").alias("group_size"))
+    # Stored for the same reason as the shared fingerprints in ``classes``.
+    groups = stored(grouped.groupBy("keep_rank", "class_text").agg(F.sum("n").alias("group_size")), "groups")
     sized = (grouped.join(groups, ["keep_rank", "class_text"])
              .unionByName(alone.withColumn("group_size", F.col("n"))))
     id_type = dict(rows.dtypes)["doc_id"]
