@@ -8,7 +8,7 @@ beyond that it lets more rows pass and saves less.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,9 +32,9 @@ def places(keys: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def keys_filter(keys: DataFrame, most_bits: int = MOST_BITS):
-    """A function from a Column of type long to a boolean Column, true wherever the
-    value is among ``keys`` (one column of longs, none null) and seldom elsewhere."""
+def keys_test(keys: DataFrame, most_bits: int = MOST_BITS) -> Callable[[np.ndarray], np.ndarray]:
+    """A function for tasks: of an array of longs, which are among ``keys`` (one column
+    of longs, none null), always true for those and seldom for others."""
     spark = keys.sparkSession
     count = keys.count()
     bits = 64
@@ -56,13 +56,23 @@ def keys_filter(keys: DataFrame, most_bits: int = MOST_BITS):
     array[table.column("word").to_numpy()] = table.column("value").to_numpy()
     shared = spark.sparkContext.broadcast(array.tobytes())
 
+    def inside(values: np.ndarray) -> np.ndarray:
+        filled = np.frombuffer(shared.value, np.uint64)
+        out = np.ones(len(values), bool)
+        for at in places(values, bits):
+            out &= (filled[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+
+    return inside
+
+
+def keys_filter(keys: DataFrame, most_bits: int = MOST_BITS):
+    """``keys_test`` as a function from a Column of type long to a boolean Column."""
+    inside = keys_test(keys, most_bits)
+
     @F.pandas_udf("boolean")
     def among(values: pd.Series) -> pd.Series:
-        filled = np.frombuffer(shared.value, np.uint64)
-        inside = np.ones(len(values), bool)
-        for at in places(values.to_numpy(), bits):
-            inside &= (filled[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return pd.Series(inside)
+        return pd.Series(inside(values.to_numpy()))
 
     return among
 

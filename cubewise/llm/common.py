@@ -3,8 +3,12 @@ cluster's shared folder, partition counts and row identities."""
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,37 @@ def partitions(df: DataFrame) -> int:
     return max(conf, min(size // PARTITION_BYTES, 1 << 20)) if size < 1 << 60 else conf
 
 
+# What a Python worker keeps from task to task (an operator's remembered words).
+KEPT: dict[str, dict] = {}
+
+
+def lean(run: Callable, own: str | None = None) -> Callable:
+    """A function for ``mapInArrow`` whose worker starts without what other operators
+    keep (all of ``KEPT`` but ``own``) and gives freed memory back to the system before
+    and after it: workers are used again by later stages."""
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept(own)
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
+def drop_kept(own: str | None) -> None:
+    for name, kept in KEPT.items():
+        if name != own:
+            kept.clear()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 def by_number(docs: DataFrame) -> DataFrame:
     """docs with its columns named _0, _1, ..., so that no name of an operator clashes."""
     return docs.toDF(*[f"_{n}" for n in range(len(docs.columns))])

@@ -25,16 +25,16 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubewise.llm.bloom import keys_filter, split_rows
+from cubewise.llm.bloom import keys_test, split_rows
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
+from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, lean, stored, text_or_empty
 
 # Two Mersenne-like primes below 2**31 and a base for each; a chunk's products
 # and sums stay below 2**53, where float64 arithmetic is exact.
@@ -96,15 +96,20 @@ def combine(chunks: list[tuple[int, int, int]], primes: tuple[int, int] = PRIMES
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 primes: tuple[int, int] = PRIMES, texts: bool = False) -> DataFrame:
+                 primes: tuple[int, int] = PRIMES, texts: bool = False,
+                 wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """(doc_id, rank, length, hash1, hash2) and either text_sha256 or, with
-    ``texts``, the normalised text; rank is the id with nulls last."""
+    ``texts``, the normalised text; rank is the id with nulls last. ``wanted``: of which
+    ranks rows are made (told in the same Python worker: a filter of its own would
+    take a second worker a task)."""
     fields = f"doc_id {dict(docs.dtypes)[id_col]}, rank bigint, length bigint, hash1 bigint, hash2 bigint"
     fields += ", body binary" if texts else ", text_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = chunk_table(primes)
         for batch in small_batches(batches):
+            if wanted:
+                batch = batch.filter(pa.array(wanted(batch.column(1).to_numpy(zero_copy_only=False))))
             bodies = [normalise(t) for t in batch.column(2).to_pylist()]
             prints = [combine(c, primes) for c in chunk_hashes(bodies, table, primes)]
             columns = [pa.array([p[n] for p in prints], pa.int64()) for n in range(3)]
@@ -115,7 +120,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     return (docs.select(F.col(id_col).alias("doc_id"), id_order(F.col(id_col)).alias("rank"),
                         text_or_empty(F.col(text_col)).alias("text"))
-            .mapInArrow(run, fields))
+            .mapInArrow(lean(run), fields))
 
 
 PRINT = ["length", "hash1", "hash2"]
@@ -134,8 +139,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .where("rows > 1").drop("rows"), "several")
     # Ids (not texts) of the rows to compare; the text comes with the row itself.
     to_compare = stored(rows.join(several, PRINT).select("rank", *PRINT, "first").distinct(), "to_compare")
-    among = keys_filter(to_compare.select("rank"))
-    bodies = fingerprints(docs.where(among(id_order(F.col(id_col)))), id_col, text_col, primes, texts=True)
+    inside = keys_test(to_compare.select("rank"))
+    bodies = fingerprints(docs, id_col, text_col, primes, texts=True, wanted=inside)
     pieces = stored(
         bodies.join(to_compare, ["rank", *PRINT])
         .select("rank", "first", *PRINT, F.sha2("body", 256).alias("text_sha256"), "body")

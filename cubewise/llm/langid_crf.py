@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, text_or_empty
+from cubewise.llm.common import LAST_ID, lean, text_or_empty
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 150
@@ -462,7 +462,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", bounds
 
     kinds += ["lang_pred string", "score double", "identified boolean"][:len(added)]
     return (docs.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(names)])
-            .mapInArrow(run, ", ".join(kinds)))
+            .mapInArrow(lean(run), ", ".join(kinds)))
 
 
 def keep_identified(docs: DataFrame, model: Model, bounds: Bounds, text_col: str = "text") -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import stored, text_or_empty
+from cubewise.llm.common import KEPT, lean, stored, text_or_empty
 from cubewise.llm.pretokens import ChunkMemory, as_byte_characters, id_bytes, is_plain
 
 VOCABULARY = "word_bpe_49k.json"
@@ -50,6 +50,7 @@ MEMORY_WORDS = 800_000
 ROWS_PER_SALT = 100_000
 
 _loaded: dict[tuple[str, int], WordEncoder] = {}
+KEPT["packing"] = _loaded
 
 
 class WordEncoder:
@@ -122,7 +123,8 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacit
                 columns.append(pa.array(tokens, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in fields.split(", ")])
 
-    return docs.select(F.col(id_col), text_or_empty(F.col(text_col)).alias("text")).mapInArrow(run, fields)
+    return (docs.select(F.col(id_col), text_or_empty(F.col(text_col)).alias("text"))
+            .mapInArrow(lean(run, "packing"), fields))
 
 
 class Run(NamedTuple):

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import stored
+from cubewise.llm.common import lean, stored
 
 KEY = b"surrogates"  # production jobs pass their own
 ROUNDS = 8
@@ -350,7 +350,7 @@ def found_entities(docs: DataFrame, text_col: str, key: bytes) -> DataFrame:
             seen = {(k, e) for t in batch.column(0).to_pylist() if t for k, e, _, _ in entities(t)}
             yield rows([(k, e, 0, candidate(key, k, e, 0)) for k, e in sorted(seen)])
 
-    return docs.select(F.col(text_col)).mapInArrow(run, ENTITIES).groupBy("kind", "entity").agg(
+    return docs.select(F.col(text_col)).mapInArrow(lean(run), ENTITIES).groupBy("kind", "entity").agg(
         F.first("attempt").alias("attempt"), F.first("surrogate").alias("surrogate"))
 
 
@@ -418,7 +418,7 @@ def surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY, first:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(places, spans)],
                                              names=[f"_{n}" for n in range(len(names))] + ["_entities"])
 
-    out = rows_in.mapInArrow(run, f"{kinds}, `_entities` array<struct<kind:string,start:int,end:int>>")
+    out = rows_in.mapInArrow(lean(run), f"{kinds}, `_entities` array<struct<kind:string,start:int,end:int>>")
     return out.select(*[F.col(f"_{n}").alias(c) for n, c in enumerate(names)], F.col("_entities").alias("entities"))
 
 
@@ -437,7 +437,7 @@ def with_attempts(docs: DataFrame, text_col: str, moved: DataFrame) -> DataFrame
                 names=["_h", "_c", "kind", "entity"])
 
     held = (docs.select(keys[0].alias("_h"), keys[1].alias("_c"), text_col)
-            .mapInArrow(run, "_h bigint, _c bigint, kind string, entity string").distinct()
+            .mapInArrow(lean(run), "_h bigint, _c bigint, kind string, entity string").distinct()
             .join(moved, ["kind", "entity"])
             .groupBy("_h", "_c").agg(F.collect_list(F.struct("kind", "entity", "attempt")).alias("_attempts")))
     return (docs.withColumn("_h", keys[0]).withColumn("_c", keys[1]).join(held, ["_h", "_c"], "left").drop("_h", "_c"))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cubewise.llm.bloom import split_rows
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, stored, text_or_empty
+from cubewise.llm.common import LAST_ID, by_name, by_number, id_order, lean, stored, text_or_empty
 from cubewise.llm.components import components
 
 SHINGLE = 3
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text = text_or_empty(F.col(text_col))
     return docs.select(F.col(id_col).alias("doc_id"), id_order(F.col(id_col)).alias("rank"),
-                       F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, fields)
+                       F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(lean(run), fields)
 
 
 def block_masks(radius: int) -> list[int]:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from cubewise.llm import common
 from cubewise.llm import exact_dedup as X
 
 
@@ -72,3 +73,27 @@ def test_kept_rows_keep_columns(docs_of):
     kept = X.kept_rows(docs)
     assert kept.columns == docs.columns
     assert kept.count() == len({t for _, _, _, _, t in brute(CASES)})
+
+
+def test_one_python_worker_a_task(docs_of, monkeypatch):
+    docs = docs_of([(1, "a  b"), (2, "a b"), (3, "c"), (4, None), (5, "")])
+    chained, fingerprints = [], X.fingerprints
+
+    def seen(*args, **kwargs):
+        out = fingerprints(*args, **kwargs)
+        chained.append(out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython"))
+        return out
+
+    monkeypatch.setattr(X, "fingerprints", seen)
+    got = {r["doc_id"]: r["keep_id"] for r in X.deduplicate(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4} and chained == [0, 0]
+
+
+def test_workers_drop_what_other_operators_keep():
+    own, other = {1: 1}, {2: 2}
+    common.KEPT.update(own=own, other=other)
+    try:
+        task = common.lean(lambda batches: (b for b in batches), "own")
+        assert list(task(iter([7]))) == [7] and own == {1: 1} and other == {}
+    finally:
+        del common.KEPT["own"], common.KEPT["other"]
