@@ -17,14 +17,12 @@ from cubewise.llm.common import by_name, by_number, read_table, stored, workers_
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go, and those that no learned language accounts for:
     too small a share of their words, or of their letters' trigrams, by bounds from
-    labelled rows that the model has not learned from. If nothing can be learned (no
-    labelled rows), all with a letter would be rejected for want of a model; then none is."""
+    labelled rows that the model has not learned from. All labelled rows take part in the
+    one or the other. If nothing can be learned (no labelled rows), all with a letter
+    would be rejected for want of a model; then none is."""
     workers_import_package(spark)
-    rows = langid_crf.sample(docs, per_language=langid_crf.SAMPLE_PER_LANGUAGE + langid_crf.CALIBRATION_PER_LANGUAGE)
-    model, bounds = langid_crf.fit_calibrated(rows)
-    if model is None:
-        return docs.where(F.col("text").rlike(r"\p{L}"))
-    return langid_crf.keep_identified(docs, model, bounds)
+    kept = langid_crf.identified_by_all(docs)
+    return docs.where(F.col("text").rlike(r"\p{L}")) if kept is None else kept
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,11 +36,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubewise.llm.byte_bpe import small_batches
-from cubewise.llm.common import LAST_ID, lean, text_or_empty
+from cubewise.llm.common import LAST_ID, by_name, lean, stored, text_or_empty
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 150
@@ -56,6 +56,7 @@ SEQUENCE_WORDS = 64
 SEQUENCES = 2400
 BATCH = 48
 EPOCHS = 2
+FIRST_UPDATES = 60
 RATE = 0.3
 BLOCK_WORDS = 64
 MEMORY_WORDS = 100_000
@@ -432,13 +433,171 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return [(r["text"], r["lang"]) for r in sorted(rows.select("lang", "h", "text").collect())]
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text", bounds: Bounds | None = None) -> DataFrame:
+def counted_words(rows: DataFrame) -> DataFrame:
+    """(lang, word, n) of all rows of (text, lang)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in small_batches(batches, 200):
+            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts.update((lang, w) for w in words_of(text))
+            if len(counts) > MEMORY_WORDS:
+                yield counted(counts)
+                counts.clear()
+        yield counted(counts)
+
+    def counted(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang for lang, _ in counts], pa.string()), pa.array([w for _, w in counts], pa.string()),
+             pa.array(list(counts.values()), pa.int64())], names=["lang", "word", "n"])
+
+    return (rows.select("text", "lang").mapInArrow(lean(run), "lang string, word string, n bigint")
+            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+
+
+def spans(texts: list[tuple[int, list[str]]], rng: np.random.Generator) -> tuple[list[str], np.ndarray]:
+    """The words of all texts, each once, with their labels, laid end to end: half of
+    the texts in spans of ``SEQUENCE_WORDS``, the others in spans of a few words up to a few
+    dozen, in random order, so that sequences cut from them switch language."""
+    whole, short = [], []
+    for label, words in texts:
+        switching = rng.random() < 0.5
+        at = 0
+        while at < len(words):
+            n = int(rng.integers(2, 24)) if switching else SEQUENCE_WORDS
+            (short if switching else whole).append((label, words[at:at + n]))
+            at += n
+    parts = [p for kind in (whole, short) for p in (kind[i] for i in rng.permutation(len(kind)))]
+    gold = np.repeat([label for label, _ in parts], [len(p) for _, p in parts]).astype(np.int64)
+    return [w for _, p in parts for w in p], gold
+
+
+def train(model: Model, slices: Iterator[list[tuple[int, list[str]]]], seed: int = 0) -> int:
+    """Gradient ascent (AdaGrad) over all words of all texts; how many. The first
+    slices are gone over ``EPOCHS`` times. Batches grow, as the steps get smaller."""
+    rng = np.random.default_rng(seed)
+    squares = np.full_like(model.weights, 1e-2)
+    moves = np.full_like(model.transitions, 1e-2)
+    updates = total = 0
+    for texts in slices:
+        for _ in range(EPOCHS if updates < FIRST_UPDATES else 1):
+            words, gold = spans(texts, rng)
+            if not words:
+                continue
+            number: dict[str, int] = {}
+            ids = np.array([number.setdefault(w, len(number)) for w in words])
+            flat, owner = word_features(list(number), model.lexicon)
+            starts = np.arange(0, len(words), SEQUENCE_WORDS)
+            size = BATCH * (1 + updates // FIRST_UPDATES * 15)
+            for chosen in np.array_split(rng.permutation(len(starts)), -(-len(starts) // size)):
+                lengths = np.minimum(SEQUENCE_WORDS, len(words) - starts[chosen])
+                at = np.repeat(starts[chosen] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+                # Features are looked at once a distinct word.
+                used, place = np.unique(ids[at], return_inverse=True)
+                here = np.zeros(len(number), bool)
+                here[used] = True
+                some = here[owner]
+                feature, of = flat[some], np.searchsorted(used, owner[some])
+                scores = np.stack([np.bincount(of, model.weights[feature, label], len(used))
+                                   for label in range(len(model.labels))], axis=1)[place]
+                potentials = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-30
+                difference, slope = likelihood_gradient(potentials, lengths, model.transitions, gold[at])
+                for label in range(len(model.labels)):
+                    by_word = np.bincount(place, difference[:, label], len(used))
+                    gradient = np.bincount(feature, by_word[of], len(model.weights))
+                    squares[:, label] += gradient ** 2
+                    model.weights[:, label] += RATE * gradient / np.sqrt(squares[:, label])
+                moves += slope ** 2
+                model.transitions += RATE * slope / np.sqrt(moves)
+                updates += 1
+        total += sum(len(w) for _, w in texts)
+    return total
+
+
+def fit_all(rows: DataFrame) -> Model | None:
+    """Fit to all rows of (text, lang), none null: the lexicon's and the trigrams'
+    counts are Spark aggregates, and every task trains on all its rows; the tasks'
+    weights are averaged by their numbers of words. The driver gets the lexicon,
+    the trigrams' numbers and one weight a feature and label, whatever the rows' number."""
+    counts = stored(counted_words(rows), "words")
+    labels = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not labels:
+        return None
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    frequent = counts.withColumn("rank", rank).where(F.col("rank") <= LEXICON_WORDS).collect()
+    lexicon: dict[str, int] = {}
+    for r in sorted(frequent, key=lambda r: (r["lang"], r["rank"])):
+        lexicon.setdefault(r["word"], len(lexicon))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(trigrams(batch.column(0).to_pylist())[0]))], names=["gram"])
+
+    seen = counts.select("word").mapInArrow(lean(grams), "gram bigint").distinct().toArrow().column("gram").to_numpy()
+    shape = (FEATURES + len(lexicon), len(labels))
+    number = {label: i for i, label in enumerate(labels)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(labels, lexicon, np.zeros(shape), np.zeros((len(labels), len(labels))))
+        n = train(model, ([(number[lang], words_of(text)) for text, lang in zip(*(c.to_pylist() for c in b.columns), strict=True)
+                           if lang in number] for b in small_batches(batches, 200)))
+        values = np.concatenate((model.weights.ravel(), model.transitions.ravel()))
+        place = np.flatnonzero(values)
+        if n:
+            # The words count for places that this task left at zero, too.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(place, -1)), pa.array(np.append(values[place] * n, n))], names=["place", "value"])
+
+    sums = (rows.select("text", "lang").mapInArrow(lean(run), "place bigint, value double")
+            .groupBy("place").agg(F.sum("value").alias("value")).toArrow())
+    place, value = sums.column("place").to_numpy(), sums.column("value").to_numpy()
+    flat = np.zeros(shape[0] * shape[1] + len(labels) ** 2)
+    flat[place[place >= 0]] = value[place >= 0] / value[place < 0].sum()
+    transitions = np.clip(flat[shape[0] * shape[1]:].reshape(len(labels), -1), -4, 4)
+    model = Model(labels, lexicon, flat[:shape[0] * shape[1]].reshape(shape), transitions)
+    model.learn_trigrams(seen)
+    return model
+
+
+def identified_by_all(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame | None:
+    """The rows of docs whose text reaches the bounds of a learned language; None if there
+    is nothing to learn from. Three of four labelled texts (by hash) are learned from,
+    all of them; the bounds (see ``calibrate``) are the least of all others. A language
+    whose texts all fall to the others is learned from them."""
+    def labelled(i: Column, text: Column, lang: Column) -> Column:
+        return lang.isNotNull() & text.isNotNull() & ~held_out(i)
+
+    def other(text: Column) -> Column:
+        return F.crc32(text.cast("binary")) % 4 == 3
+
+    i, text, lang = F.col(id_col), F.col(text_col), F.col(lang_col)
+    rows = docs.where(labelled(i, text, lang)).select(text.alias("text"), lang.alias("lang"), other(text).alias("other"))
+    sides = rows.groupBy("lang").agg(F.count_if(~F.col("other")).alias("learned")).collect()
+    few = [r["lang"] for r in sides if not r["learned"]]
+    model = fit_all(rows.where(~F.col("other") | F.col("lang").isin(few))) if sides else None
+    if model is None:
+        return None
+    judged = stored(predict(docs, model, text_col, measures=True), "judged")
+    i, text, lang = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col, lang_col))
+    least = (judged.where(labelled(i, text, lang) & other(text) & ~lang.isin(few) & (F.col("words") > 0))
+             .groupBy("lang_pred").agg(F.min("score").alias("score"), F.min("familiar").alias("familiar")).collect())
+    chance = 1 / len(model.labels)
+    score = (chance + min([r["score"] for r in least], default=chance)) / 2 if len(model.labels) > 1 else 0.0
+    familiar = F.lit(0.0)
+    for r in least:
+        familiar = F.when(F.col("lang_pred") == r["lang_pred"], F.lit(r["familiar"] / 2)).otherwise(familiar)
+    share = (F.col("score") * F.col("words") + PRIOR_WORDS) / (F.col("words") + PRIOR_WORDS)
+    return by_name(judged.where((F.col("lang_pred") != UNDETERMINED) & (share >= score) & (F.col("familiar") >= familiar)), docs)
+
+
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", bounds: Bounds | None = None,
+            measures: bool = False) -> DataFrame:
     """docs' columns as _0, _1, ... (so that no name clashes), lang_pred, score and,
-    given bounds, whether the text reaches them."""
+    given bounds, whether the text reaches them; with ``measures`` its number of words
+    and its familiarity."""
     names = docs.columns
     kinds = [f"`_{n}` {t}" for n, (_, t) in enumerate(docs.dtypes)]
     text_at = names.index(text_col)
-    added = ["lang_pred", "score", "identified"] if bounds else ["lang_pred", "score"]
+    added = ["lang_pred", "score", *(["identified"] if bounds else ["words", "familiar"] if measures else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 200):
@@ -454,13 +613,15 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", bounds
                 langs.append(model.labels[best])
                 scores.append(min(1.0, float(share[best])))
             columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            if bounds:
+            if measures:
+                columns += [pa.array([len(t) for t in texts], pa.int64()), pa.array(familiarity(model, texts), pa.float64())]
+            elif bounds:
                 known = familiarity(model, texts).tolist()
                 columns.append(pa.array([bounds.reached(lang, score, len(t), k) for lang, score, t, k
                                          in zip(langs, scores, texts, known, strict=True)], pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=[f"_{n}" for n in range(len(names))] + added)
 
-    kinds += ["lang_pred string", "score double", "identified boolean"][:len(added)]
+    kinds += ["lang_pred string", "score double", *(["identified boolean"] if bounds else ["words bigint", "familiar double"] if measures else [])]
     return (docs.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(names)])
             .mapInArrow(lean(run), ", ".join(kinds)))
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from cubewise.llm import langid_crf as L
 
@@ -172,3 +173,36 @@ def test_segments(spark):
     some = docs.where("doc_id < 20")
     for r in L.segments(some, model).join(some, "doc_id").collect():
         assert sum(s["words"] for s in r["segments"]) == len(L.words_of(r["text"]))
+
+
+def test_all_rows_are_learned_from(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(L, "sample", lambda *a, **k: pytest.fail("a sample"))
+    rows = [(i, f"the and of with this w{i}", "en") for i in range(900)] + [(1000 + i, f"hola que tal esto p{i}", "es") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    counts = {(r["lang"], r["word"]): r["n"] for r in L.counted_words(docs).collect()}
+    assert counts["en", "the"] == counts["es", "hola"] == 900 and len(counts) == 11
+    slices = [[(0, w.split())] for w in ("a b c", "d " * 200, "")]
+    model = L.Model(["x"], {}, np.zeros((L.FEATURES, 1)), np.zeros((1, 1)))
+    assert L.train(model, iter(slices)) == 203
+    texts = [(n % 2, [f"{n}-{i}" for i in range(90 * n)]) for n in range(6)]
+    words, gold = L.spans(texts, np.random.default_rng(1))
+    assert sorted(words) == sorted(w for _, t in texts for w in t)
+    assert all(int(w.split("-")[0]) % 2 == g for w, g in zip(words, gold))
+    model = L.fit_all(docs)
+    assert model.labels == ["en", "es"] and all(model.seen[L.trigrams(["hola", "with"])[0]])
+    for label, text in (("en", "with this and the"), ("es", "esto tal que hola")):
+        assert model.labels[int(L.label_words(model, [L.words_of(text)])[0].mean(axis=0).argmax())] == label
+
+
+def test_bounds_of_all_rows(spark):
+    docs = spark.read.parquet(f"{FIXTURE}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = [(-1, "Příliš žluťoučký kůň úpěl ďábelské ódy v noci na jaře a v létě", None),
+               (-2, "asdkjh qwoieu zxmcnb qpwoei alskdj zmxncb", None), (-3, "Быстрая коричневая лиса прыгает через собаку", None),
+               (-6, "12 + 3", None), (-7, None, None)]
+    both = docs.unionByName(spark.createDataFrame(foreign, docs.schema)).repartition(3)
+    kept = {r["doc_id"] for r in L.identified_by_all(both).collect()}
+    clean = {r["doc_id"] for r in docs.collect() if L.words_of(r["text"] or "")}
+    assert not kept & {-1, -2, -3, -6, -7} and len(kept & clean) >= 0.99 * len(clean)
+    assert L.identified_by_all(docs.limit(0)) is None
+    lone = spark.createDataFrame([(i, "hola que", "es") for i in range(8)], docs.schema)
+    assert L.identified_by_all(lone).count() == 8
