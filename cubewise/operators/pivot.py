@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_AGGS = {"max": F.max, "sum": F.sum, "min": F.min}
+AGGREGATES = {"max": F.max, "sum": F.sum, "min": F.min}
 
 
 def pivot_measures(df: DataFrame, keys: Sequence[str], label_col: str, value_col: str,
@@ -19,7 +19,7 @@ def pivot_measures(df: DataFrame, keys: Sequence[str], label_col: str, value_col
     Groups whose labels match no measure still produce a row (all NULL).
     ``max`` keeps the largest of duplicate or revised rows; ``sum`` adds them.
     """
-    fn = _AGGS[agg]
+    fn = AGGREGATES[agg]
     label, value = F.col(label_col), F.col(value_col)
     cols = [fn(F.when(label == F.lit(lab), value)).alias(name) for lab, name in measures.items()]
     return df.groupBy(*keys).agg(*cols)

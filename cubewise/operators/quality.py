@@ -99,18 +99,24 @@ def _report_row(table: str, check: Check, failing: Column) -> Column:
                     failing.cast("bigint").alias("failing_rows"), status.alias("status"))
 
 
-def quality_report(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def quality_report(table: str, df: DataFrame, checks: Sequence[Check], weight: str | None = None) -> DataFrame:
     """One row per check: table_name, check_name, column_name, severity,
     failing_rows, status ('pass' | 'warn' | 'fail').
 
     Row-level checks share a single scan (one ``count_if`` per check); each
-    unique check is one grouped count, failing once per duplicated key.
+    unique check is one grouped count, failing once per duplicated key. ``weight``: a
+    column with the number of rows that a row stands for (no unique checks then).
     """
+    if weight and any(c.kind == "unique" for c in checks):
+        raise ValueError("unique checks need the rows themselves")
     row_checks = [c for c in checks if c.kind != "unique"]
     parts: list[DataFrame] = []
     if row_checks:
-        counts = df.agg(*[F.count_if(_failing_condition(c)).alias(f"c{i}")
-                          for i, c in enumerate(row_checks)])
+        def failing(c: Check) -> Column:
+            cond = _failing_condition(c)
+            return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)) if weight else F.count_if(cond)
+
+        counts = df.agg(*[failing(c).alias(f"c{i}") for i, c in enumerate(row_checks)])
         rows = F.array(*[_report_row(table, c, F.col(f"c{i}")) for i, c in enumerate(row_checks)])
         parts.append(counts.select(F.inline(rows)))
     for c in checks:

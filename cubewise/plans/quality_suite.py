@@ -32,6 +32,8 @@ QUALITY_SUITE: dict[str, list[Check]] = {
 }
 
 
-def suite_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """The report over the given models (name in QUALITY_SUITE -> rows)."""
-    return combine_reports([quality_report(name, df, QUALITY_SUITE[name]) for name, df in tables.items()])
+def suite_report(tables: dict[str, DataFrame], weight: str | None = None) -> DataFrame:
+    """The report over the given models (name in QUALITY_SUITE -> rows). Models with the
+    column ``weight`` hold one row for so many equal ones."""
+    return combine_reports([quality_report(name, df, QUALITY_SUITE[name], weight if weight in df.columns else None)
+                            for name, df in tables.items()])

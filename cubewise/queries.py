@@ -41,11 +41,11 @@ from cubewise.schemas import (
     RAW_CENTRE_SCHEMA,
 )
 from cubewise.session import scratch_path, table_path
-from cubewise.sinks.files import as_view, land_csv, load_raw, materialize, preview
+from cubewise.sinks.files import COMPRESSED, as_view, land_csv, load_raw, materialize, preview
 from cubewise.sinks.published import publish, read_published
 from cubewise.sources.catalog import Catalog
 from cubewise.sources.csv import clean_csv_rows
-from cubewise.sources.derived import applications, raw_api, raw_county, raw_ro30, raw_ro34, read_table
+from cubewise.sources.derived import applications, lines, raw_api, raw_county, raw_ro30, raw_ro34, read_table
 from cubewise.sources.jsonstat import (
     CENTRE_COLUMNS,
     parse_documents,
@@ -74,10 +74,10 @@ def stg_ro30(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_centre_stats(raw_ro30(spark, sf_dir))
 
 
-def landed_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_county(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
     """The county file after its landing clean-up (in-memory form of the
     land -> load path; the written form is ``csv_round_trip``)."""
-    return clean_csv_rows(raw_county(spark, sf_dir), "statistic_label", "value")
+    return clean_csv_rows(raw_county(spark, sf_dir, joined), "statistic_label", "value")
 
 
 def stg_local(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,9 +520,13 @@ def q_reingest_max_idempotent(spark, sf_dir):
                           "statistic", "stat_value", APPLICATION_MEASURES, "max")
 
 
+# Mostly empty cells, so the text shrinks; a compressed file is read by one task.
+CUBE_FILES = COMPRESSED | {"maxRecordsPerFile": 2000}
+
+
 def _write_cubes(spark, sf_dir) -> str:
     path = scratch_path(spark, "cubes")
-    cube_documents(applications(spark, sf_dir)).select("json").write.text(path)
+    cube_documents(applications(spark, sf_dir)).select("json").write.options(**CUBE_FILES).text(path)
     return path
 
 
@@ -832,9 +836,11 @@ def _warehouse(spark, sf_dir, agg="max", revised=False):
         land_csv(raw, landing["apps"], batch="0002")
         lowered = raw.filter(F.col("statistic") == REVISED).withColumn("value", -F.col("value"))
         land_csv(lowered, landing["apps"], batch="0010")
-    land_csv(raw_ro30(spark, sf_dir), landing["tests"])
-    land_csv(landed_county(spark, sf_dir), landing["county"])
-    land_csv(raw_ro34(spark, sf_dir), landing["ro34"])
+    # Three landings are made of the joined line items: joined once.
+    joined = materialize(lines(spark, sf_dir), scratch_path(spark, "lines"), ())
+    land_csv(raw_ro30(spark, sf_dir, joined), landing["tests"])
+    land_csv(landed_county(spark, sf_dir, joined), landing["county"])
+    land_csv(raw_ro34(spark, sf_dir, joined), landing["ro34"])
     return build_warehouse(spark, landing["apps"], landing["tests"], landing["county"],
                            scratch_path(spark, "warehouse"), agg, revised, landing["ro34"])
 

@@ -26,6 +26,8 @@ from cubewise.sources.csv import (
 
 
 BATCH_COL = "_batch"
+FILE_ROWS = 1_000_000
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": FILE_ROWS}
 
 
 def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool = False,
@@ -40,7 +42,9 @@ def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool =
     Returns whether these rows were landed; False if the batch was there already.
 
     ``single_file`` leaves one file: written as ordered parts by many tasks, then
-    joined byte for byte by the file system (``join_parts``).
+    joined byte for byte by the file system (``join_parts``). Otherwise the files are
+    compressed (gzip: labels repeat in every line), each of at most ``FILE_ROWS`` rows,
+    since a compressed file is read by one task.
     """
     root, target = path.rstrip("/"), path.rstrip("/")
     if batch:
@@ -57,7 +61,7 @@ def land_csv(df: DataFrame, path: str, header: bool = False, single_file: bool =
         head = ",".join(names) + "\n" if header else ""
         join_parts(df.sparkSession, parts, f"{target}/part-{uuid.uuid4().hex}.csv", head.encode())
     else:
-        out.mode(mode).csv(target)
+        out.options(**COMPRESSED).mode(mode).csv(target)
     return commit_batch(df.sparkSession, root, batch, target) if batch else True
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,20 +21,22 @@ LINE_CODES = [("\x01", "\x010"), ("\n", "\x011"), ("\r", "\x012")]
 
 
 def encode_lines(df: DataFrame) -> DataFrame:
-    return _replace_in_strings(df, LINE_CODES)
+    return _replace_in_strings(df, LINE_CODES, [plain for plain, _ in LINE_CODES])
 
 
 def decode_lines(df: DataFrame) -> DataFrame:
-    return _replace_in_strings(df, [(code, plain) for plain, code in reversed(LINE_CODES)])
+    return _replace_in_strings(df, [(code, plain) for plain, code in reversed(LINE_CODES)], [LINE_CODES[0][0]])
 
 
-def _replace_in_strings(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def _replace_in_strings(df: DataFrame, pairs: list[tuple[str, str]], signs: list[str]) -> DataFrame:
+    """A text that has none of the signs (one look for each) stays as it is."""
     columns = []
     for name, kind in df.dtypes:
-        c = F.col(f"`{name}`")
+        c = text = F.col(f"`{name}`")
         if kind == "string":
             for old, new in pairs:
                 c = F.replace(c, F.lit(old), F.lit(new))
+            c = F.when(reduce(lambda a, b: a | b, [text.contains(s) for s in signs]), c).otherwise(text)
         columns.append(c.alias(name))
     return df.select(*columns)
 

@@ -128,19 +128,21 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their customer's centre. Orders and customers are joined
     first, so that the largest table crosses one exchange only."""
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     c = customer_centres(spark, sf_dir)
     placed = o.join(c, o.o_custkey == c.c_custkey)
-    return li.join(placed, li.l_orderkey == placed.o_orderkey)
+    return li.join(placed, li.l_orderkey == placed.o_orderkey).select(
+        "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate", "c_mktsegment", "centre", "county_label")
 
 
-def raw_ro30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tests table at centre x category (same columns as raw_api)."""
-    j = _lines(spark, sf_dir)
+def raw_ro30(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
+    """Tests table at centre x category (same columns as raw_api). ``joined``: the rows
+    of ``lines``, where several tables are made of them."""
+    j = lines(spark, sf_dir) if joined is None else joined
     flag = F.col("l_returnflag")
     statistic = (
         F.when(F.col("l_linestatus") == "O", F.lit(BOOKED))
@@ -159,15 +161,15 @@ def raw_ro30(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_ro34(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_ro34(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
     """Tests table at centre grain only (no category column)."""
-    return raw_ro30(spark, sf_dir).drop("driving_test_categories")
+    return raw_ro30(spark, sf_dir, joined).drop("driving_test_categories")
 
 
-def raw_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_county(spark: SparkSession, sf_dir: str, joined: DataFrame | None = None) -> DataFrame:
     """County file rows as read from the file (before landing): a NULL label
     for single-unit lines and a NULL value for lines above 48 units."""
-    j = _lines(spark, sf_dir)
+    j = lines(spark, sf_dir) if joined is None else joined
     flag = F.col("l_returnflag")
     label = (
         F.when(F.col("l_quantity") == 1, F.lit(None).cast("string"))

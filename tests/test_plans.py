@@ -60,3 +60,39 @@ def test_incremental_history_read_is_partition_pruned(spark):
     text = plan_text(pruned)
     assert re.search(r"PartitionFilters: \[.*period", text), text
     assert sorted(r.k for r in pruned.collect()) == ["b", "c"]
+
+
+def test_condensed_rows_give_the_same_facts_and_report(spark):
+    from cubewise.plans.facts import centre_fact, county_fact
+    from cubewise.plans.quality_suite import suite_report
+    from cubewise.plans.staging import ROWS, condensed, stage_centre_stats, stage_county_stats
+    from cubewise.schemas import RAW_CENTRE_SCHEMA, RAW_COUNTY_SCHEMA
+
+    apps = [(s, m, c, z, "Number", v) for s in ("Driving Test Applications Received", None) for m in ("2021 May", "2021M05", None)
+            for c in ("B", None) for z in ("Galway, Co. Galway", "Nowhere", None) for v in (3, 3, 5, None)]
+    raw_a, raw_c = spark.createDataFrame(apps, RAW_CENTRE_SCHEMA), spark.createDataFrame(
+        [(s, m, "Co. Galway", c, "Number", v) for s, m, c, _, _, v in
+         [(s, m, c, z, u, None if v is None else float(v)) for s, m, c, z, u, v in apps]], RAW_COUNTY_SCHEMA)
+    for agg in ("max", "sum"):
+        out = []
+        for shrink, keep in ((lambda d: d, []), (lambda d: condensed(d, agg), [ROWS])):
+            a, c = stage_centre_stats(shrink(raw_a), keep=keep), stage_county_stats(shrink(raw_c), keep)
+            facts = {"county_fact": county_fact(a, c, agg), "centre_fact": centre_fact(a, a, agg)}
+            rows = [sorted(map(str, f.collect())) for f in facts.values()]
+            report = suite_report({"stg_applications": a, "stg_county": c, **facts}, *keep)
+            out.append([*rows, sorted(map(str, report.collect()))])
+        assert out[0] == out[1]
+    assert condensed(raw_a).count() == 2 * 3 * 2 * 3 * 2
+
+
+def test_landed_files_are_compressed(spark, tmp_path):
+    from cubewise.sinks.files import land_csv, load_raw
+    from cubewise.schemas import LANDING_CENTRE_SCHEMA, RAW_CENTRE_SCHEMA
+
+    rows = spark.range(50_000).selectExpr("'Statistic' as statistic", "'2021 May\n' as month", "'B' as driving_test_categories",
+                                          "'x, Co. Y' as driving_test_centre", "'Number' as unit", "id as value")
+    land_csv(rows, str(tmp_path / "landing"))
+    files = list((tmp_path / "landing").glob("part-*"))
+    assert sum(f.stat().st_size for f in files) < 50_000 * 40 / 3
+    loaded = load_raw(spark, f"{tmp_path}/landing/*", LANDING_CENTRE_SCHEMA, f"{tmp_path}/raw", RAW_CENTRE_SCHEMA)
+    assert loaded.exceptAll(rows).isEmpty() and loaded.count() == 50_000
