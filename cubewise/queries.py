@@ -764,7 +764,7 @@ def _write_awkward_cubes(spark, sf_dir) -> str:
     as_object = F.to_json(F.struct(keyed.alias("result")), form)
     as_array = F.regexp_replace(F.to_json(F.struct("result"), form), r"(?<=[\[,])2\.0(?=[,\]])", '".."')
     path = scratch_path(spark, "cubes_awkward")
-    docs.select(F.when(F.col("year").cast("int") % 2 == 0, as_object).otherwise(as_array).alias("json")).write.text(path)
+    docs.select(F.when(F.col("year").cast("int") % 2 == 0, as_object).otherwise(as_array).alias("json")).write.options(**CUBE_FILES).text(path)
     return path
 
 

@@ -174,15 +174,16 @@ def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     listed = F.try_variant_get("value", "$", "array<variant>")
     keyed = F.try_variant_get("value", "$", "map<string,variant>")
-    entries = F.coalesce(F.transform(listed, lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value"))),
-                         F.map_entries(keyed))
-    cells = (_prepared(valid, columns).select("*", F.explode(entries).alias("entry"))
-             .withColumn("pos", F.when(F.col("entry.key").rlike("^[0-9]+$"), F.col("entry.key").try_cast("bigint")))
+    # The array form has positions of its own; only the object form's are text.
+    entries = F.coalesce(F.transform(listed, lambda x, i: F.struct(F.lit(None).cast("string").alias("key"), i.cast("bigint").alias("pos"), x.alias("value"))),
+                         F.transform(F.map_entries(keyed), lambda e: F.struct(e["key"].alias("key"), _position(e["key"]).alias("pos"), e["value"].alias("value"))))
+    cells = (_prepared(valid, columns).select("*", F.inline(entries).alias("key", "pos", "cell"))
              .filter(F.col("pos").isNull() | (F.col("pos") < F.col("n_cells"))))
-    cell = F.col("entry.value")
-    # The array form's JSON null is a VARIANT null.
-    empty = cell.isNull() | F.is_variant_null(cell)
-    number = F.schema_of_variant(cell).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    cell = F.col("cell")
+    # The array form's JSON null is a VARIANT null (schema VOID).
+    kind = F.substring(F.schema_of_variant(cell), 1, 4)
+    empty = cell.isNull() | (kind == "VOID")
+    number = kind.isin("BIGI", "DOUB", "FLOA", "DECI")
     faulty = F.col("pos").isNull() | ~(empty | number)
     written = F.to_json(cell)
     columns_out = [c if n == 0 else F.when(F.col("pos").isNotNull(), c).alias(columns[n - 1])
@@ -190,10 +191,16 @@ def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cells.select(
         *columns_out, F.lit(UNIT_LABEL).alias("UNIT"),
         F.when(~faulty, _counted(F.when(number, F.try_variant_get(cell, "$", "double")))).alias("VALUE"),
-        F.when(F.col("pos").isNull(), F.concat(F.col("entry.key"), F.lit(": "), F.coalesce(written, F.lit("null"))))
+        F.when(F.col("pos").isNull(), F.concat(F.col("key"), F.lit(": "), F.coalesce(written, F.lit("null"))))
         .when(faulty, written).alias("CELL"))
 
 
+def _position(key: Column) -> Column:
+    """The key as a position; NULL unless it is all digits."""
+    digits = (F.translate(key, "0123456789", "") == "") & (key != "")
+    return F.when(digits, key.try_cast("bigint"))
+
+
 def read_jsonstat_cells(spark: SparkSession, path: str | list[str], columns: Sequence[str] = tuple(CENTRE_COLUMNS),
                         layout: str = "file") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Landed JSON-stat documents of either form of ``value`` -> (long rows, cells that
