@@ -6,8 +6,10 @@ before. Each byte that a repeated window covers is removed; windows are judged o
 the input, not on what is left.
 
 The windows that can be repeated meet by their anchor (see ``repeats``), as the
-stretch of text that holds them. A bucket keeps one copy of equal stretches. The
-stretches of an anchor that differ are a collection of strings, dealt to shards;
+stretch of text that holds them. A bucket keeps one copy of equal stretches. Of the
+stretches of an anchor that differ, the windows whose rolling hash no other window
+has are settled: equal windows have equal hashes. What is left of the stretches is
+a collection of strings, compared byte for byte: they are dealt to shards, and
 each shard has its Burrows-Wheeler transform from its own suffix array. The
 shards' transforms are merged by refining their interleave: from the order of all
 suffixes by their first h symbols, one pass over the transforms gives the order
@@ -15,7 +17,8 @@ by h + step symbols, and with it where the common prefix of neighbours is shorte
 After the passes for 100 symbols, suffixes between two such borders share 100
 bytes: the repeated intervals, without sorting the suffixes of different shards
 against one another. A step takes several symbols at once through the composed
-last-to-first mapping.
+last-to-first mapping. A suffix that stands alone in its interval leaves the
+interleave: so do then all longer ones that end in it.
 
 Defined cases: a null text has no bytes; a text of fewer than 100 bytes loses
 none; matches never cross documents (strings end with a symbol of their own);
@@ -58,6 +61,8 @@ GRAM = 16
 STEP = 5
 SHARDS = 4
 MERGE_BYTES = 48_000
+#: Bytes whose window hashes are compared together (whole anchors only).
+HASHED_BYTES = 1 << 20
 
 
 def squeeze(whole: bytes) -> bytes:
@@ -96,22 +101,42 @@ class Shard:
 
 
 def suffix_ranks(symbols: np.ndarray) -> np.ndarray:
-    """Rank of each suffix, by doubling the sorted prefix from 7 symbols on."""
+    """Rank of each suffix, by doubling the sorted prefix from 7 symbols on. A rank
+    is the number of suffixes below, so those that stand alone keep theirs, and only
+    the others are sorted again."""
     size = len(symbols)
     padded = np.concatenate((symbols, np.zeros(7, np.int64)))
     key = np.zeros(size, np.int64)
     for j in range(7):
         key = (key << 9) | padded[j:j + size]
-    rank = np.unique(key, return_inverse=True)[1]
-    depth = 7
-    while depth < size and rank.max() < size - 1:
-        after = np.zeros(size, np.int64)
-        after[:size - depth] = rank[depth:] + 1
-        rank = np.unique(rank * (size + 1) + after, return_inverse=True)[1]
+    order = np.argsort(key)
+    rank = np.empty(size, np.int64)
+    rank[order], shared = heads(key[order])
+    order, depth = order[shared], 7
+    while len(order):
+        old = rank[order]
+        after = np.zeros(len(order), np.int64)
+        inside = np.flatnonzero(order < size - depth)
+        after[inside] = rank[order[inside] + depth] + 1
+        key = old * (size + 1) + after
+        sort = np.argsort(key)
+        order, old = order[sort], old[sort]
+        head, shared = heads(key[sort])
+        rank[order] = old + head - heads(old)[0]
+        order = order[shared]
         depth *= 2
     return rank
 
 
+def heads(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of sorted keys the place of the first that is equal, and whether
+    there are several."""
+    new = np.ones(len(sorted_keys) + 1, bool)
+    new[1:-1] = sorted_keys[1:] != sorted_keys[:-1]
+    begin = np.flatnonzero(new)
+    return np.repeat(begin[:-1], np.diff(begin)), ~(new[:-1] & new[1:])
+
+
 def refine(shards: list[Shard], length: int, step: int = STEP) -> list[np.ndarray]:
     """For each shard the interval of each row: rows of equal number have their
     first ``length`` symbols in common (where no string ends before)."""
@@ -136,9 +161,13 @@ def refine(shards: list[Shard], length: int, step: int = STEP) -> list[np.ndarra
         order = np.argsort(symbol, kind="stable")
         symbol, old = symbol[order], interval[order]
         interleave = to[interleave[order]]
-        border = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
-        interval = np.concatenate(([0], np.cumsum(border)))
-    of_row = np.empty(len(transform), np.int64)
+        border = np.ones(len(order) + 1, bool)
+        border[1:-1] = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
+        shared = ~(border[:-1] & border[1:])
+        interval = np.cumsum(border[:-1])[shared]
+        interleave = interleave[shared]
+    # Rows that left have numbers of their own, above the intervals'.
+    of_row = np.arange(len(transform)) + len(transform) + 1
     of_row[interleave] = interval
     return [of_row[b:b + n] for b, n in zip(begin, sizes, strict=False)]
 
@@ -239,9 +268,10 @@ def settle_stretches(unit: Bytes) -> Callable:
         earliest = earliest[np.concatenate(([True], which[earliest][1:] != which[earliest][:-1]))]
         least_k = np.repeat(k[earliest], windows)
         least_at = repeat(first[earliest], windows)
-        for group in merges(np.array(anchor_of, np.int64), texts):
-            spot = repeat(begin[group], windows[group])
-            same = equal_windows([texts[i] for i in group.tolist()], windows[group], unit.length)
+        anchor_of = np.array(anchor_of, np.int64)
+        for group, strings, at, n in shared_stretches(anchor_of, texts, windows, unit.length):
+            spot = repeat(begin[group] + at, n)
+            same = equal_windows(strings, n, unit.length)
             order = np.lexsort((least_at[spot], least_k[spot], same))
             head = np.concatenate(([True], same[order][1:] != same[order][:-1]))
             source = spot[order[np.flatnonzero(head)[np.cumsum(head) - 1]]]
@@ -260,21 +290,47 @@ def settle_stretches(unit: Bytes) -> Callable:
     return lambda dests: lambda batches: run(dests, batches)
 
 
-def merges(anchor: np.ndarray, texts: list[bytes]) -> Iterator[np.ndarray]:
-    """Numbers of stretches to compare: whole anchors with several stretches,
-    as many as make a merge worth while."""
+def shared_stretches(anchor: np.ndarray, texts: list[bytes], windows: np.ndarray, length: int) \
+        -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]]:
+    """What to compare: for each merge the numbers of the texts, the stretches of
+    them whose windows have a hash that occurs again, their first windows and their
+    numbers of windows. A window left out equals no other."""
+    width = windows + length - 1
+    for group in merges(anchor, width, HASHED_BYTES):
+        strings = [texts[i] for i in group.tolist()]
+        begin = np.cumsum(width[group]) - width[group]
+        n = windows[group]
+        whole = np.frombuffer(b"".join(strings), np.uint8)
+        hashes = window_hashes(BYTE_VALUES[whole], length)[repeat(begin, n)]
+        order = np.argsort(hashes)
+        again = np.empty(len(hashes), bool)
+        again[order] = heads(hashes[order])[1]
+        which = np.repeat(np.arange(len(group)), n)
+        place = repeat(np.zeros(len(group), np.int64), n)
+        of, found = stretches(again, which, place)
+        first, count = found["first"].astype(np.int64), found["n"].astype(np.int64)
+        for part in merges(anchor[group[of]], count + length - 1, MERGE_BYTES):
+            cut = zip(of[part].tolist(), first[part].tolist(), count[part].tolist(), strict=True)
+            yield (group[of[part]], [strings[i][a:a + c + length - 1] for i, a, c in cut], first[part], count[part])
+
+
+def merges(anchor: np.ndarray, width: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Numbers of stretches (of so many bytes) to look at together: whole anchors
+    with several stretches, until there are ``most`` bytes."""
     order = np.argsort(anchor, kind="stable")
-    begin = np.concatenate(([0], np.flatnonzero(np.diff(anchor[order])) + 1, [len(order)]))
-    held, size = [], 0
-    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-        if b - a > 1:
-            held.append(order[a:b])
-            size += sum(len(texts[i]) + 1 for i in order[a:b].tolist())
-            if size >= MERGE_BYTES:
-                yield np.concatenate(held)
-                held, size = [], 0
-    if held:
-        yield np.concatenate(held)
+    order = order[heads(anchor[order])[1]]
+    if not len(order):
+        return
+    first = np.unique(heads(anchor[order])[0])
+    size = np.add.reduceat(width[order] + 1, first)
+    held, begin = 0, 0
+    for a, n in zip(np.append(first[1:], len(order)).tolist(), size.tolist(), strict=True):
+        held += n
+        if held >= most:
+            yield order[begin:a]
+            held, begin = 0, a
+    if begin < len(order):
+        yield order[begin:]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -144,3 +144,25 @@ def test_shard_is_a_transform():
     shard = B.Shard(strings)
     assert [int(shard.rank[i]) for i in order] == list(range(len(joined)))
     assert shard.transform.tolist() == [joined[i - 1] for i in order]
+
+
+def test_only_windows_that_may_be_equal_are_merged():
+    # All stretches of an anchor share its gram; one passage is longer than a window.
+    rng = random.Random(9)
+    word = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    gram, passage = word(20), word(130)
+    texts = [word(90) + gram + word(90) for _ in range(40)] + [word(50) + gram + passage + word(50) for _ in range(2)]
+    windows = np.array([len(t) - 99 for t in texts])
+    merged = list(B.shared_stretches(np.zeros(len(texts), np.int64), texts, windows, 100))
+    assert [g.tolist() for g, *_ in merged] == [[40, 41]]
+    _, strings, first, n = merged[0]
+    assert strings == [gram + passage] * 2 and first.tolist() == [50, 50] and n.tolist() == [51, 51]
+
+
+def test_ranks_of_suffixes_that_share_much():
+    rng = random.Random(10)
+    for _ in range(40):
+        part = [rng.randint(1, 3) for _ in range(rng.randint(1, 40))]
+        symbols = [*(part * rng.randint(1, 4)), *[rng.randint(1, 3) for _ in range(rng.randint(0, 9))], 0]
+        order = sorted(range(len(symbols)), key=lambda i: symbols[i:])
+        assert np.argsort(B.suffix_ranks(np.array(symbols))).tolist() == order
