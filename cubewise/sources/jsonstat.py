@@ -111,7 +111,7 @@ def flatten_cube(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     cells = (_prepared(valid, columns).select("*", F.posexplode("value").alias("pos", "v"))
              .filter(F.col("pos") < F.col("n_cells")))
-    return cells.select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(F.col("v")).alias("VALUE"))
+    return _indexed(cells, columns).select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(F.col("v")).alias("VALUE"))
 
 
 def _prepared(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -136,12 +136,19 @@ def _prepared(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     return valid.select(*meta)
 
 
+def _indexed(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """With the index in each dimension of the cell at ``pos``: a projection of its own,
+    as it is used several times."""
+    return cells.withColumns({
+        f"index_{k}": F.pmod(F.floor(F.col("pos") / F.col(f"stride_{k}")), F.col(f"size_{k}")).cast("int")
+        for k in range(len(columns))})
+
+
 def _labelled(columns: Sequence[str]) -> list[Column]:
-    """doc and the labels of the cell at ``pos``."""
+    """doc and the labels of an ``_indexed`` cell."""
     out = [F.col("doc")]
     for k, c in enumerate(columns):
-        labels = F.col(f"labels_{k}")
-        idx = F.pmod(F.floor(F.col("pos") / F.col(f"stride_{k}")), F.col(f"size_{k}")).cast("int")
+        labels, idx = F.col(f"labels_{k}"), F.col(f"index_{k}")
         label = F.when(idx < F.size(labels), F.get(labels, idx)).otherwise(F.lit(UNKNOWN_LABEL))
         out.append(F.when(labels.isNotNull(), label).alias(c))
     return out
@@ -154,12 +161,18 @@ def _counted(v: Column) -> Column:
 def parse_cells(docs: DataFrame, json_col: str = "json", doc_col: str = "doc") -> DataFrame:
     """As ``parse_documents``, but ``value`` is kept as it came (a VARIANT). A value
     that is neither an array nor an object counts as none."""
-    parsed = F.from_json(F.col(json_col), CELLS_SCHEMA)
-    value = parsed["result"]["value"]
-    listed = (F.try_variant_get(value, "$", "array<variant>").isNotNull()
-              | F.try_variant_get(value, "$", "map<string,variant>").isNotNull())
-    return docs.select(F.col(doc_col).alias("doc"),
-                       parsed["result"].withField("value", F.when(listed, value)).alias("result"))
+    parsed = _once(docs.select(F.col(doc_col).alias("doc"), F.from_json(F.col(json_col), CELLS_SCHEMA)["result"].alias("result")))
+    value = F.col("result.value")
+    # Casts that look at the kind and make nothing of the cells.
+    listed = (F.try_variant_get(value, "$", "array<boolean>").isNotNull()
+              | F.try_variant_get(value, "$", "struct<_: boolean>").isNotNull())
+    return _once(parsed.withColumn("result", F.col("result").withField("value", F.when(listed, value))))
+
+
+def _once(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with ``result`` evaluated once a document: what uses or filters it
+    stays above a generator and does not repeat its expression."""
+    return parsed.select("doc", F.explode_outer(F.array("result")).alias("result"))
 
 
 def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -171,34 +184,41 @@ def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     number or a null (which counts 0); any other cell is no figure, so its VALUE is
     NULL and CELL holds it as written. A key that is no position gives a row without
     labels, CELL holding key and cell. Cells beyond ``product(size)`` are ignored.
+
+    Both forms are one array of cells, beside it the object's keys and positions: what
+    is done per cell is generated code, and little enough of it that the JVM compiles it.
     """
     listed = F.try_variant_get("value", "$", "array<variant>")
     keyed = F.try_variant_get("value", "$", "map<string,variant>")
-    # The array form has positions of its own; only the object form's are text.
-    entries = F.coalesce(F.transform(listed, lambda x, i: F.struct(F.lit(None).cast("string").alias("key"), i.cast("bigint").alias("pos"), x.alias("value"))),
-                         F.transform(F.map_entries(keyed), lambda e: F.struct(e["key"].alias("key"), _position(e["key"]).alias("pos"), e["value"].alias("value"))))
-    cells = (_prepared(valid, columns).select("*", F.inline(entries).alias("key", "pos", "cell"))
-             .filter(F.col("pos").isNull() | (F.col("pos") < F.col("n_cells"))))
-    cell = F.col("cell")
-    # The array form's JSON null is a VARIANT null (schema VOID).
-    kind = F.substring(F.schema_of_variant(cell), 1, 4)
-    empty = cell.isNull() | (kind == "VOID")
-    number = kind.isin("BIGI", "DOUB", "FLOA", "DECI")
-    faulty = F.col("pos").isNull() | ~(empty | number)
+    prepared = (_prepared(valid, columns).withColumns({"listed": listed, "keyed": F.when(listed.isNull(), keyed)})
+                .withColumns({"keys": F.map_keys("keyed"), "cells": F.coalesce("listed", F.map_values("keyed"))})
+                .withColumn("places", _positions(F.col("keys"))).drop("value", "listed", "keyed"))
+    key = F.get("keys", F.col("at"))
+    # The outer form, as Spark makes a filter of the inner one's argument, which builds all cells once more.
+    cells = (prepared.select("*", F.posexplode_outer("cells").alias("at", "cell")).filter(F.col("at").isNotNull())
+             .withColumn("pos", F.when(F.col("places").isNull(), F.col("at").cast("bigint")).otherwise(F.get("places", F.col("at"))))
+             .filter(F.coalesce(F.col("pos"), F.lit(-1)) < F.greatest(F.col("n_cells"), F.lit(0))))
+    cell, placed = F.col("cell"), F.col("pos").isNotNull()
+    # The array form's JSON null is a VARIANT null. Most cells may be empty: their kind is not asked for.
+    empty = cell.isNull() | F.is_variant_null(cell)
+    number = F.substring(F.schema_of_variant(cell), 1, 4).isin("BIGI", "DOUB", "FLOA", "DECI")
     written = F.to_json(cell)
-    columns_out = [c if n == 0 else F.when(F.col("pos").isNotNull(), c).alias(columns[n - 1])
-                   for n, c in enumerate(_labelled(columns))]
-    return cells.select(
+    columns_out = [c if n == 0 else F.when(placed, c).alias(columns[n - 1]) for n, c in enumerate(_labelled(columns))]
+    return _indexed(cells, columns).select(
         *columns_out, F.lit(UNIT_LABEL).alias("UNIT"),
-        F.when(~faulty, _counted(F.when(number, F.try_variant_get(cell, "$", "double")))).alias("VALUE"),
-        F.when(F.col("pos").isNull(), F.concat(F.col("key"), F.lit(": "), F.coalesce(written, F.lit("null"))))
-        .when(faulty, written).alias("CELL"))
-
-
-def _position(key: Column) -> Column:
-    """The key as a position; NULL unless it is all digits."""
-    digits = (F.translate(key, "0123456789", "") == "") & (key != "")
-    return F.when(digits, key.try_cast("bigint"))
+        F.when(placed & empty, F.lit(0).cast("bigint"))
+        .when(placed & number, _counted(F.try_variant_get(cell, "$", "double"))).alias("VALUE"),
+        F.when(~placed, F.concat(key, F.lit(": "), F.coalesce(written, F.lit("null"))))
+        .when(~(empty | number), written).alias("CELL"))
+
+
+def _positions(keys: Column) -> Column:
+    """The keys as positions; NULL for one that is not all digits."""
+    digits = lambda k: (F.translate(k, "0123456789", "") == "") & (k != "")
+    numbers = keys.try_cast("array<bigint>")
+    # Where all are written as numbers are, no key needs a look of its own.
+    plain = (numbers.cast("array<string>") == keys) & (F.array_min(numbers) >= 0)
+    return F.when(plain, numbers).otherwise(F.transform(keys, lambda k: F.when(digits(k), k.try_cast("bigint"))))
 
 
 def read_jsonstat_cells(spark: SparkSession, path: str | list[str], columns: Sequence[str] = tuple(CENTRE_COLUMNS),

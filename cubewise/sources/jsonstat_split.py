@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cubewise.schemas import UNIT_LABEL
 from cubewise.session import scratch_path
-from cubewise.sources.jsonstat import CENTRE_COLUMNS, _counted, _labelled, _prepared, parse_documents, validate_jsonstat
+from cubewise.sources.jsonstat import CENTRE_COLUMNS, _counted, _indexed, _labelled, _prepared, parse_documents, validate_jsonstat
 
 # A power of two: no chunk then holds tokens of two tasks.
 CHUNK = 1 << 16
@@ -135,6 +135,6 @@ def read_jsonstat_split(spark: SparkSession, path: str | list[str], columns: Seq
     cells = (split.where("cell is not null").select(*PLACE, "cell", (F.col("place") - F.col("opens")).alias("pos"))
              .join(labelled, PLACE).where(F.col("pos") < F.col("n_cells")).drop("block", "chunk"))
     value = F.when(F.trim("cell") != "null", F.trim("cell").try_cast("double"))
-    rows = cells.select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(value).alias("VALUE"))
+    rows = _indexed(cells, columns).select(*_labelled(columns), F.lit(UNIT_LABEL).alias("UNIT"), _counted(value).alias("VALUE"))
     rejected = unshaped.unionByName(bad).unionByName(unread.join(bad, "doc", "left_anti"))
     return rows, rejected
