@@ -53,6 +53,11 @@ def cube_documents(long_rows: DataFrame) -> DataFrame:
     """(n_nationkey, [doc_block], statistic, month, category, centre, ...) ->
     (doc_nation, doc_year, doc_block, json) with one JSON-stat document per
     nation, year and block (rows without one form a single block)."""
+    return cube_results(long_rows).select(*DOC_KEYS, F.to_json(F.struct("result")).alias("json"))
+
+
+def cube_results(long_rows: DataFrame) -> DataFrame:
+    """The documents of ``cube_documents`` with ``result`` as a struct, not yet text."""
     block = F.col("doc_block") if "doc_block" in long_rows.columns else F.lit(0).alias("doc_block")
     keyed = long_rows.select(
         F.col("n_nationkey").alias("doc_nation"), F.substring("month", 1, 4).alias("doc_year"), block,
@@ -82,4 +87,4 @@ def cube_documents(long_rows: DataFrame) -> DataFrame:
         dimension.alias("dimension"),
         F.col("value").alias("value"),
     )
-    return docs.select(*DOC_KEYS, F.to_json(F.struct(result.alias("result"))).alias("json"))
+    return docs.select(*DOC_KEYS, result.alias("result"))

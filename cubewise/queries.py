@@ -20,7 +20,7 @@ from cubewise.operators.pivot import full_outer_on, pivot_measures
 from cubewise.operators.project import to_snake_case
 from cubewise.operators.quality import accepted_values, not_null, unique
 from cubewise.operators.serving import measure_by, scorecards, top_centres, yearly_rollup
-from cubewise.plans.cube_docs import cube_documents
+from cubewise.plans.cube_docs import cube_documents, cube_results
 from cubewise.plans.facts import centre_fact, clean_centre_rows, county_fact
 from cubewise.plans.landing import land_county_file, land_cube, load_county_checked, load_county_raw
 from cubewise.plans.quality_suite import COUNTY_GRAIN, QUALITY_SUITE, STG_NOT_NULL, suite_report
@@ -757,12 +757,12 @@ ORACLE["jsonstat_rejected"] = O.with_base("""
 def _write_awkward_cubes(spark, sf_dir) -> str:
     """Cubes whose ``value`` is an object by position in even years; in odd years it is
     an array in which every figure 2 is suppressed (a text cell)."""
-    docs = parse_documents(cube_documents(applications(spark, sf_dir)), doc_col="doc_year").withColumnRenamed("doc", "year")
+    docs = cube_results(applications(spark, sf_dir)).withColumnRenamed("doc_year", "year")
     keyed = F.col("result").withField("value", F.map_from_arrays(
         F.transform(F.sequence(F.lit(0), F.size("result.value") - 1), lambda i: i.cast("string")), F.col("result.value")))
     form = {"ignoreNullFields": "false"}
     as_object = F.to_json(F.struct(keyed.alias("result")), form)
-    as_array = F.regexp_replace(F.to_json(F.struct("result"), form), r"(?<=[\[,])2\.0(?=[,\]])", '".."')
+    as_array = F.regexp_replace(F.to_json(F.struct("result"), form), r"2\.0(?=[,\]])(?<=[\[,]2\.0)", '".."')
     path = scratch_path(spark, "cubes_awkward")
     docs.select(F.when(F.col("year").cast("int") % 2 == 0, as_object).otherwise(as_array).alias("json")).write.options(**CUBE_FILES).text(path)
     return path
