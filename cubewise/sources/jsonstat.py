@@ -58,7 +58,13 @@ def parse_documents(docs: DataFrame, json_col: str = "json", doc_col: str = "doc
     """(doc, json) -> (doc, result) with the declared JSON-stat schema.
     Malformed text, a text cell or an object-form value give NULL parts."""
     parsed = F.from_json(F.col(json_col), JSONSTAT_SCHEMA)
-    return docs.select(F.col(doc_col).alias("doc"), parsed["result"].alias("result"))
+    return _once(docs.select(F.col(doc_col).alias("doc"), parsed["result"].alias("result")))
+
+
+def _once(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with ``result`` evaluated once a document: what uses or filters it
+    stays above a generator and does not repeat its expression."""
+    return parsed.select("doc", F.explode_outer(F.array("result")).alias("result"))
 
 
 def _dim(d: Column) -> Column:
@@ -169,12 +175,6 @@ def parse_cells(docs: DataFrame, json_col: str = "json", doc_col: str = "doc") -
     return _once(parsed.withColumn("result", F.col("result").withField("value", F.when(listed, value))))
 
 
-def _once(parsed: DataFrame) -> DataFrame:
-    """``parsed`` with ``result`` evaluated once a document: what uses or filters it
-    stays above a generator and does not repeat its expression."""
-    return parsed.select("doc", F.explode_outer(F.array("result")).alias("result"))
-
-
 def flatten_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Valid documents of ``parse_cells`` -> doc, <columns...>, UNIT, VALUE (bigint),
     CELL (string).

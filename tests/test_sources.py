@@ -241,3 +241,9 @@ def test_materialize_keeps_declared_partition_types(spark):
     out = materialize(df, scratch_path(spark, "t_types"))
     assert dict(out.dtypes)["year"] == "string"
     assert out.filter("year = '2021'").count() == 1
+
+
+def test_documents_are_parsed_once_a_pass(spark, tmp_path):
+    (tmp_path / "cubes").write_text('{"result": null}\n')
+    for df in read_jsonstat(spark, str(tmp_path / "cubes"), layout="lines"):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
